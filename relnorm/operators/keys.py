@@ -73,12 +73,14 @@ def dense_key(df: DataFrame, order_by, pk: str = "pk", start: int = 1,
               for r in raw]
     bucketed = keyed.withColumn("_okb", _bucket_expr(key, bounds, 0, len(bounds)))
 
-    counts = bucketed.groupBy("_okb").agg(F.count(F.lit(1)).alias("_okn"))
+    within = Window.partitionBy("_okb").orderBy(*asc)
+    numbered = bucketed.withColumn("_okrn", F.row_number().over(within))
+    # bucket sizes from the window output: same hash exchange, reused, so the
+    # input is evaluated once for numbering and counting together
+    counts = numbered.groupBy("_okb").agg(F.max("_okrn").alias("_okn"))
     before = Window.orderBy("_okb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_okb", F.coalesce(F.sum("_okn").over(before), F.lit(0))
                             .alias("_okoff"))
-    within = Window.partitionBy("_okb").orderBy(*asc)
-    numbered = bucketed.withColumn("_okrn", F.row_number().over(within))
     # offsets has at most `nb` rows: a proven bound, so broadcast it
     out = numbered.join(F.broadcast(offsets), "_okb")
     out = out.withColumn(pk, (F.col("_okoff") + F.col("_okrn") + F.lit(start - 1))

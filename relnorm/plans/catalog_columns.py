@@ -154,7 +154,10 @@ UNION ALL SELECT 'digitisation', count(DISTINCT o_orderpriority) FROM orders WHE
 UNION ALL SELECT 'ingest', count(DISTINCT o_orderstatus) FROM orders""")
 def xml_fanout_counts(spark, sf):
     from relnorm.operators.aggregates import record_counts
-    d = _order_documents(spark, sf)
+    from relnorm.session import stage
+    # parse once, fan out six ways: the parsed base is checkpointed
+    d = stage(_order_documents(spark, sf).select("doc_key", "collection", "doc", "publication_code",
+                                                 "issue_code"))
     tables = {
         "newspaper": X.newspaper_records(d).select("publication_code").distinct(),
         "issue": X.issue_records(d).select("issue_code").distinct(),
