@@ -77,7 +77,7 @@ def issue_records(df: DataFrame, doc: str = "doc") -> DataFrame:
 
 
 def item_records(df: DataFrame, doc: str = "doc", collection: str = "collection",
-                 explode_items: bool = False) -> DataFrame:
+                 explode_items: bool = False, keep=()) -> DataFrame:
     """Item fields with defaults; the first ``item`` only unless ``explode_items``."""
     items = F.col(f"{doc}.publication.issue.item")
     if explode_items:
@@ -100,6 +100,7 @@ def item_records(df: DataFrame, doc: str = "doc", collection: str = "collection"
         F.try_element_at(tool, F.lit("version")).alias("ingest_version"),
         F.col("issue_code"),
         F.col(collection).alias("collection") if collection in df.columns else F.lit(None).cast("string").alias("collection"),
+        *[F.col(k) for k in keep],
     )
 
 
