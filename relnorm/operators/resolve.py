@@ -28,7 +28,8 @@ def _pairs(on):
 
 
 def resolve_fk(df: DataFrame, dim: DataFrame, on, pk: str = "pk", as_name: str | None = None,
-               keep: str = "last", policy: str = "null", drop_keys: bool = False) -> DataFrame:
+               keep: str = "last", policy: str = "null", drop_keys: bool = False,
+               broadcast: bool = False) -> DataFrame:
     """Replace natural key(s) by the dimension's ``pk``.
 
     ``on``: a column name, a list of names / (left, right) pairs, or a dict
@@ -36,12 +37,16 @@ def resolve_fk(df: DataFrame, dim: DataFrame, on, pk: str = "pk", as_name: str |
     concatenation, so ``a-b``/``c`` can't collide with ``a``/``b-c``).
     ``policy``: ``null`` keeps NULL for an unresolved key; ``strict`` raises
     when a non-blank key is unresolved (runs one counting job).
+    ``broadcast``: only for a dimension with a proven size bound (e.g. one row
+    per configured collection); otherwise AQE decides from runtime sizes.
     """
     pairs = _pairs(on)
     as_name = as_name or pk
     idx = dimension_index(dim, [r for _, r in pairs], pk, keep)
     tmp = {r: f"_fk_r{i}" for i, (_, r) in enumerate(pairs)}
     idx = idx.select(*[F.col(r).alias(t) for r, t in tmp.items()], F.col(pk).alias("_fk_pk"))
+    if broadcast:
+        idx = F.broadcast(idx)
     cond = reduce(lambda a, b: a & b, [df[l] == idx[tmp[r]] for l, r in pairs])
     out = df.join(idx, cond, "left").drop(*tmp.values()).withColumnRenamed("_fk_pk", as_name)
     if policy == "strict":

@@ -157,7 +157,7 @@ def xml_fanout_counts(spark, sf):
     from relnorm.session import stage
     # parse once, fan out six ways: the parsed base is checkpointed
     d = stage(_order_documents(spark, sf).select("doc_key", "collection", "doc", "publication_code",
-                                                 "issue_code"))
+                                                 "issue_code", "issue_date"))
     tables = {
         "newspaper": X.newspaper_records(d).select("publication_code").distinct(),
         "issue": X.issue_records(d).select("issue_code").distinct(),

@@ -158,7 +158,10 @@ def build_tables(spark: SparkSession, docs: DataFrame, authority: DataFrame | No
     items = resolve_fk(items, ingest, {"ingest_name": "lwm_tool_name", "ingest_version": "lwm_tool_version"},
                        as_name="ingest_id")
     items = resolve_fk(items, issue, "issue_code", as_name="issue_id")
-    items = resolve_fk(items, providers, {"collection": "collection_name"}, as_name="data_provider_id")
+    # one row per collection directory: a proven bound, broadcast (a third of
+    # all items may sit in one collection, so never shuffle on it)
+    items = resolve_fk(items, providers, {"collection": "collection_name"}, as_name="data_provider_id",
+                       broadcast=True)
     item = dense_key(items, ["collection", "shard", "publication_code", "item_code"]).drop(
         "digitisation_software", "ingest_name", "ingest_version", "shard")
 
