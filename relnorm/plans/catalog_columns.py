@@ -34,7 +34,8 @@ def _zfill_sql(x: str) -> str:
 # XML documents built from orders: every order is one article document
 # --------------------------------------------------------------------------
 
-def _order_documents(spark, sf):
+def order_xml(spark, sf):
+    """``(doc_key, xml, collection)``: every order as one article document."""
     o = table(spark, sf, "orders")
     key = F.col("o_orderkey")
     cust = F.col("o_custkey").cast("string")
@@ -75,9 +76,12 @@ def _order_documents(spark, sf):
         F.lit("<issue>"), tag("date", F.date_format("o_orderdate", "yyyy-MM-dd")), item,
         F.lit("</issue></publication>"))
     xml = F.concat(F.lit("<lwm>"), process, pub, F.lit("</lwm>"))
-    docs = o.select(key.alias("doc_key"), xml.alias("xml"),
+    return o.select(key.alias("doc_key"), xml.alias("xml"),
                     F.concat(F.lit("col"), (F.col("o_custkey") % 3).cast("string")).alias("collection"))
-    return X.with_codes(X.parse_documents(docs))
+
+
+def _order_documents(spark, sf):
+    return X.with_codes(X.parse_documents(order_xml(spark, sf)))
 
 
 _ORDER_CODE = "lpad(CAST(o_custkey AS VARCHAR), 7, '0')"

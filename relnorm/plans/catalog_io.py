@@ -188,23 +188,25 @@ def json_dictionary_files(spark, sf):
 # End-to-end fulltext job over zip archives written from `documents`
 # --------------------------------------------------------------------------
 
-def _write_zips(batches):
+def _write_zip(pdf):
+    """One archive per group (a group is at most a bounded number of entries)."""
     import io
     import os as _os
     import zipfile
     import pandas as pd
-    for pdf in batches:
-        res = []
-        for (folder, arch), g in pdf.groupby(["folder", "archive"]):
-            _os.makedirs(folder, exist_ok=True)
-            buf = io.BytesIO()
-            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-                for r in g.sort_values("entry").itertuples(index=False):
-                    zf.writestr(r.entry, r.text.encode("utf-8"))
-            with open(_os.path.join(folder, arch), "wb") as fh:
-                fh.write(buf.getvalue())
-            res.append((arch, len(g)))
-        yield pd.DataFrame(res, columns=["archive", "n"])
+    folder, arch = pdf["folder"].iloc[0], pdf["archive"].iloc[0]
+    _os.makedirs(folder, exist_ok=True)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for r in pdf.sort_values("entry").itertuples(index=False):
+            zf.writestr(r.entry, r.text.encode("utf-8"))
+    with open(_os.path.join(folder, arch), "wb") as fh:
+        fh.write(buf.getvalue())
+    return pd.DataFrame([(arch, len(pdf))], columns=["archive", "n"])
+
+
+def _write_archives(rows):
+    rows.groupBy("folder", "archive").applyInPandas(_write_zip, "archive string, n long").count()
 
 
 def documents_to_archives(spark, sf, folder):
@@ -216,8 +218,7 @@ def documents_to_archives(spark, sf, folder):
     entry = F.concat(F.col("source"), F.lit("/"), F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".txt"))
     rows = d.select(F.lit(folder).alias("folder"), arch.alias("archive"), entry.alias("entry"),
                     F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.repartition("archive")
-    rows.mapInPandas(_write_zips, "archive string, n long").count()
+    _write_archives(rows)
 
 
 @query("fulltext_from_archives", covers=("JOB-3", "SRC-2", "SRC-3", "SRC-4", "SRC-5", "PRJ-24", "KEY-3"), sql="""
@@ -233,3 +234,47 @@ def fulltext_from_archives(spark, sf):
     t = fulltext_table(spark, folder, initial_pk=5)
     return t.select("pk", "path", F.regexp_extract("compressed_path", r"([^/]+)$", 1).alias("archive"),
                     F.md5("text").alias("text_md5"), "errors")
+
+
+# --------------------------------------------------------------------------
+# End-to-end news job over zip archives of XML documents built from `orders`
+# --------------------------------------------------------------------------
+
+@query("news_job_items", covers=("JOB-1", "SRC-1", "SRC-2", "SRC-3", "EXT-8", "KEY-2", "JON-1", "JON-2",
+                                 "DED-2", "DED-5", "PRJ-27"), sql="""
+WITH s AS (SELECT *, 'col' || CAST(o_custkey % 3 AS VARCHAR) AS coll, lpad(CAST(o_custkey AS VARCHAR), 7, '0') AS code,
+                  substr(regexp_replace(lpad(CAST(o_custkey AS VARCHAR), 7, '0'), '^0+', ''), 1, 2) AS h FROM orders),
+s2 AS (SELECT *, CASE WHEN length(h) = 1 THEN '0' || h ELSE h END AS shard,
+              code || '-' || strftime(o_orderdate, '%Y%m%d') AS issue_code FROM s),
+prov AS (SELECT coll, row_number() OVER (ORDER BY coll) AS pk FROM (SELECT DISTINCT coll FROM s2)),
+dig AS (SELECT sw, row_number() OVER (ORDER BY sw) AS pk
+        FROM (SELECT DISTINCT 'abbyy/' || o_orderpriority AS sw FROM orders WHERE o_orderstatus <> 'F')),
+ing AS (SELECT v, row_number() OVER (ORDER BY v) AS pk FROM (SELECT DISTINCT o_orderstatus AS v FROM orders)),
+iss AS (SELECT issue_code, max(pk) AS pk FROM (
+          SELECT issue_code, row_number() OVER (ORDER BY coll, shard, code, issue_code) AS pk
+          FROM (SELECT DISTINCT coll, shard, code, issue_code FROM s2)) GROUP BY issue_code)
+SELECT row_number() OVER (ORDER BY s2.coll, shard, code, s2.issue_code || '-art' || CAST(o_orderkey AS VARCHAR)) AS pk,
+       s2.issue_code || '-art' || CAST(o_orderkey AS VARCHAR) AS item_code,
+       CAST(floor(o_totalprice) AS BIGINT) AS word_count,
+       'Article ' || CAST(o_orderkey AS VARCHAR) || ':' AS title,
+       CASE WHEN o_orderstatus <> 'P' THEN 'ARTICLE' END AS item_type,
+       'art' || CAST(o_orderkey AS VARCHAR) || '.txt' AS input_filename,
+       CASE WHEN o_orderstatus = 'O' THEN 0.0 ELSE CAST('0.' || CAST(o_orderkey % 100 AS VARCHAR) AS DOUBLE) END AS ocr_quality_mean,
+       CASE WHEN o_orderstatus = 'F' THEN 0.0 ELSE CAST('0.0' || CAST(o_orderkey % 10 AS VARCHAR) AS DOUBLE) END AS ocr_quality_sd,
+       dig.pk AS digitisation_id, ing.pk AS ingest_id, iss.pk AS issue_id, prov.pk AS data_provider_id
+FROM s2 LEFT JOIN dig ON dig.sw = CASE WHEN o_orderstatus <> 'F' THEN 'abbyy/' || o_orderpriority END
+LEFT JOIN ing ON ing.v = o_orderstatus LEFT JOIN iss ON iss.issue_code = s2.issue_code
+LEFT JOIN prov ON prov.coll = s2.coll""")
+def news_job_items(spark, sf):
+    from relnorm.plans.catalog_columns import order_xml
+    from relnorm.plans import news
+    base = _scratch(spark, "news")
+    x = order_xml(spark, sf)
+    rows = x.select(F.concat(F.lit(base + "/"), "collection", F.lit("-alto2txt/metadata")).alias("folder"),
+                    F.concat(F.lit("A"), F.lpad(F.floor(F.col("doc_key") / 1000).cast("string"), 5, "0"),
+                             F.lit("_metadata.zip")).alias("archive"),
+                    F.concat(F.col("doc_key").cast("string"), F.lit(".xml")).alias("entry"),
+                    F.col("xml").alias("text"))
+    _write_archives(rows)
+    tables = news.build_tables(spark, news.read_documents(spark, base))
+    return tables["item"].drop("created_at", "updated_at")
