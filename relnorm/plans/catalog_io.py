@@ -278,3 +278,70 @@ def news_job_items(spark, sf):
     _write_archives(rows)
     tables = news.build_tables(spark, news.read_documents(spark, base))
     return tables["item"].drop("created_at", "updated_at")
+
+
+# --------------------------------------------------------------------------
+# End-to-end adjacent job with inputs derived from the given tables
+# --------------------------------------------------------------------------
+
+def adjacent_inputs(spark, sf):
+    """Directory rows from orders, gazetteer and newspapers from customers,
+    dictionaries from customers × nations, links from orders."""
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    mitchells = o.select(
+        F.col("o_orderkey").alias("row_order"), F.col("o_orderkey").cast("string").alias("ID"),
+        F.concat(F.lit("Paper "), F.col("o_orderkey").cast("string")).alias("TITLE"),
+        F.concat(F.col("o_orderpriority"), F.lit("<SEP> "), F.col("o_orderstatus")).alias("POLITICS"),
+        F.lit(None).cast("string").alias("PERSONS"), F.lit(None).cast("string").alias("ORGANIZATIONS"),
+        F.concat((F.col("o_custkey") % 7).cast("string"), F.lit("d")).alias("PRICE"),
+        F.year("o_orderdate").cast("string").alias("YEAR"),
+        F.concat(F.lit("Q"), (F.col("o_custkey") % 200).cast("string")).alias("PLACE_PUB_WIKI"),
+        F.lit("").alias("ESTABLISHED_DATE"), F.lit("").alias("PUBLISED_DATE"))
+    qid = F.concat(F.lit("Q"), F.col("c_custkey").cast("string"))
+    gazetteer = c.select(qid.alias("wikidata_id"), F.col("c_name").alias("english_label"),
+                         F.col("c_acctbal").alias("latitude"), F.col("c_nationkey").cast("double").alias("longitude"),
+                         F.col("c_custkey").cast("string").alias("geonamesIDs"))
+    cn = c.join(F.broadcast(n.select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")), "c_nationkey")
+    historic = cn.select(qid.alias("place_wikidata_id"), F.col("n_name").alias("label"),
+                         F.concat(F.lit("Q9"), F.col("c_nationkey").cast("string")).alias("wikidata_id"))
+    admin = cn.filter(F.col("c_mktsegment") != "MACHINERY").select(
+        qid.alias("place_wikidata_id"), F.concat(F.lit("Region "), F.col("n_regionkey").cast("string")).alias("label"),
+        F.concat(F.lit("Q8"), F.col("n_regionkey").cast("string")).alias("wikidata_id"))
+    countries = cn.select(qid.alias("place_wikidata_id"), F.lit("England").alias("label"), F.lit("Q21").alias("wikidata_id"))
+    linking = o.filter(F.col("o_orderstatus") != "P").select(
+        F.lpad(F.col("o_custkey").cast("string"), 7, "0").alias("NLP"),
+        F.col("o_orderkey").cast("string").alias("link_to_mpd"))
+    newspapers = c.filter(F.col("c_mktsegment") != "AUTOMOBILE").select(
+        (F.col("c_custkey") + 1000).alias("pk"), F.lpad(F.col("c_custkey").cast("string"), 7, "0").alias("publication_code"))
+    return dict(mitchells=mitchells, gazetteer=gazetteer, historic=historic, admin=admin,
+                countries=countries, linking=linking, newspapers=newspapers)
+
+
+@query("adjacent_job_entries", covers=("JOB-2", "JON-4", "JON-5", "JON-6", "JON-9", "JON-11", "JON-13",
+                                       "AGG-1", "AGG-2", "PRJ-16", "PRJ-17"), sql="""
+WITH m AS (SELECT o_orderkey, o_custkey, o_orderstatus, 'Paper ' || CAST(o_orderkey AS VARCHAR) AS title,
+                  [o_orderpriority, o_orderstatus] AS lean, [CAST(o_custkey % 7 AS VARCHAR) || 'd'] AS price,
+                  year(o_orderdate) AS y, 'Q' || CAST(o_custkey % 200 AS VARCHAR) AS place_id FROM orders),
+lean AS (SELECT l, row_number() OVER (ORDER BY l) AS pk FROM (SELECT DISTINCT unnest(lean) AS l FROM m)),
+pr AS (SELECT p, row_number() OVER (ORDER BY p) AS pk FROM (SELECT DISTINCT unnest(price) AS p FROM m)),
+yr AS (SELECT y, row_number() OVER (ORDER BY y) AS pk FROM (SELECT DISTINCT y FROM m WHERE y IS NOT NULL)),
+gz AS (SELECT 'Q' || CAST(c_custkey AS VARCHAR) AS wid, row_number() OVER (ORDER BY 'Q' || CAST(c_custkey AS VARCHAR), c_name) AS pk
+       FROM customer WHERE 'Q' || CAST(c_custkey AS VARCHAR) IN (SELECT place_id FROM m)),
+np AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS code, min(c_custkey + 1000) AS pk FROM customer
+       WHERE c_mktsegment <> 'AUTOMOBILE' GROUP BY 1),
+e AS (SELECT m.*, lpad(CAST(o_custkey AS VARCHAR), 7, '0') AS nlp,
+             row_number() OVER (ORDER BY o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 7, '0')) AS pk
+      FROM m WHERE o_orderstatus <> 'P')
+SELECT e.pk, e.title, CAST(e.y AS BIGINT) AS year, yr.pk AS issue, gz.pk AS place_of_publication, np.pk AS newspaper,
+       CAST((SELECT pk FROM lean WHERE l = e.lean[1]) AS VARCHAR) || ',' || CAST((SELECT pk FROM lean WHERE l = e.lean[2]) AS VARCHAR) AS political_leanings,
+       CAST((SELECT pk FROM pr WHERE p = e.price[1]) AS VARCHAR) AS prices
+FROM e LEFT JOIN yr ON yr.y = e.y LEFT JOIN gz ON gz.wid = e.place_id LEFT JOIN np ON np.code = e.nlp""")
+def adjacent_job_entries(spark, sf):
+    from relnorm.plans import adjacent
+    t = adjacent.build_tables(spark, run_ts="2024-01-01 00:00:00.000000+00:00", **adjacent_inputs(spark, sf))
+    e = t["mitchells.Entry"]
+    as_text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return e.select("pk", "title", "year", "issue", "place_of_publication", "newspaper",
+                    as_text("political_leanings").alias("political_leanings"), as_text("prices").alias("prices"))
