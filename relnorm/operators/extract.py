@@ -115,7 +115,9 @@ def ingest_records(df: DataFrame, doc: str = "doc") -> DataFrame:
 
 def digitisation_records(df: DataFrame, doc: str = "doc") -> DataFrame:
     """The four process fields; no row when software is absent or blank."""
-    p = f"{doc}.process"
-    return (df.filter(F.col(f"{p}.software").isNotNull() & (F.col(f"{p}.software") != ""))
-            .select(*[F.col(f"{p}.{c}").alias(c) for c in
-                      ("xml_flavour", "software", "mets_namespace", "alto_namespace")]))
+    p = F.col(f"{doc}.process")
+    row = F.struct(*[p[c].alias(c) for c in ("xml_flavour", "software", "mets_namespace", "alto_namespace")])
+    # a filtered one-element array instead of a Filter: a Filter on a parsed
+    # field is pushed below the parse and would parse every document twice
+    kept = F.filter(F.array(row), lambda r: r["software"].isNotNull() & (r["software"] != ""))
+    return df.select(F.inline(kept))
