@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from relnorm.llm.decontamination import contamination
 from relnorm.llm.exact_dedup import exact_dedup
 from relnorm.llm.licenses import TEMPLATES, license_scan
+from relnorm.llm.ngram_jaccard import near_duplicates
 from relnorm.llm.packing import pack
 
 TOKENIZER = "word_bpe_49k.json"
@@ -35,11 +36,16 @@ def op7_exact_dedup(spark, sf_dir):
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op9_ngram_jaccard(spark, sf_dir):
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark, sf_dir):
     return pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op5_license_scan, op6_benchmark_decontamination, op7_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op5_license_scan, op6_benchmark_decontamination, op7_exact_dedup, op9_ngram_jaccard,
+                                    op10_packing)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -84,6 +90,15 @@ f AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS item
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(f.n, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (r) LEFT JOIN f USING (r)""",
+    "op9_ngram_jaccard": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, w[i:i + 4] AS g FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS x(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s AS a JOIN s AS b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) LEFT JOIN n USING (doc_id)""",
     "op7_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
        sha256(coalesce(text, '')) AS text_sha256

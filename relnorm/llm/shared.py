@@ -43,5 +43,5 @@ def clear(spark: SparkSession) -> None:
 def bins_for(spark: SparkSession, df: DataFrame, bytes_per_bin: int = 4 << 20) -> int:
     """How many hash ranges to deal work into: follows the input and the shuffle setting."""
     rows = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(rows, min(size // bytes_per_bin, 1 << 20), 1)
