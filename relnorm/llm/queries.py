@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from relnorm.llm.decontamination import contamination
 from relnorm.llm.exact_dedup import exact_dedup
+from relnorm.llm.language import identify_languages
 from relnorm.llm.licenses import TEMPLATES, license_scan
 from relnorm.llm.ngram_jaccard import near_duplicates
 from relnorm.llm.packing import pack
+from relnorm.llm.quality import quality_scores
+from relnorm.llm.toxicity import toxicity_scores
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -24,6 +27,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_toxicity(spark, sf_dir):
+    return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_quality(spark, sf_dir):
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_license_scan(spark, sf_dir):
     return license_scan(read(spark, sf_dir, "documents"))
 
@@ -36,6 +47,10 @@ def op7_exact_dedup(spark, sf_dir):
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark, sf_dir):
+    return identify_languages(read(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -44,8 +59,9 @@ def op10_packing(spark, sf_dir):
     return pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op5_license_scan, op6_benchmark_decontamination, op7_exact_dedup, op9_ngram_jaccard,
-                                    op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op2_toxicity, op4_quality, op5_license_scan, op6_benchmark_decontamination, op7_exact_dedup, op8_language_id,
+    op9_ngram_jaccard, op10_packing)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
