@@ -17,8 +17,26 @@ def _distinct(x: np.ndarray) -> np.ndarray:
     return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
-def gram_features(column, sizes: tuple[int, ...], lower: bool, with_words: bool, bits: int = BITS) -> Iterator[np.ndarray]:
-    """For each text the sorted distinct numbers of its features, below ``2 ** bits``."""
+def repeat_classes(hashes: np.ndarray, bounds: np.ndarray, distances: int, bits: int) -> np.ndarray:
+    """Per text and distance one feature: the class of the share of words equal to the word that far back."""
+    words = np.diff(bounds)
+    out = np.empty((len(words), distances), np.uint32)
+    for k in range(1, distances + 1):
+        equal = np.zeros(len(hashes) + 1, np.int64)
+        if len(hashes) > k:
+            equal[k + 1:] = np.cumsum(hashes[k:] == hashes[:-k])
+        start = np.minimum(bounds[:-1] + k, bounds[1:])
+        share = (equal[bounds[1:]] - equal[start]) / np.maximum(words, 1)
+        out[:, k - 1] = (1 << bits) - 8 * k + np.searchsorted([0.0, 0.01, 0.03, 0.1, 0.3], share, side="left")
+    return out
+
+
+def gram_features(column, sizes: tuple[int, ...], lower: bool, with_words: bool, repeats: int = 0,
+                  bits: int = BITS) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct numbers of its features, below ``2 ** bits``.
+
+    ``repeats``: also how much each text repeats its words at distances up to this.
+    """
     shift = np.uint32(32 - bits)
     for _, _, data, offsets in slices(*byte_columns(column)):
         codes = (LOWER[data] if lower else data).astype(np.uint32)
@@ -29,13 +47,16 @@ def gram_features(column, sizes: tuple[int, ...], lower: bool, with_words: bool,
             for k in range(n):
                 acc = acc * np.uint32(0x01000193) + codes[k:k + size]
             rolled.append((acc * np.uint32(0x9E3779B1)) >> shift)
-        if with_words:
+        if with_words or repeats:
             hashes, bounds = word_hashes(data, offsets, NON_SPACE)
+            again = repeat_classes(hashes, bounds, repeats, bits)
             hashes = (hashes >> np.uint64(64 - bits)).astype(np.uint32)
         for row, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
             parts = [r[lo:max(hi - n + 1, lo)] for n, r in zip(sizes, rolled)]
             if with_words:
                 parts.append(hashes[bounds[row]:bounds[row + 1]])
+            if repeats:
+                parts.append(again[row])
             yield _distinct(np.concatenate(parts))
 
 

@@ -1,6 +1,6 @@
 """Quality classifier: naive Bayes support vectors.
 
-Indicators of byte n-grams are scaled by the log-count ratio of the two
+Indicators of byte n-grams, and of how often words repeat, are scaled by the log-count ratio of the two
 classes; a linear hinge-loss model is fitted on them by dual coordinate descent
 and its margins are turned into probabilities on rows it was not fitted on.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from relnorm.llm.grams import BITS, SCORED, platt, sample_features, score_rows
 from relnorm.llm.samples import fold, labelled_sample
 
-FEATURES = {"sizes": (1, 2, 3), "lower": False, "with_words": False}
+FEATURES = {"sizes": (1, 2, 3), "lower": False, "with_words": False, "repeats": 4}
 
 
 def log_count_ratios(rows: list[np.ndarray], positive: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
@@ -29,7 +29,7 @@ def log_count_ratios(rows: list[np.ndarray], positive: np.ndarray, smoothing: fl
     return np.log(counts[0] / counts[1])
 
 
-def dual_coordinate_descent(rows: list[np.ndarray], scale: np.ndarray, positive: np.ndarray, cost: float = 0.1,
+def dual_coordinate_descent(rows: list[np.ndarray], scale: np.ndarray, positive: np.ndarray, cost: float = 0.01,
                             epochs: int = 12, seed: int = 7) -> np.ndarray:
     """Weights of the L2-regularised hinge-loss model on the scaled indicators; the last one is the bias.
 
@@ -59,7 +59,7 @@ def dual_coordinate_descent(rows: list[np.ndarray], scale: np.ndarray, positive:
     return weights
 
 
-def fit(labels: np.ndarray, rows: list[np.ndarray], cost: float = 0.1, share: float = 0.25):
+def fit(labels: np.ndarray, rows: list[np.ndarray], cost: float = 0.01, share: float = 0.25):
     """(weights per indicator, bias, slope): of every fourth row the margin calibrates, the rest fit."""
     positive = labels == "1"
     if positive.all() or not positive.any():

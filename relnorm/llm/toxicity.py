@@ -56,8 +56,9 @@ class Rows:
         return np.bincount(self.at, per_row[self.row], minlength=self.columns)
 
 
-def informative(rows: list[np.ndarray], positive: np.ndarray, most: int, least: int = 4) -> np.ndarray:
-    """The features with the largest chi-square statistic among those that ``least`` rows have."""
+def informative(rows: list[np.ndarray], positive: np.ndarray, most: int, least: int = 4,
+                clear: float = 20.0) -> np.ndarray:
+    """At most ``most`` features: the largest chi-square statistics over ``clear``, where ``least`` rows have it."""
     total, hits = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for row, p in zip(rows, positive):
         total[row] += 1
@@ -69,11 +70,11 @@ def informative(rows: list[np.ndarray], positive: np.ndarray, most: int, least:
         chi = (hits - expected) ** 2 / (expected * (1 - total / n) * (1 - n1 / n))
     chi[(total < least) | ~np.isfinite(chi)] = 0
     best = np.argsort(-chi, kind="stable")[:most]
-    return np.sort(best[chi[best] > 0])
+    return np.sort(best[chi[best] > clear])
 
 
 def fit(labels: np.ndarray, rows: list[np.ndarray], pairs: list[tuple[np.ndarray, np.ndarray]],
-        features: int = 4096, ridge: float = 1e-3, fairness: float = 1.0, steps: int = 400):
+        features: int = 4096, ridge: float = 1e-4, fairness: float = 1.0, steps: int = 400):
     """Weights (2 ** BITS) and bias that minimise log loss + ridge + fairness * mean squared change of a swap.
 
     Full-batch Adam; deterministic.
