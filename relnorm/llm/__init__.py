@@ -8,4 +8,7 @@ import sys
 
 from pyspark import cloudpickle
 
+import relnorm.session
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(relnorm.session)

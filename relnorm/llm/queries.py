@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from relnorm.llm.decontamination import contamination
 from relnorm.llm.exact_dedup import exact_dedup
+from relnorm.llm.kneser_ney import lm_scores
 from relnorm.llm.language import identify_languages
 from relnorm.llm.licenses import TEMPLATES, license_scan
 from relnorm.llm.ngram_jaccard import near_duplicates
@@ -31,6 +32,10 @@ def op2_toxicity(spark, sf_dir):
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_lm_scoring(spark, sf_dir):
+    return lm_scores(read(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark, sf_dir):
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -60,7 +65,7 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_toxicity, op4_quality, op5_license_scan, op6_benchmark_decontamination, op7_exact_dedup, op8_language_id,
+    op2_toxicity, op3_lm_scoring, op4_quality, op5_license_scan, op6_benchmark_decontamination, op7_exact_dedup, op8_language_id,
     op9_ngram_jaccard, op10_packing)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
