@@ -34,7 +34,10 @@ def windows(items: DataFrame, id_col: str, text_col: str, window: int) -> DataFr
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5,
                   id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
                   item_text_col: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
-    """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """One row per document: id, n_words, n_hit, places, items, contaminated.
+
+    ``places`` are the occurrences (start, size in words), ``items`` the sorted
+    ids, as strings, of the items that have one.
 
     A document word is hit when it lies in an occurrence of a window of an
     item: ``window`` consecutive words, or all words of a shorter item.  Null
@@ -81,8 +84,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
     covered = F.flatten(F.transform("hits", lambda c: F.sequence(c.start, c.start + F.size(c.window) - 1)))
     found_items = F.array_sort(F.transform(F.array_distinct(F.flatten(F.transform("hits", lambda c: c.item_ids))),
                                            lambda i: i.cast("string")))
-    rows = rows.select("id", "n_words", F.size(F.array_distinct(covered)).alias("n_hit"), found_items.alias("items"))
-    return rows.select(F.col("id").alias(id_col), F.col("n_words").cast("long"), F.col("n_hit").cast("long"),
-                       F.size("items").cast("long").alias("n_items"),
-                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                       (F.col("n_hit") > 0).alias("contaminated"))
+    places = F.array_sort(F.array_distinct(F.transform(
+        "hits", lambda c: F.struct(c.start.alias("start"), F.size(c.window).alias("size")))))
+    rows = rows.select("id", F.col("n_words").cast("long"), F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
+                       places.alias("places"), found_items.alias("items"))
+    return rows.withColumn("contaminated", F.col("n_hit") > 0).withColumnRenamed("id", id_col)

@@ -110,3 +110,16 @@ def platt(margins: np.ndarray, positive: np.ndarray, rounds: int = 100) -> tuple
         if np.abs(step).max() < 1e-8:
             break
     return float(beta[0] / scale), float(beta[1])
+
+
+def keep_rows(weights: np.ndarray, bias: float, slope: float, options: dict, threshold: float, text_at: int):
+    """A task that passes on the rows whose score is below the threshold, all columns as they are."""
+    weights = weights.astype(np.float32)
+    limit = np.log(threshold / (1 - threshold))
+
+    def run(parts):
+        for part in parts:
+            sums = np.fromiter((weights[f].sum(dtype=np.float64) for f in gram_features(part.column(text_at), **options)),
+                               np.float64, part.num_rows)
+            yield part.filter(pa.array(slope * sums + bias < limit))
+    return run

@@ -9,7 +9,6 @@ those of the same length.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +22,7 @@ RANK_GROUPS = 64
 
 _IDS = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
-                     ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()),
+                     ("ids", pa.binary()), ("doc_tokens", pa.int64()),
                      ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
@@ -135,18 +134,17 @@ def _emit(places: dict, size: int):
     bounds = np.searchsorted(lengths, np.arange(size + 1))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in (p.slice(k, 512) for p in parts for k in range(0, p.num_rows, 512)):
             doc, n, ids, rank, whole = (part.column(k).to_pylist() for k in range(5))
             out: list[tuple] = []
             for d, total, blob, r, w in zip(doc, n, ids, rank, whole):
                 for k in range(total // size):
-                    crc = zlib.crc32(blob[4 * size * k:4 * size * (k + 1)])
-                    out.append((d, size * k, size, crc, total, packs + w + k, 0))
+                    out.append((d, size * k, size, blob[4 * size * k:4 * size * (k + 1)], total, packs + w + k, 0))
                 tail = total % size
                 if tail:
                     lo, hi = bounds[tail], bounds[tail + 1]
                     j = lo + int(np.searchsorted(ranks[lo:hi], r, side="right")) - 1
-                    out.append((d, total - tail, tail, zlib.crc32(blob[4 * (total - tail):]), total,
+                    out.append((d, total - tail, tail, blob[4 * (total - tail):], total,
                                 int(bases[j] + r - ranks[j]), int(ats[j])))
             if out:
                 yield pa.RecordBatch.from_arrays(
@@ -156,7 +154,10 @@ def _emit(places: dict, size: int):
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of every document, each with its place in a sequence of at most ``size`` ids.
+    """Pieces of every document, each with its ids (little-endian, 32 bits) and its place in a sequence.
+
+    Columns: doc_id, start, length, ids, doc_tokens, sequence_id, offset; a
+    sequence has at most ``size`` ids.
 
     A null or empty text has the end id alone.  Repeated rows and null ids are
     documents of their own.  An empty table gives no rows; other columns are
@@ -190,5 +191,5 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
               .select("row_id", (F.col("rank") + F.col("rank0")).alias("rank"),
                       (F.col("before") + F.col("full0")).alias("whole")))
     return (ids.join(ranked, "row_id").select("doc_id", "n", "ids", "rank", "whole")
-            .mapInArrow(_emit(places, size), "doc_id long, start long, length long, ids_crc32 long, "
+            .mapInArrow(_emit(places, size), "doc_id long, start long, length long, ids binary, "
                         "doc_tokens long, sequence_id long, offset long"))

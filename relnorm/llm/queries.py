@@ -13,6 +13,7 @@ from relnorm.llm.licenses import TEMPLATES, license_scan
 from relnorm.llm.ngram_jaccard import near_duplicates
 from relnorm.llm.packing import pack
 from relnorm.llm.quality import quality_scores
+from relnorm.llm.suffix_dedup import remove_repeats
 from relnorm.llm.toxicity import toxicity_scores
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +29,13 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_array_dedup(spark, sf_dir):
+    rows = remove_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_toxicity(spark, sf_dir):
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -45,7 +53,9 @@ def op5_license_scan(spark, sf_dir):
 
 
 def op6_benchmark_decontamination(spark, sf_dir):
-    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    rows = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
 def op7_exact_dedup(spark, sf_dir):
@@ -61,11 +71,13 @@ def op9_ngram_jaccard(spark, sf_dir):
 
 
 def op10_packing(spark, sf_dir):
-    return pack(read(spark, sf_dir, "documents"), tokenizer_path())
+    pieces = pack(read(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_toxicity, op3_lm_scoring, op4_quality, op5_license_scan, op6_benchmark_decontamination, op7_exact_dedup, op8_language_id,
+    op1_suffix_array_dedup, op2_toxicity, op3_lm_scoring, op4_quality, op5_license_scan, op6_benchmark_decontamination, op7_exact_dedup, op8_language_id,
     op9_ngram_jaccard, op10_packing)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -111,6 +123,19 @@ f AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS item
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(f.n, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (r) LEFT JOIN f USING (r)""",
+    "op1_suffix_array_dedup": """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS h FROM documents),
+w AS (SELECT r, doc_id, i, h[i + 1:i + 50] AS g FROM d, unnest(range(0, octet_length(h) - 49)) AS x(i)),
+f AS (SELECT g, min(doc_id) AS least FROM w GROUP BY g HAVING count(*) > 1),
+e AS (SELECT r, i, i > coalesce(max(i) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 50, -1) AS fresh
+      FROM w JOIN f USING (g) WHERE doc_id > least),
+s AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM (SELECT r, i, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS k FROM e)
+      GROUP BY r, k),
+c AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b FROM s GROUP BY r)
+SELECT doc_id, CAST(octet_length(h) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(CASE WHEN a IS NULL THEN h ELSE unhex(array_to_string(list_transform(range(0, len(a) + 1), lambda j: hex(
+           h[(CASE WHEN j = 0 THEN 0 ELSE b[j] END) + 1:CASE WHEN j = len(a) THEN octet_length(h) ELSE a[j + 1] END])), '')) END) AS kept_sha256
+FROM d LEFT JOIN c USING (r)""",
     "op9_ngram_jaccard": rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, w[i:i + 4] AS g FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS x(i) WHERE len(w) > 0),

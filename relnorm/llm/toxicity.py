@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relnorm.llm.grams import BITS, SCORED, sample_features, score_rows
+from relnorm.llm.grams import BITS, SCORED, keep_rows, sample_features, score_rows
 from relnorm.llm.samples import fold, labelled_sample
 
 FEATURES = {"sizes": (5,), "lower": True, "with_words": True}
@@ -116,6 +116,13 @@ def counterfactual_pairs(sample: DataFrame, options: dict) -> list[tuple[np.ndar
     return [(found[k], found[k + 1]) for k in range(0, len(found), 2)]
 
 
+def fit_model(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most_rows: int,
+              id_col: str, text_col: str) -> tuple[np.ndarray, float]:
+    """Weights and bias learned from the bounded sample and its swapped texts."""
+    sample = labelled_sample(docs, labels, label, folds, held_out, most_rows, id_col, text_col)
+    return fit(*sample_features(sample, FEATURES), counterfactual_pairs(sample, FEATURES))
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held_out: int = 1,
                     threshold: float = 0.7, most_rows: int = 6000, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
@@ -127,8 +134,16 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", fo
     that class.  Repeated rows are scored one by one; rows with a null id count
     as fold 0.  An empty table gives no rows, other columns are not read.
     """
-    sample = labelled_sample(docs, labels, label, folds, held_out, most_rows, id_col, text_col)
-    weights, bias = fit(*sample_features(sample, FEATURES), counterfactual_pairs(sample, FEATURES))
+    weights, bias = fit_model(docs, labels, label, folds, held_out, most_rows, id_col, text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), (fold(id_col, folds) == held_out).alias("held_out"),
                        F.col(text_col).alias("text"))
     return rows.mapInArrow(score_rows(weights, bias, 1.0, FEATURES, threshold), SCORED).withColumnRenamed("id", id_col)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held_out: int = 1,
+               threshold: float = 0.7, most_rows: int = 6000, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``toxicity_scores`` predicts 0 for, with all their columns; nothing is shuffled."""
+    weights, bias = fit_model(docs, labels, label, folds, held_out, most_rows, id_col, text_col)
+    keep = keep_rows(weights, bias, 1.0, FEATURES, threshold, docs.columns.index(text_col))
+    return docs.mapInArrow(keep, docs.schema)
