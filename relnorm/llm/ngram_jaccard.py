@@ -9,9 +9,9 @@ candidate pairs, which pass length, positional and suffix filters and are then
 verified once on their whole sets.
 
 Pairs are not formed within groups that are known to be connected.  The first
-round pairs every entry of an n-gram with its smallest one only; the second
-pairs what shares an n-gram and is still in different components, so no link
-that matters to the components is lost.
+rounds pair every entry of an n-gram with one of them only; the last one pairs
+what shares an n-gram and is still in different components, so no link that
+matters to the components is lost.
 """
 
 from __future__ import annotations
@@ -30,10 +30,13 @@ from relnorm.llm.words import broadcast_if_small
 
 SKETCH_BITS = 19
 BUCKETS = 64
+PARITY_WORDS = 8
+STAR_ROUNDS = 2
 FLUSH = 1_000_000
 
 _SKETCH = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
-_SETS = pa.schema([("id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("hist", pa.binary())])
+_SETS = pa.schema([("id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("hist", pa.binary()),
+                   ("parity", pa.list_(pa.int64()))])
 _BLOBS = pa.schema([("bin", pa.int64()), ("payload", pa.binary())])
 _ENTRIES = pa.schema([("h", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("i", pa.int64())])
 _WHOLE = pa.schema([("cls", pa.int64()), ("grams", pa.binary())])
@@ -70,16 +73,27 @@ def _sketch(width: int, bits: int):
     return run
 
 
+def parity_sketch(grams: np.ndarray) -> list[int]:
+    """A bit per hash bucket: whether an odd number of the set's n-grams is in it.
+
+    Two sets differ in at least as many n-grams as their sketches in bits.
+    """
+    buckets = ((grams >> np.uint64(20)) % np.uint64(64 * PARITY_WORDS)).astype(np.int64)
+    odd = (np.bincount(buckets, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view("<i8").tolist()
+
+
 def _set_rows(width: int):
     def run(parts):
         for part in parts:
             ids = part.column(0).to_pylist()
-            rows = {"id": ids, "cls": [], "n": [], "hist": []}
+            rows = {"id": ids, "cls": [], "n": [], "hist": [], "parity": []}
             for grams in gram_sets(part.column(1), width):
                 rows["cls"].append(set_class(grams) if len(grams) else None)
                 rows["n"].append(len(grams))
                 rows["hist"].append(np.bincount((grams & np.uint64(BUCKETS - 1)).astype(np.int64),
                                                 minlength=BUCKETS).astype("<i4").tobytes())
+                rows["parity"].append(parity_sketch(grams))
             yield from batches(rows, _SETS)
     return run
 
@@ -229,13 +243,20 @@ class NgramJoin:
         others = texts.mapInArrow(_other_entries(self.width, levels, self.needed()), _ENTRY_SQL)
         return staged(met.unionByName(others).dropDuplicates(["h", "cls"]), "entries")
 
+    def _need(self):
+        """The overlap that sets of these sizes need."""
+        return F.ceil(self.percent * (F.col("x.n") + F.col("y.n")) / F.lit(100.0 + self.percent) - F.lit(1e-9))
+
     def _fits(self):
         """Length and positional filters between the entries x and y of one n-gram."""
-        both = F.col("x.n") + F.col("y.n")
-        need = F.ceil(self.percent * both / F.lit(100.0 + self.percent) - F.lit(1e-9))
-        room = F.lit(1) + F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) - 1
+        room = F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i"))
         small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-        return (100 * small >= self.percent * large) & (room >= need)
+        return (100 * small >= self.percent * large) & (room >= self._need())
+
+    def _near(self):
+        """Suffix filter inside a join: the parity sketches bound the difference of the sets from below."""
+        bits = [F.bit_count(F.col("x.parity")[k].bitwiseXOR(F.col("y.parity")[k])) for k in range(PARITY_WORDS)]
+        return sum(bits[1:], bits[0]) <= F.col("x.n") + F.col("y.n") - 2 * self._need()
 
     def _pairs(self, joined: DataFrame) -> DataFrame:
         x_first = F.col("x.cls") < F.col("y.cls")
@@ -257,29 +278,46 @@ class NgramJoin:
                       .mapInArrow(_verify(self.percent), "a long, b long").distinct(), "links")
 
     def run(self) -> NgramJoin:
-        self.sets = staged(self.docs.mapInArrow(_set_rows(self.width), "id long, cls long, n long, hist binary"),
+        self.sets = staged(self.docs.mapInArrow(_set_rows(self.width), "id long, cls long, n long, hist binary, "
+                                                "parity array<long>"),
                            "classes")
         self.classes = (self.sets.where(F.col("cls").isNotNull() & F.col("id").isNotNull()).groupBy("cls")
-                        .agg(F.min("id").alias("id"), F.first("hist").alias("hist")))
+                        .agg(F.min("id").alias("id"), F.first("hist").alias("hist"), F.first("parity").alias("parity")))
         self.classes = staged(self.classes, "classes")
         entries = self.entries()
-        hubs = entries.groupBy("h").agg(F.min(F.struct("n", "cls", "i")).alias("y"), F.count(F.lit(1)).alias("k"))
-        hubs = hubs.where("k > 1").select(F.col("h"), "y.*")
-        first = self._pairs(entries.alias("x").join(hubs.alias("y"), "h").where("x.cls <> y.cls"))
-        links = self.verified(first).toDF("u", "v")
-        roots = components(links)
-        labelled = entries.join(roots.toDF("cls", "root"), "cls", "left").withColumn(
-            "root", F.coalesce("root", "cls"))
-        open_grams = (labelled.groupBy("h").agg(F.min("root").alias("p"), F.max("root").alias("q"))
-                      .where("p <> q").select("h"))
-        left = staged(labelled.join(open_grams, "h", "left_semi"), "open")
-        second = self._pairs(left.alias("x").join(left.alias("y"), "h")
-                             .where("x.cls < y.cls and x.root <> y.root"))
-        more = self.verified(second.join(first.select("a", "b"), ["a", "b"], "left_anti")).toDF("u", "v")
-        self.links = links.union(more)
-        self.roots = components(roots.union(more)) if more.count() else roots
+        links, roots, tried = None, None, None
+        for turn in range(STAR_ROUNDS):
+            left = self._open(entries, roots)
+            order = F.struct(F.xxhash64(F.lit(turn), "cls").alias("turn"), "n", "cls", "i", "root")
+            hubs = left.groupBy("h").agg(F.min(order).alias("y")).select("h", "y.*")
+            pairs = self._pairs(left.alias("x").join(hubs.alias("y"), "h").where("x.root <> y.root"))
+            roots, links, tried = self._grow(pairs, roots, links, tried)
+        left = self._open(entries, roots).join(self.classes.select("cls", "parity"), "cls")
+        left = staged(left, "open")
+        pairs = self._pairs(left.alias("x").join(left.alias("y"), "h")
+                            .where("x.cls < y.cls and x.root <> y.root").where(self._near()))
+        self.roots, self.links, _ = self._grow(pairs, roots, links, tried)
         return self
 
+    def _open(self, entries: DataFrame, roots: DataFrame | None) -> DataFrame:
+        """Entries with their component's root, of n-grams that several components share."""
+        if roots is None:
+            return entries.withColumn("root", F.col("cls"))
+        rooted = entries.join(roots.toDF("cls", "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        shared = rooted.groupBy("h").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q")
+        return rooted.join(shared.select("h"), "h", "left_semi")
+
+    def _grow(self, pairs: DataFrame, roots, links, tried):
+        """Verify the pairs not tried before; components, links and tried pairs with them."""
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = staged(pairs, "candidates")
+        found = self.verified(pairs).toDF("u", "v")
+        tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
+        if roots is None:
+            return components(found), found, tried
+        return components(roots.union(found)), links.union(found), tried
+
     def groups(self) -> DataFrame:
         """One row per input row: id, n_shingles, component_id (smallest id reachable by links)."""
         named = self.classes.select("cls", "id").join(self.roots.toDF("cls", "root"), "cls", "left").withColumn(
