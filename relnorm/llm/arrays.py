@@ -35,7 +35,7 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the hash multiplier and of its inverse mod 2^64."""
     if len(_powers[0]) < n:
-        size = 1 << int(n - 1).bit_length()
+        size = (n >> 20) + 1 << 20
         for k, base in enumerate((_MULT, _INVERSE)):
             steps = np.full(size, np.uint64(base), np.uint64)
             steps[0] = 1

@@ -24,7 +24,8 @@ from relnorm.llm.shared import bins_for, folder, staged
 from relnorm.llm.suffix_array import adjacent_prefixes, suffix_array, words_at
 
 PACK_BYTES = 3 << 20
-GRAM = 16
+SORT_BYTES = 1 << 20
+GRAM = 12
 NO_ID = np.iinfo(np.int64).max
 
 _PACKS = pa.schema([("pack", pa.int64()), ("ids", pa.binary()), ("lens", pa.binary()), ("text", pa.binary())])
@@ -115,29 +116,25 @@ def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
 
 def _planes(x: np.ndarray) -> bytes:
     """64-bit integers byte plane by byte plane, which compresses small ones well."""
-    return np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
 def _send(length: int, bins: int):
     def run(parts):
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=5)
         for part in parts:
             for number, *columns in zip(*(c.to_pylist() for c in part.columns)):
                 pack = Pack(*columns, length, bins)
                 if not len(pack.start):
                     continue
-                lens = pack.count[pack.sent] + length - 1
-                text = pack.text[_ranges(pack.start[pack.sent], lens)]
-                ends = np.concatenate([[0], np.cumsum(lens)])
-                base = int(pack.ids[pack.ids != NO_ID].min(initial=NO_ID))
                 used, payloads = [], []
                 for b in np.flatnonzero(np.diff(pack.bounds)):
                     lo, hi = pack.bounds[b], pack.bounds[b + 1]
                     some = pack.sent[lo:hi]
-                    ids = pack.ids[pack.doc[some]]
-                    payloads.append(np.array([hi - lo, base], "<i8").tobytes() + squeeze.compress(
+                    text = pack.text[_ranges(pack.start[some], pack.count[some] + length - 1)]
+                    payloads.append(np.int64(hi - lo).tobytes() + squeeze.compress(
                         pack.count[some].astype(np.uint8).tobytes() + pack.lead[some].astype(np.uint8).tobytes()
-                        + _planes(np.where(ids == NO_ID, -1, ids - base)) + text[ends[lo]:ends[hi]].tobytes()))
+                        + _planes(np.diff(pack.ids[pack.doc[some]].view("<u8"), prepend=np.uint64(0))) + text.tobytes()))
                     used.append(int(b))
                 for k in range(0, len(used), 64):
                     yield pa.RecordBatch.from_arrays(
@@ -147,10 +144,18 @@ def _send(length: int, bins: int):
 
 
 def _unpack(payload: bytes):
-    n, base = np.frombuffer(payload, "<i8", 2)
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload[16:]), np.uint8)
-    ids = np.ascontiguousarray(raw[2 * n:10 * n].reshape(8, n).T).view("<i8").ravel()
-    return raw[:n].astype(np.int64), raw[n:2 * n].astype(np.int64), np.where(ids < 0, NO_ID, ids + base), raw[10 * n:]
+    n = int(np.frombuffer(payload, "<i8", 1)[0])
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload[8:]), np.uint8)
+    steps = np.ascontiguousarray(raw[2 * n:10 * n].reshape(8, n).T).view("<u8").ravel()
+    return raw[:n].astype(np.int64), raw[n:2 * n].astype(np.int64), np.cumsum(steps, dtype=np.uint64).view("<i8"), raw[10 * n:]
+
+
+def _window_names(words: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the ``length`` bytes at each place, from the eight bytes at every place."""
+    out = np.full(len(windows), length, np.uint64)
+    for skip in [*range(0, length - 7, 8), length - 8]:
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + words[windows + skip])
+    return out
 
 
 def _repeated(keys: np.ndarray, owner: np.ndarray | None = None) -> np.ndarray:
@@ -171,12 +176,13 @@ def _repeated(keys: np.ndarray, owner: np.ndarray | None = None) -> np.ndarray:
 def covered_windows(text: np.ndarray, starts: np.ndarray, counts: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
     """A bit per window of each string: whether a string of a smaller id has the window too.
 
-    String ``k`` is ``text[starts[k]:]`` with ``counts[k]`` windows (64 at most).
+    String ``k`` is ``text[starts[k]:]`` with ``counts[k]`` windows (64 at most
+    and no more than ``length + 1``, so that its first and last one are all of it).
     """
     lens = counts + length - 1
-    sums = prefix_sums(text)
-    names = span_hash(sums, starts, starts + lens)
-    _, alone, whose = np.unique(names, return_index=True, return_inverse=True)
+    words = words_at(text)
+    names = _window_names(words, starts, length) * np.uint64(3) + _window_names(words, starts + counts - 1, length)
+    _, alone, whose = np.unique(names + counts.astype(np.uint64), return_index=True, return_inverse=True)
     least = np.full(len(alone), NO_ID)
     np.minimum.at(least, whose, ids)
     chars = text[_ranges(starts[alone], lens[alone])]
@@ -200,6 +206,20 @@ def covered_windows(text: np.ndarray, starts: np.ndarray, counts: np.ndarray, id
     return np.bitwise_or.reduceat(bits, np.concatenate([[0], np.cumsum(counts)])[:-1])
 
 
+def _judge(text: np.ndarray, starts: np.ndarray, counts: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
+    """``covered_windows``, sorting only the strings that share a window with another one."""
+    lens = counts + length - 1
+    chars = text[_ranges(starts, lens)]
+    begins = np.concatenate([[0], np.cumsum(lens)])[:-1]
+    owner = np.repeat(np.arange(len(starts)), counts)
+    shared = _repeated(_window_names(words_at(chars), _ranges(begins, counts), length), owner)
+    keep = np.flatnonzero(np.bincount(owner, shared, len(starts)) > 0)
+    masks = np.zeros(len(starts), np.uint64)
+    if len(keep):
+        masks[keep] = covered_windows(chars, begins[keep], counts[keep], ids[keep], length)
+    return masks
+
+
 def _compare(length: int):
     """One k-gram range: which windows of which pack's strings a smaller document has."""
     def run(table: pa.Table) -> pa.Table:
@@ -212,19 +232,19 @@ def _compare(length: int):
         starts = np.concatenate([[0], np.cumsum(lens)])[:-1]
         row = np.repeat(np.arange(len(packs)), sizes)
         place = np.arange(len(counts)) - np.repeat(np.concatenate([[0], np.cumsum(sizes)])[:-1], sizes)
-        grams = text[(starts + leads)[:, None] + np.arange(GRAM)].view("<u8")
-        may = np.flatnonzero(_repeated(mix64(grams[:, 0]) * np.uint64(3) + grams[:, 1]))
+        names = np.zeros(len(counts), np.uint64)
+        for k in range(GRAM):
+            names = names * np.uint64(0x100000001B3) + text[starts + leads + k]
+        names = mix64(names)
+        may = np.flatnonzero(_repeated(names))
         masks = np.zeros(len(counts), np.uint64)
-        if len(may):
-            # Only strings that share a window with another are worth sorting.
-            chars = text[_ranges(starts[may], lens[may])]
-            begins = np.concatenate([[0], np.cumsum(lens[may])])[:-1]
-            windows = _ranges(begins, counts[may])
-            owner = np.repeat(np.arange(len(may)), counts[may])
-            shared = _repeated(span_hash(prefix_sums(chars), windows, windows + length), owner)
-            keep = np.flatnonzero(np.bincount(owner, shared, len(may)) > 0)
-            if len(keep):
-                masks[may[keep]] = covered_windows(chars, begins[keep], counts[may][keep], ids[may][keep], length)
+        # Strings of one k-gram stay together; several rounds keep the sorted text small.
+        rounds = int(lens[may].sum()) // SORT_BYTES + 1
+        turn = (names[may] % np.uint64(rounds)).astype(np.int64)
+        may = may[np.argsort(turn, kind="stable")]
+        for some in np.split(may, np.cumsum(np.bincount(turn, minlength=rounds))[:-1]):
+            if len(some):
+                masks[some] = _judge(text, starts[some], counts[some], ids[some], length)
         hit = np.flatnonzero(masks)
         bounds = np.searchsorted(row[hit], np.arange(len(packs) + 1))
         rows = [(at, int(packs[k]), np.ascontiguousarray(place[hit[lo:hi]].astype("<u4")).tobytes()
@@ -304,7 +324,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     if not GRAM + 7 < length <= GRAM + 63:
         raise ValueError(f"length must lie between {GRAM + 8} and {GRAM + 63}")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    bins = bins_for(docs.sparkSession, rows, 2 << 20)
+    bins = bins_for(docs.sparkSession, rows, 8 << 20)
     packs = staged(rows.mapInArrow(_pack_rows, "pack long, ids binary, lens binary, text binary"), "packs")
     strings = packs.mapInArrow(_send(length, bins), "bin long, pack long, payload binary")
     masks = strings.groupBy("bin").applyInArrow(_compare(length), "bin long, pack long, payload binary")
