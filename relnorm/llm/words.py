@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # `lower` also changes letters outside ASCII; only texts that hold one take the per-character path.
-_OTHER_UPPER = r"[[\p{Lu}\p{Lt}\p{Nl}\p{So}]&&[^A-Z]]"
+_OTHER_UPPER = r"[[^\x00-\x7F]&&[\p{Lu}\p{Lt}\p{Nl}\p{So}]]"
 
 
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z lower-cased and nothing else changed; null is empty."""
     text = F.coalesce(text, F.lit(""))
-    return F.when(text.rlike(_OTHER_UPPER), F.translate(
+    other = (F.octet_length(text) != F.length(text)) & text.rlike(_OTHER_UPPER)
+    return F.when(other, F.translate(
         text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.lower(text))
 
 
 def words(text: Column) -> Column:
     """Array of the words of ``text``; empty for null and for texts without words."""
-    return F.filter(F.split(lower_ascii(text), SEPARATORS), lambda w: w != "")
+    return F.array_remove(F.split(lower_ascii(text), SEPARATORS), "")
 
 
 def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame:
