@@ -73,7 +73,7 @@ def sample_features(sample, options: dict) -> tuple[np.ndarray, list[np.ndarray]
 
     got = sample.select("label", "text").mapInArrow(run, "label string, features binary").toArrow()
     rows = sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))  # a fixed order of the sample
-    return np.array([r[0] for r in rows]), [np.frombuffer(r[1], np.uint32) for r in rows]
+    return np.array([r[0] for r in rows], "U64"), [np.frombuffer(r[1], np.uint32) for r in rows]
 
 
 def score_rows(weights: np.ndarray, bias: float, slope: float, options: dict, threshold: float):

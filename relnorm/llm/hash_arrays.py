@@ -1,6 +1,7 @@
 """Sorted hash arrays in files of the shared folder, mapped into memory by tasks.
 
-A file holds the columns of one hash range, sorted by the first.  Where the
+A file holds the columns of one hash range, sorted by the first; each of the
+others takes the narrowest unsigned integers that hold it.  Where the
 folder is a mounted path the file is memory-mapped, so that all tasks of a
 machine share its pages; from another store it is read through Arrow's file
 systems.  A file appears under its name only when it is complete, and a rerun
@@ -23,8 +24,11 @@ def _local(path: str) -> str | None:
 
 
 def write_columns(path: str, columns: list[np.ndarray]) -> None:
-    """Write equally long columns as one file."""
-    parts = [np.int64(len(columns[0])).tobytes()] + [np.ascontiguousarray(c).tobytes() for c in columns]
+    """Write equally long columns of non-negative integers as one file."""
+    columns = [columns[0].astype("<u8")] + [
+        c.astype(f"<{np.min_scalar_type(int(c.max(initial=0))).str[1:]}") for c in columns[1:]]
+    head = np.array([len(columns[0])] + [c.itemsize for c in columns], "<i8")
+    parts = [head.tobytes()] + [c.tobytes() for c in columns]
     draft, local = f"{path}.{uuid.uuid4().hex}", _local(path)
     if local is not None:
         draft = _local(draft)
@@ -41,24 +45,24 @@ def write_columns(path: str, columns: list[np.ndarray]) -> None:
         store.move(draft_name, name)
 
 
-def read_columns(path: str, types: list[str]) -> list[np.ndarray]:
-    """The columns of a file; none of a missing one has rows (its hash range is empty)."""
+def read_columns(path: str, number: int) -> list[np.ndarray]:
+    """The ``number`` columns of a file; none of a missing one has rows (its hash range is empty)."""
     local = _local(path)
     if local is not None:
         if not os.path.exists(local):
-            return [np.empty(0, t) for t in types]
+            return [np.empty(0, np.uint64)] * number
         data = np.memmap(local, np.uint8, "r")
     else:
         store, name = fs.FileSystem.from_uri(path)
         if store.get_file_info(name).type == fs.FileType.NotFound:
-            return [np.empty(0, t) for t in types]
+            return [np.empty(0, np.uint64)] * number
         with store.open_input_file(name) as f:
             data = np.frombuffer(f.read(), np.uint8)
-    n, at, out = int(data[:8].view(np.int64)[0]), 8, []
-    for t in types:
-        size = n * np.dtype(t).itemsize
-        out.append(data[at:at + size].view(t))
-        at += size
+    n, *sizes = data[:8 * (number + 1)].view("<i8").tolist()
+    at, out = 8 * (number + 1), []
+    for size in sizes:
+        out.append(data[at:at + size * n].view(f"<u{size}"))
+        at += size * n
     return out
 
 

@@ -26,9 +26,9 @@ from relnorm.llm.shared import bins_for, folder
 BEGIN = np.uint64(0x5DEECE66D1234567)
 END = np.uint64(0xC2B2AE3D27D4EB4F)
 FLUSH = 3_000_000
-BIGRAM_FILE = ["<u8", "<u4"]
+BIGRAM_FILE = 2  # columns: bigram, count
 #: word, count as context, contexts' bigrams seen once, twice, more often, distinct words before it
-WORD_FILE = ["<u8", "<i8", "<i8", "<i8", "<i8", "<i8"]
+WORD_FILE = 6
 _BLOBS = pa.schema([("bin", pa.int64()), ("payload", pa.binary())])
 _TOTALS = pa.schema([(k, pa.int64()) for k in (
     "tokens", "types", "bigrams", "b1", "b2", "b3", "b4", "w1", "w2", "w3", "w4")])
@@ -126,7 +126,7 @@ def _merge_bigrams(path: str, bins: int):
         keys = bigram_hash(before, tokens)
         order = np.argsort(keys)
         heads, keys, (counts,) = _sums(order, keys, [counts.astype(np.int64)])
-        write_columns(f"{path}/bigrams-{table.column('bin')[0].as_py()}", [keys, np.minimum(counts, 2**32 - 1).astype("<u4")])
+        write_columns(f"{path}/bigrams-{table.column('bin')[0].as_py()}", [keys, counts])
         before, tokens = before[order[heads]], tokens[order[heads]]
         one, two, more = (counts == 1).astype(np.int64), (counts == 2).astype(np.int64), (counts > 2).astype(np.int64)
         order = np.argsort(before)
@@ -211,15 +211,15 @@ class KneserNey:
         rest = max(self.types - w[0] - w[1], 0)
         self.new_mass = (self.word_cut[1:] @ [w[0], w[1], rest] / self.bigrams) if self.bigrams else 1.0
 
-    def _in_ranges(self, ranges: np.ndarray, keys: np.ndarray, name: str, types: list[str]) -> list[np.ndarray]:
+    def _in_ranges(self, ranges: np.ndarray, keys: np.ndarray, name: str, columns: int) -> list[np.ndarray]:
         """Values of the stored columns for distinct keys, 0 where a key is not stored."""
         order = np.lexsort((keys, ranges))
-        out = [np.zeros(len(keys), np.int64) for _ in types[1:]]
+        out = [np.zeros(len(keys), np.int64) for _ in range(columns - 1)]
         cuts = np.searchsorted(ranges[order], np.arange(self.bins + 1))
         for k in range(self.bins):
             some = order[cuts[k]:cuts[k + 1]]
             if len(some):
-                stored = read_columns(f"{self.path}/{name}-{k}", types)
+                stored = read_columns(f"{self.path}/{name}-{k}", columns)
                 at, there = look_up(stored[0], keys[some])
                 for values, column in zip(out, stored[1:]):
                     values[some[there]] = column[at[there]]

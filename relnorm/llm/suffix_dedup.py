@@ -276,9 +276,9 @@ def _clean(path: str, length: int, bins: int):
                 pack = Pack(*columns, length, bins)
                 removed = np.zeros(len(pack.text) + 1, np.int32)
                 if len(pack.start):
-                    ranges, places, found = read_columns(f"{path}/{number}", ["<i8", "<i8", "<u8"])
+                    ranges, places, found = read_columns(f"{path}/{number}", 3)
                     masks = np.zeros(len(pack.start), np.uint64)
-                    masks[pack.sent[pack.bounds[ranges] + places]] = found
+                    masks[pack.sent[pack.bounds[ranges.astype(np.int64)] + places.astype(np.int64)]] = found
                     masks = masks[pack.first]
                     masks[pack.ids[pack.doc] > pack.ids[pack.doc[pack.first]]] = np.uint64(0xFFFFFFFFFFFFFFFF)
                     hit = np.flatnonzero(masks)
