@@ -37,7 +37,7 @@ def path_kind(path, kinds=("issues", "ingest", "digitisation", "data-provider"),
     return expr.otherwise(F.lit(default))
 
 
-def within_size(length, max_bytes: float = 1.5e9) -> Column:
+def within_size(length, max_bytes: float) -> Column:
     return as_col(length) <= F.lit(max_bytes)
 
 

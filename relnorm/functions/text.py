@@ -14,16 +14,16 @@ DECODE_ERROR = "invalid UTF-8 byte sequence"
 
 
 def _strip(c: Column) -> Column:
-    # Python's str.strip() removes whitespace at both ends; Spark's trim only
-    # spaces, so strip with a regex.
-    return F.regexp_replace(F.regexp_replace(c, r"^\s+", ""), r"\s+$", "")
+    # Python's str.strip() removes Unicode white space and the separators
+    # \x1c-\x1f at both ends; Spark's trim only spaces, so strip with a regex.
+    return F.regexp_replace(F.regexp_replace(c, r"(?U)\A[\s\x1C-\x1F]+", ""), r"(?U)[\s\x1C-\x1F]+\z", "")
 
 
 def clean_title(title) -> Column:
     """rstrip ``.`` → strip → rstrip ``:`` → strip; NULL → ``''``."""
-    c = F.regexp_replace(as_col(title), r"\.+$", "")
+    c = F.regexp_replace(as_col(title), r"\.+\z", "")
     c = _strip(c)
-    c = F.regexp_replace(c, r":+$", "")
+    c = F.regexp_replace(c, r":+\z", "")
     return F.coalesce(_strip(c), F.lit(""))
 
 
@@ -34,7 +34,7 @@ def cap_title(title, max_chars: int = TITLE_MAX_CHARS) -> Column:
 def invert_article(title) -> Column:
     """``X, The`` → ``The X`` (case-insensitive suffix, trimmed first)."""
     t = _strip(as_col(title))
-    return F.regexp_replace(t, r"(?is)^(.*), the$", "The $1")
+    return F.regexp_replace(t, r"(?is)^(.*), the\z", "The $1")
 
 
 def slug(text) -> Column:
@@ -129,7 +129,8 @@ def renumber_label(label, max_number, index: int = -1, width: int | None = None)
     match = F.try_element_at(found, F.lit(index if index < 0 else index + 1))
     digits = F.length(as_col(max_number).cast("string")) + 1
     w = digits if width is None else F.greatest(digits, F.lit(width))
-    padded = F.lpad(match.cast("decimal(38,0)").cast("string"), w, "0")
+    number = F.regexp_replace(match, r"^0+(?=\d)", "")  # as text: any number of digits
+    padded = F.lpad(number, F.greatest(w, F.length(number)), F.lit("0"))
     pos = F.instr(lab, match)
     return F.when(match.isNull(), lab).otherwise(
         F.concat(F.substring(lab, F.lit(1), pos - 1), padded,

@@ -1,23 +1,14 @@
 """Dense ordered surrogate keys without a single-task bottleneck.
 
 ``row_number()`` over an unpartitioned window moves every row into one task.
-``dense_key`` instead:
-
-1. counts the rows (one pruned job);
-2. for a small input (≤ ``small_rows``) numbers in one window — the size is
-   proven by the count;
-3. otherwise samples the order key (bounded: ~``SAMPLE_PER_BUCKET`` rows per
-   bucket), picks ``buckets - 1`` boundary keys and assigns each row an
-   order-preserving bucket by binary search over literal struct boundaries;
-4. numbers rows inside each bucket (one shuffle on the bucket), and adds a
-   per-bucket offset from a table of at most ``buckets`` rows, which is
-   therefore safe to broadcast.
-
-Buckets come from the *full* order key, so a hot leading value (one
-publication holding a third of all items) is split across many buckets.
-The order key must be a total order (unique); pass ``tiebreak`` columns
-otherwise.  Determinism: boundaries are literals; no physical partition id
-is used, so AQE coalescing or task retries cannot move keys.
+``dense_key`` range-partitions the rows by the *full* order key instead, so a
+hot leading value is split over many tasks, sorts within partitions and lets
+``monotonically_increasing_id`` number them.  The numbered rows are staged
+once; everything after reads them as written, so neither retries nor
+coalescing can move a key.  A table of one row per partition (broadcast: its
+size is the number of partitions) turns the ids into 1, 2, 3, ...
+
+The order key must be a total order; pass ``tiebreak`` columns otherwise.
 """
 
 from __future__ import annotations
@@ -26,66 +17,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from relnorm.functions._util import as_col
+from relnorm.session import stage
 
-SAMPLE_PER_BUCKET = 64
-MAX_BUCKETS = 4096
-SMALL_ROWS = 200_000
-
+_ROW_BITS = 33  # monotonically_increasing_id keeps the row within its partition in the low bits
 
-def _bucket_expr(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
-    # number of boundaries <= key, by binary search over bounds[lo:hi]
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key < bounds[mid], _bucket_expr(key, bounds, lo, mid)).otherwise(
-        _bucket_expr(key, bounds, mid + 1, hi))
 
-
-def dense_key(df: DataFrame, order_by, pk: str = "pk", start: int = 1,
-              buckets: int | None = None, small_rows: int = SMALL_ROWS,
-              tiebreak=()) -> DataFrame:
+def dense_key(df: DataFrame, order_by, pk: str = "pk", start: int = 1, tiebreak=()) -> DataFrame:
     """Add ``pk`` = start, start+1, … following ``order_by`` (ascending,
     NULLs first).  ``order_by`` items are column names or Columns."""
-    spark = df.sparkSession
     exprs = [as_col(c) for c in list(order_by) + list(tiebreak)]
     names = [f"_ok{i}" for i in range(len(exprs))]
-    keyed = df.withColumns(dict(zip(names, exprs)))
     asc = [F.col(n).asc_nulls_first() for n in names]
-    n_rows = keyed.select(*names).count()
-    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nb = max(1, min(nb, MAX_BUCKETS))
-    if n_rows <= small_rows or nb == 1:
-        # proven small by the count above: one window task is fine
-        out = keyed.withColumn(pk, (F.row_number().over(Window.orderBy(*asc))
-                                    + F.lit(start - 1)).cast("bigint"))
-        return out.drop(*names)
-
-    frac = min(1.0, SAMPLE_PER_BUCKET * nb / float(n_rows))
-    sample = keyed.select(*names).sample(False, frac, seed=7).orderBy(*asc).collect()
-    types = dict(keyed.select(*names).dtypes)
-    raw = []
-    for i in range(1, nb):
-        row = sample[i * len(sample) // nb] if sample else None
-        if row is not None and (not raw or tuple(row) != raw[-1]):
-            raw.append(tuple(row))
-    key = F.struct(*[F.col(n) for n in names])
-    bounds = [F.struct(*[F.lit(v).cast(types[n]).alias(n) for n, v in zip(names, r)])
-              for r in raw]
-    bucketed = keyed.withColumn("_okb", _bucket_expr(key, bounds, 0, len(bounds)))
-
-    within = Window.partitionBy("_okb").orderBy(*asc)
-    numbered = bucketed.withColumn("_okrn", F.row_number().over(within))
-    # bucket sizes from the window output: same hash exchange, reused, so the
-    # input is evaluated once for numbering and counting together
-    counts = numbered.groupBy("_okb").agg(F.max("_okrn").alias("_okn"))
-    before = Window.orderBy("_okb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_okb", F.coalesce(F.sum("_okn").over(before), F.lit(0))
-                            .alias("_okoff"))
-    # offsets has at most `nb` rows: a proven bound, so broadcast it
-    out = numbered.join(F.broadcast(offsets), "_okb")
-    out = out.withColumn(pk, (F.col("_okoff") + F.col("_okrn") + F.lit(start - 1))
-                         .cast("bigint"))
-    return out.drop(*names, "_okb", "_okoff", "_okrn")
+    numbered = stage(df.withColumns(dict(zip(names, exprs))).repartitionByRange(*asc)
+                     .sortWithinPartitions(*asc).drop(*names)
+                     .withColumn("_okid", F.monotonically_increasing_id()))
+    part = F.shiftright("_okid", _ROW_BITS)
+    before = Window.orderBy("_okpart").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (numbered.groupBy(part.alias("_okpart")).agg(F.count(F.lit(1)).alias("_okn"))
+               .select("_okpart", F.coalesce(F.sum("_okn").over(before), F.lit(0)).alias("_okoff")))
+    out = numbered.withColumn("_okpart", part).join(F.broadcast(offsets), "_okpart")
+    row = F.col("_okid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return out.withColumn(pk, (F.col("_okoff") + row + F.lit(start)).cast("bigint")).drop(
+        "_okpart", "_okid", "_okoff")
 
 
 def with_offset(df: DataFrame, pk: str, initial_pk: int) -> DataFrame:

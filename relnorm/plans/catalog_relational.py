@@ -27,8 +27,7 @@ def dense_key_lineitem(spark, sf):
     li = table(spark, sf, "lineitem")
     order = ["l_orderkey", "l_linenumber"]
     tie = [c for c in _LI_COLS if c not in order]
-    # small_rows lowered so the check exercises the bucketed path
-    k = O.dense_key(li, order, tiebreak=tie, small_rows=10_000)
+    k = O.dense_key(li, order, tiebreak=tie)
     return k.select("pk", "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
                     "l_partkey", "l_suppkey", "l_quantity",
                     F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate"))

@@ -162,7 +162,9 @@ def build_tables(spark: SparkSession, docs: DataFrame, authority: DataFrame | No
     # all items may sit in one collection, so never shuffle on it)
     items = resolve_fk(items, providers, {"collection": "collection_name"}, as_name="data_provider_id",
                        broadcast=True)
-    item = dense_key(items, ["collection", "shard", "publication_code", "item_code"]).drop(
+    # two versions of an article share a code: every other column breaks the tie
+    order = ["collection", "shard", "publication_code", "item_code"]
+    item = dense_key(items, order, tiebreak=[c for c in items.columns if c not in order]).drop(
         "digitisation_software", "ingest_name", "ingest_version", "shard")
 
     report = good.groupBy("archive", "archive_name", "collection").agg(

@@ -22,7 +22,8 @@ CHUNK_PAD = 6
 
 def _chunked(df: DataFrame, pk: str, chunk_size: int, initial_pk: int) -> DataFrame:
     c = chunk_number(F.col(pk), chunk_size, initial_pk)
-    return df.withColumn("chunk", F.lpad(c.cast("string"), CHUNK_PAD, "0"))
+    label = c.cast("string")  # padded, never cut
+    return df.withColumn("chunk", F.lpad(label, F.greatest(F.length(label), F.lit(CHUNK_PAD)), F.lit("0")))
 
 
 def write_fixture_json(df: DataFrame, path: str, model: str, pk: str = "pk",
@@ -84,7 +85,8 @@ def export_tables(tables: dict, base: str, formats=("json", "csv"), chunk_size:
             elif fmt == "csv":
                 write_fixture_csv(df, p, chunk_size=chunk_size, compression=compression)
             elif fmt == "parquet":
-                df.write.mode("overwrite").parquet(p)
+                w = df.write.mode("overwrite")
+                (w.option("compression", compression) if compression else w).parquet(p)
             else:
                 raise ValueError(f"unknown format {fmt}")
             out[(name, fmt)] = p

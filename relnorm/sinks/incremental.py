@@ -34,7 +34,7 @@ def insert_if_absent(spark: SparkSession, new: DataFrame, path: str, keys, order
     start = 1
     if _exists(spark, path):
         stored = spark.read.parquet(path)
-        fresh = fresh.join(stored.select(*keys).distinct(), keys, "left_anti")
+        fresh = fresh.join(stored.select(*keys), keys, "left_anti")
         if pk:
             mx = stored.agg(F.max(pk)).first()[0]
             start = (mx or 0) + 1
@@ -49,7 +49,7 @@ def append_distinct(spark: SparkSession, new: DataFrame, path: str) -> None:
     columns, NULLs compared equal)."""
     fresh = new.dropDuplicates()
     if _exists(spark, path):
-        stored = spark.read.parquet(path).dropDuplicates()
+        stored = spark.read.parquet(path)  # distinct by construction
         cond = reduce(lambda a, b: a & b, [fresh[c].eqNullSafe(stored[c]) for c in new.columns])
         fresh = fresh.join(stored, cond, "left_anti")
     fresh.write.mode("append").parquet(path)

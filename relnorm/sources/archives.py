@@ -29,7 +29,7 @@ ENTRY_SCHEMA = StructType([
     StructField("archive", StringType()), StructField("entry_index", LongType()),
     StructField("entry_name", StringType()), StructField("file_size", LongType()),
     StructField("compress_size", LongType()), StructField("header_offset", LongType()),
-    StructField("compress_type", IntegerType()),
+    StructField("compress_type", IntegerType()), StructField("crc", LongType()),
 ])
 
 CONTENT_SCHEMA = StructType([
@@ -73,7 +73,7 @@ def _central_directory(batches):
                     if info.is_dir():
                         continue
                     rows.append((uri, i, info.filename, info.file_size, info.compress_size,
-                                 info.header_offset, info.compress_type))
+                                 info.header_offset, info.compress_type, info.CRC))
                     if len(rows) >= 10_000:
                         yield pd.DataFrame(rows, columns=ENTRY_SCHEMA.fieldNames())
                         rows = []
@@ -87,7 +87,8 @@ def zip_entries(manifest: DataFrame) -> DataFrame:
     return manifest.select("path").repartition(n, "path").mapInPandas(_central_directory, ENTRY_SCHEMA)
 
 
-def _inflate(fh, offset: int, csize: int, method: int, name: str):
+def _inflate(fh, offset: int, csize: int, method: int, name: str, size: int, crc: int):
+    """The entry's bytes, whole and checked against the directory's length and CRC; None for other methods."""
     fh.seek(offset)
     head = fh.read(30)
     if len(head) < 30 or head[:4] != b"PK\x03\x04":
@@ -95,11 +96,16 @@ def _inflate(fh, offset: int, csize: int, method: int, name: str):
     n_len, x_len = struct.unpack("<HH", head[26:30])
     fh.seek(offset + 30 + n_len + x_len)
     data = fh.read(csize)
-    if method == 0:
-        return data
+    if method not in (0, 8):
+        return None
+    whole = len(data) == csize
     if method == 8:
-        return zlib.decompressobj(-15).decompress(data)
-    return None
+        stream = zlib.decompressobj(-15)
+        data = stream.decompress(data)
+        whole = whole and stream.eof
+    if not whole or len(data) != size or zlib.crc32(data) != crc:
+        raise IOError(f"damaged entry {name}: it is cut short or its CRC differs")
+    return data
 
 
 def _read_units(batches):
@@ -111,7 +117,8 @@ def _read_units(batches):
             with _open(uri) as fh:
                 zf = None
                 for r in grp.itertuples(index=False):
-                    data = _inflate(fh, r.header_offset, r.compress_size, r.compress_type, r.entry_name)
+                    data = _inflate(fh, r.header_offset, r.compress_size, r.compress_type, r.entry_name,
+                                    r.file_size, r.crc)
                     if data is None:  # other methods: fall back to the zip module
                         zf = zf or zipfile.ZipFile(_open(uri))
                         data = zf.read(r.entry_name)

@@ -38,10 +38,11 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType | str | N
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             columns=None, header: bool = True) -> DataFrame:
-    """CSV with header, quoted multi-line fields; codes stay strings (pass a
-    schema — never infer — so leading zeros survive)."""
-    r = (spark.read.option("header", str(header).lower()).option("multiLine", "true")
+             columns=None, header: bool = True, multiline: bool = True) -> DataFrame:
+    """CSV with header; codes stay strings (pass a schema — never infer — so
+    leading zeros survive).  ``multiline`` allows line breaks in quoted fields,
+    at the price of one task per file; without it large files are split."""
+    r = (spark.read.option("header", str(header).lower()).option("multiLine", str(multiline).lower())
          .option("quote", '"').option("escape", '"'))
     r = r.schema(schema) if schema is not None else r.option("inferSchema", "false")
     df = r.csv(path)

@@ -15,7 +15,7 @@ def _skewed(spark, n=30_000):
 
 def test_dense_key_matches_row_number_under_skew(spark):
     df = _skewed(spark)
-    k = O.dense_key(df, ["grp", "id"], small_rows=100, buckets=16)
+    k = O.dense_key(df, ["grp", "id"])
     ref = df.withColumn("rpk", F.row_number().over(Window.orderBy("grp", "id")))
     j = k.join(ref, ["grp", "id"])
     assert j.filter(F.col("pk") != F.col("rpk")).count() == 0
@@ -25,11 +25,11 @@ def test_dense_key_matches_row_number_under_skew(spark):
 def test_dense_key_independent_of_shuffle_partitions(spark):
     df = _skewed(spark, 5_000)
     results = []
-    for n in (1, 7):
+    for n in (1, 7, 200):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
-        results.append(sorted(tuple(r) for r in O.dense_key(df, ["grp", "id"], small_rows=10).collect()))
+        results.append(sorted(tuple(r) for r in O.dense_key(df, ["grp", "id"]).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert results[0] == results[1]
+    assert results[0] == results[1] == results[2]
 
 
 def test_dense_key_offset_and_chunks(spark):
@@ -85,3 +85,52 @@ def test_snowflake_split_skips_blank(spark):
     fact, dim = O.snowflake_split(df, ["seg"], pk="pk", fk_name="seg_id")
     assert {r.seg: r.pk for r in dim.collect()} == {"a": 1, "x": 2}
     assert {r.id: r.seg_id for r in fact.collect()} == {1: 2, 2: None, 3: None, 4: 2, 5: 1}
+
+
+def test_dense_key_breaks_ties_the_same_way_for_any_partitioning(spark):
+    df = spark.range(400).select((F.col("id") % 5).alias("k"), (F.col("id") % 50).alias("t"), F.col("id").alias("v"))
+    keyed = [sorted(tuple(r) for r in O.dense_key(df.repartition(n), ["k"], tiebreak=["t", "v"]).collect()) for n in (2, 7)]
+    assert keyed[0] == keyed[1] and [r[3] for r in sorted(keyed[0], key=lambda r: r[:3])] == list(range(1, 401))
+
+
+def test_chunk_labels_are_never_cut(spark):
+    from relnorm.sinks.fixtures import _chunked
+    df = spark.createDataFrame([(9_999_901,), (99_999_901,), (100_000_001,), (1,)], "pk long")
+    assert [r["chunk"] for r in _chunked(df, "pk", 100, 1).orderBy("pk").collect()] == [
+        "000001", "100000", "1000000", "1000001"]
+
+
+def test_text_follows_python_strip_rules(spark):
+    from relnorm.functions.text import clean_title, invert_article, renumber_label
+    titles = ["The Times.\n", "\u00a0The Times\u2003", "Echo .:", "Echo...", "A:\n", "\x1cB\x1f"]
+    got = spark.createDataFrame([(t,) for t in titles], "t string").select(clean_title("t")).collect()
+    assert [r[0] for r in got] == [t.rstrip(".").strip().rstrip(":").strip() for t in titles]
+    one = spark.createDataFrame([("Times, The", "page " + "9" * 45)], "t string, p string")
+    row = one.select(invert_article("t"), renumber_label("p", F.lit(12))).first()
+    assert row[0] == "The Times" and row[1] == "page " + "9" * 45
+
+
+def test_damaged_archive_entries_are_not_returned_as_whole(spark, scratch):
+    import os
+    import zipfile
+    from relnorm.sources.archives import archive_manifest, read_entries, zip_entries
+    path = os.path.join(scratch, "a.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("x.txt", "plain text " * 50)
+    entries = zip_entries(archive_manifest(spark, scratch))
+    assert read_entries(entries).count() == 1
+    with open(path, "r+b") as f:
+        raw = f.read()
+        f.seek(raw.index(b"plain") + 3)
+        f.write(b"?")
+    with pytest.raises(Exception, match="damaged entry"):
+        read_entries(entries).count()
+
+
+def test_checkpoint_folder_must_be_set_on_a_cluster():
+    from types import SimpleNamespace
+    from relnorm.session import checkpoint_dir
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: {}, getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session)
