@@ -33,7 +33,7 @@ _PLAIN = re.compile(r"[\x00-\x1b\x20-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9\xdf-\xf6\xf8-\xff]+")
 
 
-def encoder(path: str, end_id: int, cached: int = 400_000):
+def encoder(path: str, end_id: int, cached: int = 1_000_000):
     """``text -> bytes`` of little-endian 32-bit ids, the end id last.
 
     The tokenizer never joins what its first split separates.  Plain texts are
@@ -42,8 +42,12 @@ def encoder(path: str, end_id: int, cached: int = 400_000):
     Other texts are encoded by their runs between ASCII white space.  What is
     remembered is forgotten when ``cached`` pieces are held.
     """
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    tokenizer, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    # Pieces are normalised and split already: the model alone is needed for them.
+    plain.normalizer = normalizers.Sequence([])
+    plain.pre_tokenizer = pre_tokenizers.Sequence([
+        pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     vocabulary = tokenizer.get_vocab()
     last = np.zeros(max(vocabulary.values()) + 1, bool)
     last[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
@@ -53,7 +57,7 @@ def encoder(path: str, end_id: int, cached: int = 400_000):
     spaces = str.maketrans("\t\n\r", "   ")
 
     def learn_pieces(new: list[str]) -> None:
-        ids = np.array(tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+        ids = np.array(plain.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
         cuts = np.flatnonzero(last[ids]) + 1
         if len(cuts) == len(new) and (not len(ids) or cuts[-1] == len(ids)):
             blob, at = ids.tobytes(), 0
@@ -70,11 +74,11 @@ def encoder(path: str, end_id: int, cached: int = 400_000):
     def encode(text: str | None) -> bytes:
         if not text:
             return end
-        if _PLAIN.fullmatch(text) and "<|" not in text:
+        if "<|" not in text and _PLAIN.fullmatch(text):
             parts, known, learn = _PIECE.findall(text.lower()), pieces_known, learn_pieces
         else:
             parts, known, learn = text.translate(spaces).split(" "), runs_known, lambda new: learn_runs(new, runs_known)
-        new = [p for p in set(parts) if p not in known]
+        new = list(set(parts).difference(known))
         if new:
             if len(known) + len(new) > cached:
                 known.clear()
@@ -86,7 +90,10 @@ def encoder(path: str, end_id: int, cached: int = 400_000):
 
 def _encode_rows(path: str, end_id: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, end_id)
+        import tokenizers
+        # One encoder, with what it remembers, serves all tasks of a Python worker.
+        kept = vars(tokenizers).setdefault("_encoders_of_this_worker", {})
+        encode = kept.get((path, end_id)) or kept.setdefault((path, end_id), encoder(path, end_id))
         for part in parts:
             for k in range(0, part.num_rows, 256):
                 some = part.slice(k, 256)
