@@ -165,11 +165,18 @@ def _sample_windows(per_text: int):
 
 
 def train_language_network(docs: DataFrame, most_rows: int = 4000, per_text: int = 3, epochs: int = 5,
-                           text_col: str = "text", lang_col: str = "lang") -> Network | None:
-    """The network fitted on at most ``most_rows`` texts with a language; None without any."""
-    chosen = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-              .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-              .orderBy(F.xxhash64("text", "lang"), "text").limit(most_rows))
+                           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:
+    """The network fitted on at most ``most_rows`` texts with a language; None without any.
+
+    The rows with the smallest hashes of their ids serve: the hashes alone are
+    ordered, then the texts below the last one are read.
+    """
+    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.xxhash64(id_col).alias("k"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    cut = rows.select("k").orderBy("k").limit(most_rows).agg(F.max("k")).first()[0]
+    if cut is None:
+        return None
+    chosen = rows.where(F.col("k") <= cut).select("lang", "text").limit(most_rows)
     got = chosen.mapInArrow(_sample_windows(per_text), "lang string, window binary").toArrow()
     rows = sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
     if not rows:
@@ -192,8 +199,8 @@ def identify_languages(docs: DataFrame, folds: int = 4, held_out: int = 2, most_
     """
     aside = fold(id_col, folds) == held_out
     network = train_language_network(
-        docs.where(F.col(id_col).isNotNull() & ~aside).select(text_col, lang_col), most_rows,
-        text_col=text_col, lang_col=lang_col)
+        docs.where(F.col(id_col).isNotNull() & ~aside).select(id_col, text_col, lang_col), most_rows,
+        id_col=id_col, text_col=text_col, lang_col=lang_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), aside.alias("held_out"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
     if network is None:
