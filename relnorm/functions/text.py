@@ -13,7 +13,7 @@ TITLE_MAX_CHARS = 2097151
 DECODE_ERROR = "invalid UTF-8 byte sequence"
 
 
-def _strip(c: Column) -> Column:
+def strip(c: Column) -> Column:
     # Python's str.strip() removes Unicode white space and the separators
     # \x1c-\x1f at both ends; Spark's trim only spaces, so strip with a regex.
     return F.regexp_replace(F.regexp_replace(c, r"(?U)\A[\s\x1C-\x1F]+", ""), r"(?U)[\s\x1C-\x1F]+\z", "")
@@ -22,9 +22,9 @@ def _strip(c: Column) -> Column:
 def clean_title(title) -> Column:
     """rstrip ``.`` → strip → rstrip ``:`` → strip; NULL → ``''``."""
     c = F.regexp_replace(as_col(title), r"\.+\z", "")
-    c = _strip(c)
+    c = strip(c)
     c = F.regexp_replace(c, r":+\z", "")
-    return F.coalesce(_strip(c), F.lit(""))
+    return F.coalesce(strip(c), F.lit(""))
 
 
 def cap_title(title, max_chars: int = TITLE_MAX_CHARS) -> Column:
@@ -33,7 +33,7 @@ def cap_title(title, max_chars: int = TITLE_MAX_CHARS) -> Column:
 
 def invert_article(title) -> Column:
     """``X, The`` → ``The X`` (case-insensitive suffix, trimmed first)."""
-    t = _strip(as_col(title))
+    t = strip(as_col(title))
     return F.regexp_replace(t, r"(?is)^(.*), the\z", "The $1")
 
 
@@ -61,7 +61,7 @@ def split_list(text, sep: str = LIST_SEPARATOR) -> Column:
 
 def trim_elements(arr) -> Column:
     """Strip whitespace of every array element, order and duplicates kept."""
-    return F.transform(as_col(arr), _strip)
+    return F.transform(as_col(arr), strip)
 
 
 def normalise_newlines(text) -> Column:
@@ -103,7 +103,7 @@ def strip_suffix(name, suffix: str) -> Column:
 def blank_to_zero(value) -> Column:
     """Blank or missing numeric text → 0.0, otherwise the number (NULL if not one)."""
     c = as_col(value)
-    return F.when(c.isNull() | (_strip(c) == ""), F.lit(0.0)).otherwise(c.try_cast("double"))
+    return F.when(c.isNull() | (strip(c) == ""), F.lit(0.0)).otherwise(c.try_cast("double"))
 
 
 def upper_or_null(value) -> Column:

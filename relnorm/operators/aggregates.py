@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from relnorm.functions.text import trim_elements
+from relnorm.functions.text import strip
 from relnorm.operators.keys import dense_key
 
 
@@ -21,8 +21,9 @@ def sorted_distinct_dim(df: DataFrame, col: str, pk: str = "pk", label: str | No
 
 def distinct_elements(df: DataFrame, array_col: str, out: str = "label", trim: bool = True) -> DataFrame:
     """Distinct (trimmed) elements over all arrays of a column."""
-    arr = trim_elements(F.col(array_col)) if trim else F.col(array_col)
-    return df.select(F.explode(arr).alias(out)).distinct()
+    values = df.select(F.explode(array_col).alias(out)).distinct()
+    # trimmed after the first distinct: once per distinct value, not per token
+    return values.select(strip(F.col(out)).alias(out)).distinct() if trim else values
 
 
 def sole_value(df: DataFrame, group, value: str, out: str | None = None) -> DataFrame:

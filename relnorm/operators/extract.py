@@ -113,11 +113,25 @@ def ingest_records(df: DataFrame, doc: str = "doc") -> DataFrame:
         F.transform_keys(tool, lambda k, v: F.concat(F.lit("lwm_tool_"), k)).alias("lwm_tool"))
 
 
-def digitisation_records(df: DataFrame, doc: str = "doc") -> DataFrame:
+def unreadable_values(df: DataFrame, doc: str = "doc", keep=()) -> DataFrame:
+    """``keep…, field, value``: numbers of the first item and issue dates that
+    are given (not blank) but cannot be read; the records use defaults instead."""
+    item = F.try_element_at(F.col(f"{doc}.publication.issue.item"), F.lit(1))
+    given = [("word_count", item["word_count"], "bigint"), ("ocr_quality_mean", item["ocr_quality_mean"], "double"),
+             ("ocr_quality_sd", item["ocr_quality_sd"], "double")]
+    bad = [(n, v, v.try_cast(t).isNull()) for n, v, t in given]
+    date = F.col(f"{doc}.publication.issue.date")
+    bad.append(("issue_date", date, F.try_to_date(date, "yyyy-MM-dd").isNull()))
+    values = F.array(*[F.struct(F.lit(n).alias("field"), v.alias("value"),
+                                (v.isNotNull() & (F.trim(v) != "") & wrong).alias("bad")) for n, v, wrong in bad])
+    return df.select(*keep, F.inline(F.filter(values, lambda r: r["bad"]))).drop("bad")
+
+
+def digitisation_records(df: DataFrame, doc: str = "doc", keep=()) -> DataFrame:
     """The four process fields; no row when software is absent or blank."""
     p = F.col(f"{doc}.process")
     row = F.struct(*[p[c].alias(c) for c in ("xml_flavour", "software", "mets_namespace", "alto_namespace")])
     # a filtered one-element array instead of a Filter: a Filter on a parsed
     # field is pushed below the parse and would parse every document twice
     kept = F.filter(F.array(row), lambda r: r["software"].isNotNull() & (r["software"] != ""))
-    return df.select(F.inline(kept))
+    return df.select(F.inline(kept), *keep)

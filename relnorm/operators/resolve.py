@@ -27,6 +27,16 @@ def _pairs(on):
     return [(p, p) if isinstance(p, str) else tuple(p) for p in on]
 
 
+#: A dimension is broadcast on request only up to this counted size.
+BROADCAST_BYTES = 8 << 20
+
+
+def _bytes_of(df: DataFrame) -> int:
+    width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16
+                                        for c in df.columns])
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
 def resolve_fk(df: DataFrame, dim: DataFrame, on, pk: str = "pk", as_name: str | None = None,
                keep: str = "last", policy: str = "null", drop_keys: bool = False,
                broadcast: bool = False) -> DataFrame:
@@ -36,23 +46,29 @@ def resolve_fk(df: DataFrame, dim: DataFrame, on, pk: str = "pk", as_name: str |
     left → right.  Several keys compare column by column (no string
     concatenation, so ``a-b``/``c`` can't collide with ``a``/``b-c``).
     ``policy``: ``null`` keeps NULL for an unresolved key; ``strict`` raises
-    when a non-blank key is unresolved (runs one counting job).
-    ``broadcast``: only for a dimension with a proven size bound (e.g. one row
-    per configured collection); otherwise AQE decides from runtime sizes.
+    when a non-blank key is unresolved (runs one counting job);
+    ``quarantine`` adds ``<as_name>_error``, set when a non-blank key is
+    unresolved (see ``audit.split_by_error``).
+    ``broadcast``: for a dimension expected to be small whose key may be hot in
+    ``df``; its size is counted, and beyond ``BROADCAST_BYTES`` the join is left
+    to AQE like any other.
     """
     pairs = _pairs(on)
     as_name = as_name or pk
     idx = dimension_index(dim, [r for _, r in pairs], pk, keep)
     tmp = {r: f"_fk_r{i}" for i, (_, r) in enumerate(pairs)}
     idx = idx.select(*[F.col(r).alias(t) for r, t in tmp.items()], F.col(pk).alias("_fk_pk"))
-    if broadcast:
+    if broadcast and _bytes_of(idx) <= BROADCAST_BYTES:
         idx = F.broadcast(idx)
     cond = reduce(lambda a, b: a & b, [df[l] == idx[tmp[r]] for l, r in pairs])
     out = df.join(idx, cond, "left").drop(*tmp.values()).withColumnRenamed("_fk_pk", as_name)
-    if policy == "strict":
-        present = reduce(lambda a, b: a & b,
-                         [F.col(l).isNotNull() & (F.col(l).cast("string") != "") for l, _ in pairs])
-        bad = out.filter(present & F.col(as_name).isNull()).select(*[l for l, _ in pairs])
+    present = reduce(lambda a, b: a & b,
+                     [F.col(l).isNotNull() & (F.col(l).cast("string") != "") for l, _ in pairs])
+    unresolved = present & F.col(as_name).isNull()
+    if policy == "quarantine":
+        out = out.withColumn(f"{as_name}_error", F.when(unresolved, F.lit(f"unresolved {as_name}")))
+    elif policy == "strict":
+        bad = out.filter(unresolved).select(*[l for l, _ in pairs])
         from relnorm.operators.audit import fail_if_any
         fail_if_any(bad, f"unresolved foreign key {as_name}")
     if drop_keys:

@@ -3,7 +3,11 @@ one ``fulltext`` table with provenance and a continuous key.
 
 Order of keys: archives by path, entries by path components, loose files
 last.  A path present in several archives keeps the first archive's text and
-provenance.  Invalid UTF-8 gives ``''`` and an error message (never fatal).
+provenance.  Invalid UTF-8 and a damaged entry give ``''`` and an error message
+(never fatal).
+
+Names are chosen and keyed first; texts are read once, afterwards, and cross
+no shuffle before the sink.
 """
 
 from __future__ import annotations
@@ -15,38 +19,41 @@ from relnorm.functions.text import decode_text
 from relnorm.operators.dedupe import keep_first
 from relnorm.operators.keys import dense_key
 from relnorm.operators.sets import union_with_ordinal
-from relnorm.sources.archives import archive_manifest, loose_files, read_entries, zip_entries
+from relnorm.sources.archives import archive_manifest, loose_entries, read_entries, zip_entries
 
 MODEL = "fulltext.fulltext"
 MAX_RECORDS_PER_FILE = 100
 
 
-def archive_texts(spark: SparkSession, path: str, archive_glob: str = "*.zip",
-                  text_suffix: str = ".txt", unit_entries: int = 256) -> DataFrame:
-    """``(path, compressed_path, raw)`` for every text entry of every archive,
-    first archive (by path) winning for a repeated entry path."""
-    manifest = archive_manifest(spark, path, archive_glob)
-    entries = zip_entries(manifest).filter(F.col("entry_name").endswith(text_suffix))
-    content = read_entries(entries, unit_entries)
-    rows = content.select(F.col("entry_name").alias("path"), F.col("archive").alias("compressed_path"),
-                          F.col("content").alias("raw"))
-    return keep_first(rows, ["path"], ["compressed_path"])
+def text_entries(spark: SparkSession, path: str, loose: bool = True, archive_glob: str = "*.zip",
+                 text_glob: str = "*.txt", text_suffix: str = ".txt") -> DataFrame:
+    """Names and places of every text, nothing read; ``_src`` is 0 in archives,
+    1 for loose files.  The first archive (by path) wins for a repeated name."""
+    entries = zip_entries(archive_manifest(spark, path, archive_glob)).filter(
+        F.col("error").isNull() & F.col("entry_name").endswith(text_suffix))
+    parts = [keep_first(entries, ["entry_name"], ["archive", "entry_index"])]
+    if loose:
+        parts.append(loose_entries(spark, path, text_glob))
+    return union_with_ordinal(parts, "_src")
+
+
+def unreadable_archives(spark: SparkSession, path: str, archive_glob: str = "*.zip") -> DataFrame:
+    """``(archive, error)`` of archives whose directory cannot be read."""
+    return zip_entries(archive_manifest(spark, path, archive_glob)).filter(
+        F.col("entry_index") == -1).select("archive", "error")
 
 
 def fulltext_table(spark: SparkSession, path: str, initial_pk: int = 1, loose: bool = True,
-                   archive_glob: str = "*.zip", text_glob: str = "*.txt") -> DataFrame:
+                   archive_glob: str = "*.zip", text_glob: str = "*.txt", unit_entries: int = 256) -> DataFrame:
     """``(pk, text, path, compressed_path, errors)``."""
-    arch = archive_texts(spark, path, archive_glob)
-    parts = [arch]
-    if loose:
-        lf = loose_files(spark, path, text_glob).select(
-            "path", F.lit(None).cast("string").alias("compressed_path"), F.col("content").alias("raw"))
-        parts.append(lf)
-    u = union_with_ordinal(parts, "_src")
-    keyed = dense_key(u, ["_src", F.coalesce("compressed_path", F.lit("")), F.split("path", "/")],
+    entries = text_entries(spark, path, loose, archive_glob, text_glob)
+    in_archive = F.when(F.col("_src") == 0, F.col("archive"))
+    keyed = dense_key(entries, ["_src", F.coalesce(in_archive, F.lit("")), F.split("entry_name", "/")],
                       pk="pk", start=initial_pk)
-    t = decode_text(F.col("raw"))
-    return keyed.select("pk", t["text"].alias("text"), "path", "compressed_path", t["error"].alias("errors"))
+    texts = read_entries(keyed, unit_entries, keep=["pk", "_src"], on_error="report")
+    t = decode_text(F.col("content"))
+    return texts.select("pk", t["text"].alias("text"), F.col("entry_name").alias("path"),
+                        in_archive.alias("compressed_path"), F.coalesce("error", t["error"]).alias("errors"))
 
 
 def run(spark: SparkSession, path: str, output: str, initial_pk: int = 1,

@@ -20,7 +20,7 @@ from relnorm.operators.dedupe import keep_first
 from relnorm.operators.keys import dense_key
 from relnorm.operators.resolve import interval_lookup, resolve_fk, unique_by
 from relnorm.session import stage
-from relnorm.sources.archives import archive_manifest, read_entries, zip_entries
+from relnorm.sources.archives import archive_manifest, read_entries, xml_as_utf8, zip_entries
 from relnorm.sources.providers import provider_records
 from relnorm.sources.tables import read_csv
 
@@ -40,18 +40,18 @@ AUTHORITY_COLUMNS = ["Newspaper Title", "NLP", "Abbr", "StartD", "StartM", "Star
 def read_documents(spark: SparkSession, mount: str, glob: str = "*.zip",
                    unit_entries: int = 256) -> DataFrame:
     """``(collection, archive, archive_name, archive_size, entry_index, xml)``
-    for every non-empty ``.xml`` entry."""
+    and ``read_error`` for every non-empty entry, whatever its name, decoded as
+    it declares; a damaged entry or archive has a ``read_error`` and no ``xml``."""
     manifest = archive_manifest(spark, mount, glob)
     coll = F.coalesce(F.nullif(F.regexp_extract("path", r"/([^/]+?)(?:-alto2txt)?/metadata/[^/]+$", 1), F.lit("")),
                       F.col("collection"))
-    manifest = manifest.withColumn("collection", coll)
-    entries = zip_entries(manifest).filter(F.lower("entry_name").endswith(".xml"))
-    content = read_entries(entries, unit_entries)
-    docs = content.filter(F.length("content") > 0).select(
-        "archive", "entry_index", F.col("content").cast("string").alias("xml"))
-    m = manifest.select(F.col("path").alias("archive"), "archive_name",
-                        F.col("length").alias("archive_size"), "collection")
-    return docs.join(m, "archive", "left")
+    manifest = manifest.withColumn("collection", coll).withColumnRenamed("length", "archive_size")
+    keep = ["archive_name", "archive_size", "collection"]
+    content = read_entries(zip_entries(manifest, keep), unit_entries, keep=keep, convert=xml_as_utf8,
+                           on_error="report")
+    return content.filter(F.col("error").isNotNull() | (F.length("content") > 0)).select(
+        "archive", *keep, "entry_index", F.col("content").cast("string").alias("xml"),
+        F.col("error").alias("read_error"))
 
 
 def read_title_authority(spark: SparkSession, path: str) -> DataFrame:
@@ -105,11 +105,42 @@ def match_titles(papers: DataFrame, authority: DataFrame) -> DataFrame:
         "_path_code", "_code_title", "_date", "_iv_title", "_sole_title", "_exc")
 
 
+def archive_report(base: DataFrame, bad, manifest: DataFrame | None = None, run_id: str | None = None) -> DataFrame:
+    """Per archive: documents used and rejected, its papers (bounded by the
+    archive's titles), issues and bytes.  ``manifest`` adds archives that gave
+    no document, with zeros."""
+    ok = ~bad
+    report = base.groupBy("archive", "archive_name").agg(
+        F.count_if(ok).alias("n_documents"), F.count_if(bad).alias("n_rejected"),
+        F.sort_array(F.collect_set(F.when(ok, F.col("publication_code")))).alias("publication_codes"),
+        F.count_distinct(F.when(ok, F.col("issue_code"))).alias("n_issues"),
+        F.min("collection").alias("collection"), F.max("archive_size").cast("bigint").alias("bytes"))
+    if manifest is not None:
+        listed = manifest.select(F.col("path").alias("archive"), F.col("archive_name").alias("_name"),
+                                 F.col("collection").alias("_collection"), F.col("length").alias("_bytes"))
+        report = listed.join(report, "archive", "left").select(
+            "archive", F.col("_name").alias("archive_name"), F.coalesce("n_documents", F.lit(0)).alias("n_documents"),
+            F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"),
+            F.coalesce("publication_codes", F.array().cast("array<string>")).alias("publication_codes"),
+            F.coalesce("n_issues", F.lit(0)).alias("n_issues"),
+            F.coalesce("collection", "_collection").alias("collection"), F.col("_bytes").alias("bytes"))
+    return report.withColumn("n_papers", F.size("publication_codes").cast("bigint")).withColumn(
+        "run_id", F.lit(run_id).cast("string"))
+
+
 def build_tables(spark: SparkSession, docs: DataFrame, authority: DataFrame | None = None,
-                 run_ts: str = "1970-01-01 00:00:00.000000+00:00") -> dict:
-    """All output tables from a documents frame (see ``read_documents``)."""
+                 run_ts: str = "1970-01-01 00:00:00.000000+00:00", manifest: DataFrame | None = None,
+                 run_id: str | None = None) -> dict:
+    """All output tables from a documents frame (see ``read_documents``).
+
+    ``quarantine`` has the documents that cannot be used, ``rejected_values``
+    the numbers and dates that cannot be read (their documents stay).  With
+    ``manifest`` the report also lists archives without any document.
+    """
     from relnorm.operators.records import stamp
-    parsed = X.with_codes(X.parse_documents(docs))
+    if "read_error" not in docs.columns:
+        docs = docs.withColumn("read_error", F.lit(None).cast("string"))
+    parsed = X.with_codes(X.parse_documents(docs)).withColumn("parse_error", F.coalesce("read_error", "parse_error"))
     order = ["archive_size", "archive", "entry_index"]
     base = stage(parsed.select(*order, "collection", "archive_name", "doc", "parse_error",
                                "publication_code", "code_error", "issue_date", "issue_code", "shard"))
@@ -117,6 +148,7 @@ def build_tables(spark: SparkSession, docs: DataFrame, authority: DataFrame | No
     quarantine = base.filter(bad).select("archive", "entry_index",
                                          F.coalesce("parse_error", "code_error").alias("error"))
     good = base.filter(~bad)
+    rejected = X.unreadable_values(good, keep=("archive", "entry_index"))
 
     providers = provider_records(spark, good.select("collection"))
     providers = dense_key(providers, ["collection_name"])
@@ -124,10 +156,7 @@ def build_tables(spark: SparkSession, docs: DataFrame, authority: DataFrame | No
     ingest = X.ingest_records(good).select("lwm_tool_name", "lwm_tool_version").distinct()
     ingest = dense_key(ingest, ["lwm_tool_name", "lwm_tool_version"])
 
-    software = F.col("doc.process.software")
-    digit_src = good.filter(software.isNotNull() & (software != "")).select(
-        *[F.col(f"doc.process.{c}").alias(c) for c in
-          ("xml_flavour", "software", "mets_namespace", "alto_namespace")], *order)
+    digit_src = X.digitisation_records(good, keep=order)
     digit = keep_first(digit_src, ["software"], order).drop(*order)
     digit = dense_key(digit, ["software"])
 
@@ -154,12 +183,13 @@ def build_tables(spark: SparkSession, docs: DataFrame, authority: DataFrame | No
     items = X.item_records(good, keep=("publication_code", "shard"))
     # exact duplicates (the same article read twice) are dropped
     items = items.dropDuplicates()
-    items = resolve_fk(items, digit, {"digitisation_software": "software"}, as_name="digitisation_id")
+    items = resolve_fk(items, digit, {"digitisation_software": "software"}, as_name="digitisation_id",
+                       broadcast=True)
     items = resolve_fk(items, ingest, {"ingest_name": "lwm_tool_name", "ingest_version": "lwm_tool_version"},
-                       as_name="ingest_id")
+                       as_name="ingest_id", broadcast=True)
     items = resolve_fk(items, issue, "issue_code", as_name="issue_id")
-    # one row per collection directory: a proven bound, broadcast (a third of
-    # all items may sit in one collection, so never shuffle on it)
+    # one row per collection directory; a third of all items may sit in one
+    # collection, or come from one software or tool, so never shuffle on them
     items = resolve_fk(items, providers, {"collection": "collection_name"}, as_name="data_provider_id",
                        broadcast=True)
     # two versions of an article share a code: every other column breaks the tie
@@ -167,11 +197,7 @@ def build_tables(spark: SparkSession, docs: DataFrame, authority: DataFrame | No
     item = dense_key(items, order, tiebreak=[c for c in items.columns if c not in order]).drop(
         "digitisation_software", "ingest_name", "ingest_version", "shard")
 
-    report = good.groupBy("archive", "archive_name", "collection").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_documents"),
-        F.sort_array(F.collect_set("publication_code")).alias("publication_codes"),
-        F.count_distinct("issue_code").cast("bigint").alias("n_issues"),
-        F.max("archive_size").cast("bigint").alias("bytes"))
+    report = archive_report(base, bad, manifest, run_id)
     tables = {
         "dataprovider": providers.select("pk", "name", "code", "legacy_code", "source_note", "collection"),
         "ingest": ingest.select("pk", "lwm_tool_name", "lwm_tool_version"),
@@ -184,6 +210,7 @@ def build_tables(spark: SparkSession, docs: DataFrame, authority: DataFrame | No
     }
     tables = {k: stamp(v, run_ts) for k, v in tables.items()}
     tables["quarantine"] = quarantine
+    tables["rejected_values"] = rejected
     tables["report"] = report
     return tables
 
@@ -195,10 +222,12 @@ def run(spark: SparkSession, mount: str, output: str, authority_csv: str | None
     from relnorm.sinks.fixtures import write_fixture_json
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
     authority = read_title_authority(spark, authority_csv) if authority_csv else None
-    tables = build_tables(spark, read_documents(spark, mount), authority, run_ts)
+    tables = build_tables(spark, read_documents(spark, mount), authority, run_ts,
+                          archive_manifest(spark, mount), run_id=run_ts)
     for name in ("dataprovider", "ingest", "digitisation", "newspaper", "issue", "item"):
         write_fixture_json(tables[name], f"{output}/{name}", f"newspapers.{name}",
                            chunk_size=max_elements_per_file)
     tables["report"].write.mode("overwrite").json(f"{output}/report")
-    tables["quarantine"].write.mode("overwrite").json(f"{output}/quarantine")
+    for name in ("quarantine", "rejected_values"):
+        tables[name].write.mode("overwrite").json(f"{output}/{name}")
     return tables

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from relnorm.operators.keys import chunk_number
 from relnorm.operators.records import wrap_records
 
-MAX_ARRAY_CHUNK = 100_000
 CHUNK_PAD = 6
 
 
@@ -32,17 +31,19 @@ def write_fixture_json(df: DataFrame, path: str, model: str, pk: str = "pk",
     """Write records as JSON Lines (default) or one JSON array per chunk."""
     rec = _chunked(wrap_records(df, model, pk), "pk", chunk_size, initial_pk)
     if array:
-        if chunk_size > MAX_ARRAY_CHUNK:
-            raise ValueError("array output groups a chunk in one task; use chunk_size <= "
-                             f"{MAX_ARRAY_CHUNK} or JSON Lines")
-        body = rec.groupBy("chunk").agg(F.to_json(F.array_sort(F.collect_list(
-            F.struct("pk", "model", "fields")))).alias("value"))
-        w = body.repartition("chunk").write.mode(mode).partitionBy("chunk")
+        # one line per record; brackets and commas come from its neighbours in the chunk
+        w = Window.partitionBy("chunk").orderBy("pk")
+        line = F.concat(F.when(F.lag("pk").over(w).isNull(), F.lit("[")).otherwise(F.lit("")),
+                        F.to_json(F.struct("pk", "model", "fields")),
+                        F.when(F.lead("pk").over(w).isNull(), F.lit("]")).otherwise(F.lit(",")))
+        body = rec.repartition("chunk").select("chunk", "pk", line.alias("value"))
+        w = (body.sortWithinPartitions("chunk", "pk").select("chunk", "value")
+             .write.mode(mode).partitionBy("chunk"))
         if compression:
             w = w.option("compression", compression)
         w.text(path)
         return
-    w = rec.repartition("chunk").sortWithinPartitions("pk").write.mode(mode).partitionBy("chunk")
+    w = rec.repartition("chunk").sortWithinPartitions("chunk", "pk").write.mode(mode).partitionBy("chunk")
     if compression:
         w = w.option("compression", compression)
     w.json(path)
@@ -65,7 +66,7 @@ def write_fixture_csv(df: DataFrame, path: str, pk: str = "pk", chunk_size: int
     # pk first: a CSV read with an explicit schema is positional
     ordered = df.select(pk, *[c for c in df.columns if c != pk])
     flat = _chunked(_flat_for_csv(ordered), pk, chunk_size, initial_pk)
-    w = (flat.repartition("chunk").sortWithinPartitions(pk).write.mode(mode)
+    w = (flat.repartition("chunk").sortWithinPartitions("chunk", pk).write.mode(mode)
          .partitionBy("chunk").option("header", "true"))
     if compression:
         w = w.option("compression", compression)

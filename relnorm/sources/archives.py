@@ -4,12 +4,18 @@
    pruned — path, size, modification time, collection, archive name.
 2. ``zip_entries``: one task per archive reads only the central directory
    and emits one row per entry (name, sizes, local-header offset, method).
-3. ``read_entries``: entries are grouped into work units of at most
-   ``unit_entries`` consecutive entries (a per-row expression, no window, so a
+   An archive that is not a zip gives one row with ``entry_index`` -1 and an
+   ``error``.
+3. ``read_entries``: entries are grouped into work units bounded both in
+   entries and in bytes of the archive (a per-row expression, no window, so a
    huge archive becomes many units), hash-partitioned on the unit, and a
    ``mapInPandas`` task seeks each entry's local header and inflates it.
    A single large archive therefore spreads over many tasks, and no task
-   ever holds a whole archive in memory.
+   ever holds a whole archive in memory.  A damaged entry is an error or a
+   row with an ``error``; it never comes back cut.
+
+Columns named in ``keep`` (archive size, a key, …) travel with the entries,
+so nothing has to be joined to the content afterwards.
 
 Paths must be reachable from executors (shared file system or object store
 URI understood by ``pyarrow.fs``).
@@ -17,8 +23,10 @@ URI understood by ``pyarrow.fs``).
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +38,25 @@ ENTRY_SCHEMA = StructType([
     StructField("entry_name", StringType()), StructField("file_size", LongType()),
     StructField("compress_size", LongType()), StructField("header_offset", LongType()),
     StructField("compress_type", IntegerType()), StructField("crc", LongType()),
+    StructField("error", StringType()),
 ])
 
 CONTENT_SCHEMA = StructType([
     StructField("archive", StringType()), StructField("entry_index", LongType()),
     StructField("entry_name", StringType()), StructField("content", BinaryType()),
+    StructField("error", StringType()),
 ])
 
+#: ``compress_type`` of a loose file: the entry is the whole file.
+WHOLE_FILE = -1
+
+UNIT_BYTES = 64 << 20
+BATCH_ROWS, BATCH_BYTES = 256, 16 << 20
+
+
+class DamagedEntry(Exception):
+    pass
+
 
 def archive_manifest(spark: SparkSession, path: str, glob: str = "*.zip",
                      recursive: bool = True) -> DataFrame:
@@ -62,37 +82,60 @@ def _open(uri: str):
     return fs.open_input_file(p)
 
 
-def _central_directory(batches):
+def _central_directory(keep, batches):
     import zipfile
     import pandas as pd
+    names = ENTRY_SCHEMA.fieldNames() + keep
     for pdf in batches:
-        for uri in pdf["path"]:
+        for archive in pdf.to_dict("records"):
+            uri, extra = archive["path"], tuple(archive[c] for c in keep)
             rows = []
-            with _open(uri) as fh, zipfile.ZipFile(fh) as zf:
-                for i, info in enumerate(zf.infolist()):
-                    if info.is_dir():
-                        continue
-                    rows.append((uri, i, info.filename, info.file_size, info.compress_size,
-                                 info.header_offset, info.compress_type, info.CRC))
-                    if len(rows) >= 10_000:
-                        yield pd.DataFrame(rows, columns=ENTRY_SCHEMA.fieldNames())
-                        rows = []
+            with _open(uri) as fh:
+                try:
+                    infos = zipfile.ZipFile(fh).infolist()
+                except zipfile.BadZipFile:
+                    infos = []
+                    rows.append((uri, -1, None, None, None, None, None, None, "unreadable archive") + extra)
+            for i, info in enumerate(infos):
+                if info.is_dir():
+                    continue
+                rows.append((uri, i, info.filename, info.file_size, info.compress_size,
+                             info.header_offset, info.compress_type, info.CRC, None) + extra)
+                if len(rows) >= 10_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=ENTRY_SCHEMA.fieldNames())
+                yield pd.DataFrame(rows, columns=names)
 
 
-def zip_entries(manifest: DataFrame) -> DataFrame:
-    """One row per file entry of each archive (central directory only)."""
+def zip_entries(manifest: DataFrame, keep=()) -> DataFrame:
+    """One row per file entry of each archive (central directory only), with
+    the manifest's ``keep`` columns; one row with an ``error`` for an archive
+    that cannot be read."""
+    keep = list(keep)
     n = max(1, manifest.sparkSession.sparkContext.defaultParallelism)
-    return manifest.select("path").repartition(n, "path").mapInPandas(_central_directory, ENTRY_SCHEMA)
+    schema = StructType(ENTRY_SCHEMA.fields + [manifest.schema[c] for c in keep])
+    return (manifest.select("path", *keep).repartition(n, "path")
+            .mapInPandas(partial(_central_directory, keep), schema))
 
 
-def _inflate(fh, offset: int, csize: int, method: int, name: str, size: int, crc: int):
+def loose_entries(spark: SparkSession, path: str, glob: str = "*.txt", recursive: bool = True) -> DataFrame:
+    """Uncompressed files as entries of their own: name and archive are the path; nothing is read."""
+    files = archive_manifest(spark, path, glob, recursive)
+    return files.select(
+        F.col("path").alias("archive"), F.lit(0).cast("bigint").alias("entry_index"),
+        F.col("path").alias("entry_name"), F.col("length").alias("file_size"),
+        F.col("length").alias("compress_size"), F.lit(0).cast("bigint").alias("header_offset"),
+        F.lit(WHOLE_FILE).alias("compress_type"), F.lit(None).cast("bigint").alias("crc"),
+        F.lit(None).cast("string").alias("error"))
+
+
+def _inflate(fh, offset: int, csize: int, method: int, size: int, crc: int):
     """The entry's bytes, whole and checked against the directory's length and CRC; None for other methods."""
     fh.seek(offset)
     head = fh.read(30)
     if len(head) < 30 or head[:4] != b"PK\x03\x04":
-        raise IOError(f"bad local header for {name}")
+        raise DamagedEntry("damaged entry: bad local header")
     n_len, x_len = struct.unpack("<HH", head[26:30])
     fh.seek(offset + 30 + n_len + x_len)
     data = fh.read(csize)
@@ -101,42 +144,96 @@ def _inflate(fh, offset: int, csize: int, method: int, name: str, size: int, crc
     whole = len(data) == csize
     if method == 8:
         stream = zlib.decompressobj(-15)
-        data = stream.decompress(data)
+        try:
+            data = stream.decompress(data)
+        except zlib.error:
+            raise DamagedEntry("damaged entry: cannot be inflated") from None
         whole = whole and stream.eof
     if not whole or len(data) != size or zlib.crc32(data) != crc:
-        raise IOError(f"damaged entry {name}: it is cut short or its CRC differs")
+        raise DamagedEntry("damaged entry: cut short or another CRC")
     return data
 
 
-def _read_units(batches):
+def xml_as_utf8(data: bytes) -> bytes:
+    """An XML document's bytes in UTF-8, decoded by its byte order mark or
+    declared encoding (UTF-8 when there is none)."""
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        encoding = "utf-16"
+    else:
+        declared = re.match(rb"(?:\xef\xbb\xbf)?\s*<\?xml[^>]*?encoding\s*=\s*[\"']([A-Za-z0-9._-]+)", data)
+        encoding = declared.group(1).decode() if declared else "utf-8"
+    try:
+        return data.decode("utf-8-sig" if encoding.lower() in ("utf-8", "utf8") else encoding).encode("utf-8")
+    except LookupError:
+        raise DamagedEntry(f"unknown encoding {encoding}") from None
+    except UnicodeError:
+        raise DamagedEntry(f"not valid {encoding}") from None
+
+
+def _read_units(keep, convert, strict, batches):
     import zipfile
     import pandas as pd
+    names = CONTENT_SCHEMA.fieldNames() + keep
+
+    def content(fh, r):
+        if r.compress_type == WHOLE_FILE:
+            return fh.read()
+        data = _inflate(fh, int(r.header_offset), int(r.compress_size), int(r.compress_type),
+                        int(r.file_size), int(r.crc))
+        if data is None:  # other methods: fall back to the zip module
+            try:
+                archive = zipfile.ZipFile(fh)
+                data = archive.read(archive.infolist()[r.entry_index])
+            except (zipfile.BadZipFile, NotImplementedError, EOFError) as e:
+                raise DamagedEntry(f"damaged entry: {type(e).__name__}") from None
+        return data
+
     for pdf in batches:
-        out = []
+        out, held = [], 0
         for uri, grp in pdf.sort_values(["archive", "entry_index"]).groupby("archive", sort=False):
             with _open(uri) as fh:
-                zf = None
                 for r in grp.itertuples(index=False):
-                    data = _inflate(fh, r.header_offset, r.compress_size, r.compress_type, r.entry_name,
-                                    r.file_size, r.crc)
-                    if data is None:  # other methods: fall back to the zip module
-                        zf = zf or zipfile.ZipFile(_open(uri))
-                        data = zf.read(r.entry_name)
-                    out.append((uri, r.entry_index, r.entry_name, data))
-                    if len(out) >= 256:
-                        yield pd.DataFrame(out, columns=CONTENT_SCHEMA.fieldNames())
-                        out = []
+                    data, error = None, r.error
+                    if error is None:
+                        try:
+                            data = content(fh, r)
+                            data = convert(data) if convert else data
+                        except DamagedEntry as e:
+                            data, error = None, str(e)
+                    if strict and error is not None:
+                        raise IOError(f"{error} ({r.entry_name} in {uri})")
+                    out.append((uri, r.entry_index, r.entry_name, data, error) + tuple(getattr(r, c) for c in keep))
+                    held += len(data or b"")
+                    if len(out) >= BATCH_ROWS or held >= BATCH_BYTES:
+                        yield pd.DataFrame(out, columns=names)
+                        out, held = [], 0
         if out:
-            yield pd.DataFrame(out, columns=CONTENT_SCHEMA.fieldNames())
+            yield pd.DataFrame(out, columns=names)
+
 
+def read_entries(entries: DataFrame, unit_entries: int = 256, partitions: int | None = None, keep=(),
+                 convert=None, unit_bytes: int = UNIT_BYTES, on_error: str = "raise") -> DataFrame:
+    """Entry rows → ``(archive, entry_index, entry_name, content, error, keep…)``.
 
-def read_entries(entries: DataFrame, unit_entries: int = 256, partitions: int | None = None) -> DataFrame:
-    """Entry rows → ``(archive, entry_index, entry_name, content)``."""
+    ``convert`` maps an entry's bytes to bytes (see ``xml_as_utf8``).  With
+    ``on_error="report"`` a damaged entry has NULL content and an ``error``, and
+    errors of the entry rows are passed on; with ``"raise"`` either ends the read.
+    """
+    if on_error not in ("raise", "report"):
+        raise ValueError(f"unknown on_error {on_error}")
     spark = entries.sparkSession
+    keep = list(keep)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     unit = F.floor(F.col("entry_index") / F.lit(unit_entries))
-    work = entries.repartition(n, F.col("archive"), unit)
-    return work.mapInPandas(_read_units, CONTENT_SCHEMA)
+    part = F.floor(F.col("header_offset") / F.lit(unit_bytes))
+    schema = StructType(CONTENT_SCHEMA.fields + [entries.schema[c] for c in keep])
+    work = entries.select(*ENTRY_SCHEMA.fieldNames(), *keep).withColumnsRenamed(
+        {c: f"k_{i}" for i, c in enumerate(keep)})  # plain names, readable as attributes
+    read = work.repartition(n, F.col("archive"), unit, part).mapInPandas(
+        partial(_read_units, [f"k_{i}" for i in range(len(keep))], convert, on_error == "raise"),
+        StructType(CONTENT_SCHEMA.fields + [StructField(f"k_{i}", entries.schema[c].dataType)
+                                            for i, c in enumerate(keep)]))
+    return read.toDF(*schema.fieldNames())
 
 
 def loose_files(spark: SparkSession, path: str, glob: str = "*.txt", recursive: bool = True) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from relnorm.functions.text import orient_pair
 
@@ -14,20 +14,44 @@ def read_json_records(spark: SparkSession, path: str, schema: StructType | str |
                       glob: str = "*.json") -> DataFrame:
     """All JSON files of a folder; arrays of records or single objects.
 
-    ``strict`` raises on a malformed file (FAILFAST); otherwise bad records
-    are dropped (the corrupt-record column is filtered out) and empty files
+    ``strict`` raises on a malformed file (FAILFAST).  Otherwise a bad record or
+    file costs no other record (``json_rejects`` lists it) and empty files
     contribute nothing.
     """
-    r = (spark.read.option("multiLine", str(multiline).lower())
-         .option("recursiveFileLookup", str(recursive).lower())
-         .option("pathGlobFilter", glob))
-    if strict:
-        r = r.option("mode", "FAILFAST")
-    else:
-        r = r.option("mode", "DROPMALFORMED")
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
+    if strict or schema is None:
+        r = (spark.read.option("multiLine", str(multiline).lower())
+             .option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", glob)
+             .option("mode", "FAILFAST" if strict else "PERMISSIVE"))
+        return (r.schema(schema) if schema is not None else r).json(path)
+    texts = _json_texts(spark, path, multiline, recursive, glob)
+    return _parsed(texts, schema).filter(~_bad_record()).select("record.*").drop("_corrupt_record")
+
+
+def json_rejects(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = True,
+                 recursive: bool = False, glob: str = "*.json") -> DataFrame:
+    """``(path, text)`` of records that don't fit the schema, and of files that are no JSON."""
+    texts = _json_texts(spark, path, multiline, recursive, glob)
+    return _parsed(texts, schema).filter(_bad_record()).select("path", "text")
+
+
+def _json_texts(spark: SparkSession, path: str, multiline: bool, recursive: bool, glob: str) -> DataFrame:
+    """``(path, text)`` per record: elements of an array, a single object, or what is neither."""
+    raw = (spark.read.option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", glob)
+           .text(path, wholetext=multiline).filter(F.col("value").rlike(r"\S")))
+    is_array = F.col("value").rlike(r"\A\s*\[")
+    elements = F.when(is_array, F.from_json("value", "array<string>"))
+    return raw.select(F.col("_metadata.file_path").alias("path"),
+                      F.explode(F.coalesce(elements, F.array("value"))).alias("text"))
+
+
+def _parsed(texts: DataFrame, schema: StructType | str) -> DataFrame:
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kind = StructType([*kind.fields, StructField("_corrupt_record", StringType())])
+    return texts.withColumn("record", F.from_json("text", kind, {"mode": "PERMISSIVE"}))
+
+
+def _bad_record():
+    return F.col("record").isNull() | F.col("record._corrupt_record").isNotNull()
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -52,7 +76,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 def read_json_dictionary(spark: SparkSession, path: str, key: str = "place_wikidata_id") -> DataFrame:
     """A JSON object ``{id: [a, b]}`` per file → rows ``(key, label, wikidata_id)``;
     the pair is oriented so the ``Q…`` element is the id."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)  # the argument: it overrides an option
     m = F.from_json("value", "map<string,array<string>>")
     ex = raw.select(F.explode(m).alias(key, "_pair"))
     o = orient_pair(F.col("_pair"))
