@@ -36,5 +36,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all():
     """Import the catalog modules (they register on import)."""
-    from relnorm.plans import catalog_columns, catalog_relational, catalog_io  # noqa: F401
+    from relnorm.plans import catalog_columns, catalog_relational, catalog_io, catalog_jobs  # noqa: F401
     return REGISTRY
