@@ -60,16 +60,22 @@ def gram_features(column, sizes: tuple[int, ...], lower: bool, with_words: bool,
             yield _distinct(np.concatenate(parts))
 
 
-def sample_features(sample, options: dict) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Labels and feature arrays of a bounded (label, text) sample, collected."""
+def sample_features(sample, options: dict, changed=None) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Labels and feature arrays of a bounded (label, text) sample, collected.
+
+    ``changed``: also those of ``changed(text)``, each after its text's own, labelled ``label-0`` and ``label-1``.
+    """
     schema = pa.schema([("label", pa.string()), ("features", pa.binary())])
 
     def run(parts):
         for part in parts:
             for k in range(0, part.num_rows, 500):
-                some = part.slice(k, 500)
-                rows = [f.tobytes() for f in gram_features(some.column(1), **options)]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(rows, pa.binary())], schema=schema)
+                labels, texts = part.column(0).slice(k, 500), part.column(1).slice(k, 500)
+                if changed:
+                    labels = pa.array([f"{x}-{side}" for x in labels.to_pylist() for side in (0, 1)], pa.string())
+                    texts = pa.array([t for x in texts.to_pylist() for t in (x, changed(x))], pa.string())
+                rows = [f.tobytes() for f in gram_features(texts, **options)]
+                yield pa.RecordBatch.from_arrays([labels, pa.array(rows, pa.binary())], schema=schema)
 
     got = sample.select("label", "text").mapInArrow(run, "label string, features binary").toArrow()
     rows = sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))  # a fixed order of the sample
@@ -118,8 +124,8 @@ def keep_rows(weights: np.ndarray, bias: float, slope: float, options: dict, thr
     limit = np.log(threshold / (1 - threshold))
 
     def run(parts):
-        for part in parts:
-            sums = np.fromiter((weights[f].sum(dtype=np.float64) for f in gram_features(part.column(text_at), **options)),
-                               np.float64, part.num_rows)
-            yield part.filter(pa.array(slope * sums + bias < limit))
+        for some in (part.slice(k, 1000) for part in parts for k in range(0, part.num_rows, 1000)):
+            sums = np.fromiter((weights[f].sum(dtype=np.float64) for f in gram_features(some.column(text_at), **options)),
+                               np.float64, some.num_rows)
+            yield some.filter(pa.array(slope * sums + bias < limit))
     return run

@@ -107,12 +107,10 @@ def fit(labels: np.ndarray, rows: list[np.ndarray], pairs: list[tuple[np.ndarray
 
 def counterfactual_pairs(sample: DataFrame, options: dict) -> list[tuple[np.ndarray, np.ndarray]]:
     """Features of the sampled texts that mention an identity term, before and after the swap."""
-    swapped = F.udf(lambda t: swap_terms(t), "string")
     terms = "|".join(t for ring in IDENTITY_TERMS for t in ring)
     mentions = sample.where(F.col("text").rlike(rf"(?i)\b({terms})\b"))
-    rows = mentions.select(F.monotonically_increasing_id().alias("k"), F.array("text", swapped("text")).alias("t"))
-    rows = rows.select("k", F.posexplode("t").alias("side", "text"))
-    labels, found = sample_features(rows.select(F.format_string("%020d-%d", "k", "side").alias("label"), "text"), options)
+    rows = mentions.select(F.format_string("%020d", F.monotonically_increasing_id()).alias("label"), "text")
+    _, found = sample_features(rows, options, swap_terms)
     return [(found[k], found[k + 1]) for k in range(0, len(found), 2)]
 
 
