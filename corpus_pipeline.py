@@ -25,11 +25,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id; of its repeated rows one."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_digest"))
-    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
-    rows = docs.withColumn("_digest", digest)
-    return (rows.join(kept, rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_digest"] == kept["_digest"]), "left_semi")
-            .dropDuplicates(["doc_id", "_digest"]).drop("_digest"))
+    key = lambda id_, digest: F.struct(id_.cast("long").alias("id"), F.unhex(digest).alias("digest"))
+    kept = exact_dedup(docs).where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("key"))
+    rows = docs.select(key(docs["doc_id"], F.sha2(F.coalesce("text", F.lit("")), 256)).alias("key"),
+                       F.struct("*").alias("row"))
+    # Repeated rows meet before the only shuffle of the texts; the join reuses its partitioning.
+    return rows.dropDuplicates(["key"]).join(kept, "key", "left_semi").select("row.*")
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
