@@ -365,3 +365,15 @@ def test_pipeline_stages_keep_clean_documents(spark, rows):
     left = P.near_duplicate_groups(spark, kept, "")
     assert {r["doc_id"] for r in left.select("doc_id").collect()} == {i for i, c in groups.items() if i is None or i == c}
     assert [name for name, _ in P.STAGES][-1] == "packing"
+
+
+def test_exact_duplicates_of_repeated_rows_and_clashing_columns(spark):
+    import corpus_pipeline as P
+    docs = spark.createDataFrame(
+        [(None, "a", "k"), (None, "a", "k"), (1, "a", "k"), (2, None, "k"), (3, "", "k"), (3, "", "k"),
+         (9, "z", "k"), (9, "y", "k"), (None, "q", "k")], "doc_id long, text string, key string")
+    kept = P.exact_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert {tuple(r) for r in kept.collect()} == {(1, "a", "k"), (3, "", "k"), (9, "z", "k"), (9, "y", "k"), (None, "q", "k")}
+    assert kept.count() == 5
+    assert P.exact_duplicates(spark, docs.limit(0), "").count() == 0
