@@ -39,6 +39,7 @@ _SETS = pa.schema([("id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), (
                    ("parity", pa.list_(pa.int64()))])
 _BLOBS = pa.schema([("bin", pa.int64()), ("payload", pa.binary())])
 _ENTRIES = pa.schema([("h", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("i", pa.int64())])
+_DEALT = pa.schema([("bin", pa.int64()), ("payload", pa.binary()), *_ENTRIES])
 _WHOLE = pa.schema([("cls", pa.int64()), ("grams", pa.binary())])
 _ENTRY_SQL = "h long, cls long, n long, i long"
 _ENTRY = np.dtype([("h", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("i", "<i4"), ("more", "u1")])
@@ -133,25 +134,22 @@ def _prefix_entries(parts, width: int, levels: np.ndarray, needed) -> Iterator[t
         yield flush()
 
 
-def _lead_blobs(width, levels, needed, bins):
+def _dealt_entries(width, levels, needed, bins):
+    """Of each chunk of documents, in one pass: its leads as packed rows by hash range, and its other entries."""
     def run(parts):
         for entries, leads in _prefix_entries(parts, width, levels, needed):
-            entries = entries[leads]
+            others, entries = entries[~leads], entries[leads]
             at = bin_of(entries["h"], bins)
             cuts = np.flatnonzero(np.diff(at)) + 1
             for some in np.split(np.arange(len(at)), cuts):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([int(at[some[0]])], pa.int64()),
-                     pa.array([entries[some[0]:some[-1] + 1].tobytes()], pa.binary())], schema=_BLOBS)
-    return run
-
-
-def _other_entries(width, levels, needed):
-    def run(parts):
-        for entries, leads in _prefix_entries(parts, width, levels, needed):
-            entries = entries[~leads]
-            yield from batches({k: entries[k].view(np.int64) if k == "h" else entries[k] for k in ("h", "cls", "n", "i")},
-                               _ENTRIES)
+                     pa.array([entries[some[0]:some[-1] + 1].tobytes()], pa.binary()),
+                     *(pa.nulls(1, pa.int64()) for _ in _ENTRIES.names)], schema=_DEALT)
+            rows = {k: others[k].view(np.int64) if k == "h" else others[k] for k in _ENTRIES.names}
+            for batch in batches(rows, _ENTRIES):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.binary()), *batch.columns], schema=_DEALT)
     return run
 
 
@@ -237,10 +235,12 @@ class NgramJoin:
     def entries(self) -> DataFrame:
         """Prefix entries (h, cls, n, i) whose n-gram is in the prefix of another class too."""
         levels, bins = self.levels(), bins_for(self.spark, self.docs)
-        texts = self.docs.select("text")
-        met = (texts.mapInArrow(_lead_blobs(self.width, levels, self.needed(), bins), "bin long, payload binary")
+        # Leads and others of a chunk belong together: both come from one written pass, for a second scan may be cut elsewhere.
+        dealt = staged(self.docs.select("text").mapInArrow(
+            _dealt_entries(self.width, levels, self.needed(), bins), f"bin long, payload binary, {_ENTRY_SQL}"), "dealt")
+        met = (dealt.where(F.col("bin").isNotNull()).select("bin", "payload")
                .groupBy("bin").applyInArrow(_shared, _ENTRY_SQL))
-        others = texts.mapInArrow(_other_entries(self.width, levels, self.needed()), _ENTRY_SQL)
+        others = dealt.where(F.col("bin").isNull()).select(*_ENTRIES.names)
         return staged(met.unionByName(others).dropDuplicates(["h", "cls"]), "entries")
 
     def _need(self):

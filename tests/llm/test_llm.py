@@ -143,6 +143,26 @@ def test_near_duplicates(spark, rows):
     assert sorted((str(r[0]), r[1], str(r[2])) for r in got) == want
 
 
+def test_near_duplicates_of_an_input_cut_differently_by_every_scan(spark, scratch):
+    """Each scan deals the rows to its two tasks in another way, as a scan does when executors come or go."""
+    import os
+    import pyarrow as pa
+    rng = random.Random(11)
+    texts = [prose(rng, 60, [f"v{k}" for k in range(5000)]) for _ in range(6)]
+    docs = [(100 * copy + k, text + " end" * copy) for copy in (0, 1) for k, text in enumerate(texts)]
+
+    def scan(parts):
+        task = next(iter(parts)).column(0)[0].as_py()
+        turn = len([f for f in os.listdir(scratch) if f.startswith(f"{task}-")])
+        open(f"{scratch}/{task}-{turn}", "w").close()
+        mine = [d for d in docs if (d[0] // 100 if turn % 2 else d[0] % 2) == task]
+        yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in mine], pa.int64()), pa.array([d[1] for d in mine])],
+                                         ["doc_id", "text"])
+    moving = spark.range(0, 2, 1, 2).mapInArrow(scan, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(moving).collect()}
+    assert got == {i: i % 100 for i, _ in docs}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 130)]
     got = {r["u"]: r["v"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
