@@ -6,7 +6,7 @@ written as Parquet and read again as the next one's docs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relnorm.llm.decontamination import contamination
@@ -18,6 +18,13 @@ from relnorm.llm.shared import staged
 from relnorm.llm.toxicity import drop_toxic
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A struct, never null, that tells rows of different doc_id or text apart; rows without a doc_id come last."""
+    id_ = docs["doc_id"].cast("long")
+    return F.struct(id_.isNull().alias("absent"), id_.alias("id"),
+                    F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256)).alias("digest"))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject."""
     return drop_toxic(docs, read(spark, sf_dir, "labels"))
@@ -34,19 +41,21 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents the one with the smallest doc_id.
+    """Of each component of similar documents the row with the smallest doc_id, one without a doc_id last.
 
-    Rows that share a doc_id are kept or dropped together; rows without one stay.
+    Rows are judged one by one by doc_id and text; the smaller digest of the text decides between equal ids.
     """
-    groups = near_duplicates(docs).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    return docs.join(groups.where("component_id < doc_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    groups = near_duplicates(docs.select(row_key(docs).alias("key"), "text"), id_col="key")
+    gone = groups.where("component_id <> key").select(F.col("key").alias("_key"))
+    return docs.join(gone, row_key(docs) == gone["_key"], "left_anti").select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item; rows without a doc_id are judged with each other."""
-    hit = contamination(docs, read(spark, sf_dir, "benchmark")).where("contaminated")
-    hit = staged(hit.select(F.col("doc_id").alias("_id")).distinct(), "contaminated")
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_id"]), "left_anti")
+    """Documents without a window of a benchmark item; rows are judged one by one by doc_id and text."""
+    keyed = docs.select(row_key(docs).alias("key"), "text")
+    hit = contamination(keyed, read(spark, sf_dir, "benchmark"), id_col="key").where("contaminated")
+    hit = staged(hit.select(F.col("key").alias("_key")).distinct(), "contaminated")
+    return docs.join(hit, row_key(docs) == hit["_key"], "left_anti")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from relnorm.llm.arrays import NON_SPACE, batches, bin_of, byte_columns, chain_hashes, mix64, slices, word_hashes
 from relnorm.llm.components import components
@@ -35,8 +36,7 @@ STAR_ROUNDS = 2
 FLUSH = 1_000_000
 
 _SKETCH = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
-_SETS = pa.schema([("id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("hist", pa.binary()),
-                   ("parity", pa.list_(pa.int64()))])
+_SETS = (("cls", pa.int64()), ("n", pa.int64()), ("hist", pa.binary()), ("parity", pa.list_(pa.int64())))
 _BLOBS = pa.schema([("bin", pa.int64()), ("payload", pa.binary())])
 _ENTRIES = pa.schema([("h", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("i", pa.int64())])
 _DEALT = pa.schema([("bin", pa.int64()), ("payload", pa.binary()), *_ENTRIES])
@@ -95,7 +95,7 @@ def _set_rows(width: int):
                 rows["hist"].append(np.bincount((grams & np.uint64(BUCKETS - 1)).astype(np.int64),
                                                 minlength=BUCKETS).astype("<i4").tobytes())
                 rows["parity"].append(parity_sketch(grams))
-            yield from batches(rows, _SETS)
+            yield from batches(rows, pa.schema([("id", part.schema.field(0).type), *_SETS]))
     return run
 
 
@@ -216,7 +216,8 @@ class NgramJoin:
 
     def __init__(self, docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                  text_col: str = "text", sketch_bits: int = SKETCH_BITS, broadcast_rows: int = 500_000):
-        self.docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+        id_ = F.col(id_col) if isinstance(docs.schema[id_col].dataType, StructType) else F.col(id_col).cast("long")
+        self.docs = docs.select(id_.alias("id"), F.col(text_col).alias("text"))
         self.width, self.percent, self.bits, self.broadcast_rows = width, percent, sketch_bits, broadcast_rows
         self.spark = docs.sparkSession
 
@@ -278,7 +279,8 @@ class NgramJoin:
                       .mapInArrow(_verify(self.percent), "a long, b long").distinct(), "links")
 
     def run(self) -> NgramJoin:
-        self.sets = staged(self.docs.mapInArrow(_set_rows(self.width), "id long, cls long, n long, hist binary, "
+        kind = self.docs.schema["id"].dataType.simpleString()
+        self.sets = staged(self.docs.mapInArrow(_set_rows(self.width), f"id {kind}, cls long, n long, hist binary, "
                                                 "parity array<long>"),
                            "classes")
         self.classes = (self.sets.where(F.col("cls").isNotNull() & F.col("id").isNotNull()).groupBy("cls")
@@ -334,7 +336,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
     Null texts and texts without words have no n-gram and link with nothing.
     A row with a null id forms no link and has a null component_id unless it
-    equals the set of a row with an id.  Repeated rows stay, in one component.
+    equals the set of a row with an id.  The id can be a struct; one that is
+    never null lets every row link.  Repeated rows stay, in one component.
     An empty table gives no rows; other columns are not carried.
     """
     return NgramJoin(docs, width, percent, id_col, text_col).run().groups().withColumnRenamed("id", id_col)

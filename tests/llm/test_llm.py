@@ -397,3 +397,25 @@ def test_exact_duplicates_of_repeated_rows_and_clashing_columns(spark):
     assert {tuple(r) for r in kept.collect()} == {(1, "a", "k"), (3, "", "k"), (9, "z", "k"), (9, "y", "k"), (None, "q", "k")}
     assert kept.count() == 5
     assert P.exact_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def test_pipeline_stages_judge_rows_with_null_and_repeated_ids_one_by_one(spark, scratch):
+    import corpus_pipeline as P
+    rng = random.Random(12)
+    a, b, c, d, e, f = (prose(rng, 60, [f"v{k}" for k in range(5000)]) for _ in range(6))
+    near = lambda t, k=1: t + " end" * k
+    docs = frame(spark, [(1, a), (7, near(a)), (7, b), (None, near(b)), (None, c), (None, near(c)), (9, d), (9, near(d)),
+                         (None, e), (None, f), (None, None), (None, ""), (4, None)])
+    left = [(r["doc_id"], r["text"]) for r in P.near_duplicate_groups(spark, docs, "").collect()]
+    first = lambda *texts: min(texts, key=lambda t: hashlib.sha256(t.encode()).digest())
+    want = [(1, a), (7, b), (None, first(c, near(c))), (9, first(d, near(d))), (None, e), (None, f), (None, None),
+            (None, ""), (4, None)]
+    assert sorted(map(str, left)) == sorted(map(str, want))
+
+    item = " ".join(e.split(" ")[5:25])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
+    docs = frame(spark, [(None, e), (None, f), (None, None), (9, f"x {item} y"), (9, d), (3, near(e)), (5, a), (5, a)])
+    left = P.benchmark_decontamination(spark, docs, scratch)
+    assert left.columns == docs.columns
+    assert (sorted(str((r["doc_id"], r["text"])) for r in left.collect())
+            == sorted(map(str, [(None, f), (None, None), (9, d), (5, a), (5, a)])))
