@@ -419,3 +419,51 @@ def test_pipeline_stages_judge_rows_with_null_and_repeated_ids_one_by_one(spark,
     assert left.columns == docs.columns
     assert (sorted(str((r["doc_id"], r["text"])) for r in left.collect())
             == sorted(map(str, [(None, f), (None, None), (9, d), (5, a), (5, a)])))
+
+
+def test_pipeline_run_against_brute_force(spark, scratch):
+    import corpus_pipeline as P
+    from tokenizers import Tokenizer
+    rng = random.Random(13)
+    clean, foul = [f"word{k}" for k in range(300)], ["vile", "idiot", "scum", "filth"]
+    toxic = {k for k in range(200) if k % 4 == 0}
+    rows = [(k, prose(rng, 40, foul if k in toxic else clean)) for k in range(200)]
+    rows += [(300, rows[1][1]), (None, rows[2][1]), (3, rows[3][1]), (5, rows[6][1] + " end"), (None, rows[7][1] + " end"),
+             (None, prose(rng, 40, foul)), (None, None), (301, ""), (9, "x " + " ".join(rows[10][1].split(" ")[5:30]))]
+    lone = prose(rng, 40, clean)
+    rows += [(None, lone), (None, lone + " end"), (None, prose(rng, 40, clean)), (None, rows[11][1] + " end " * 30)]
+    frame(spark, rows).write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame([(k, int(k in toxic)) for k in range(200)], "doc_id long, toxic int").write.parquet(f"{scratch}/labels.parquet")
+    item = rows[10][1].split(" ")[8:22]
+    spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
+
+    left = [(i, t) for i, t in rows if not set(foul) & set((t or "").split(" "))]
+    best = {}
+    for i, t in left:
+        if (t or "") not in best or (-1 if i is None else i) > (-1 if best[t or ""][0] is None else best[t or ""][0]):
+            best[t or ""] = (i, t)
+    left = sorted(best.values(), key=lambda r: (r[0] is None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).digest()))
+    sets = [{tuple(w[k:k + 5]) for k in range(max(len(w) - 4, 1))} if (w := (t or "").split()) else set() for _, t in left]
+    label = list(range(len(left)))
+    for a in range(len(left)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+    left = [r for k, r in enumerate(left) if label[k] == k]
+    windows = {tuple(item[k:k + 10]) for k in range(len(item) - 9)}
+    left = [(i, t) for i, t in left if not windows & {tuple(word_list(t)[k:k + 10]) for k in range(len(word_list(t)))}]
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    want = collections.Counter()
+    for i, t in left:
+        ids = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [1], "<u4")
+        want[i, 0, len(ids), zlib.crc32(ids.tobytes())] += 1
+
+    got = P.run(spark, scratch).collect()
+    assert collections.Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+    sequences = collections.defaultdict(list)
+    for r in got:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        ends = [0] + [o + n for o, n in sorted(parts)]
+        assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 2048
