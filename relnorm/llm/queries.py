@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relnorm.llm.centroids import centroid_clusters
 from relnorm.llm.decontamination import contamination
 from relnorm.llm.exact_dedup import exact_dedup
 from relnorm.llm.kneser_ney import lm_scores
@@ -13,6 +14,8 @@ from relnorm.llm.licenses import TEMPLATES, license_scan
 from relnorm.llm.ngram_jaccard import near_duplicates
 from relnorm.llm.packing import pack
 from relnorm.llm.quality import quality_scores
+from relnorm.llm.simhash import simhash_groups
+from relnorm.llm.spelling import spelling_variants
 from relnorm.llm.suffix_dedup import remove_repeats
 from relnorm.llm.toxicity import toxicity_scores
 
@@ -76,9 +79,23 @@ def op10_packing(spark, sf_dir):
                          "offset")
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling_variants(read(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_centroid_clustering(spark, sf_dir):
+    rows = centroid_clusters(read(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                       F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
+def op13_simhash_dedup(spark, sf_dir):
+    return simhash_groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_toxicity, op3_lm_scoring, op4_quality, op5_license_scan, op6_benchmark_decontamination, op7_exact_dedup, op8_language_id,
-    op9_ngram_jaccard, op10_packing)}
+    op9_ngram_jaccard, op10_packing, op11_spelling_variants, op12_centroid_clustering, op13_simhash_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -108,7 +125,64 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
 FROM d LEFT JOIN g USING (r)"""
 
 
+def _centroid_sql(rounds: int = 10) -> str:
+    near = """SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min(struct_pack(d := d, k := k)) AS b
+FROM (SELECT r, vec_id, v, k, CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM v, c{i})
+GROUP BY r"""
+    steps = [f"""
+a{i} AS MATERIALIZED ({near.format(i=i)}),
+m{i} AS (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c
+         FROM (SELECT b.k AS k, j, sum(v[j]) AS s, count(*) AS n FROM a{i}, unnest(range(1, 65)) AS x(j) GROUP BY b.k, j) GROUP BY k),
+c{i + 1} AS MATERIALIZED (SELECT k, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (k)),""" for i in range(rounds)]
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v AS c
+  FROM (SELECT sha256('3:' || vec_id) AS h, v FROM v WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT 8)),{''.join(steps)}
+f AS MATERIALIZED ({near.format(i=rounds)})
+SELECT vec_id, CAST(b.k AS INTEGER) AS cluster, b.d AS distance, CAST(sum(b.d) OVER (PARTITION BY b.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(b.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM f JOIN c{rounds} ON k = b.k"""
+
+
 SQL = {
+    "op12_centroid_clustering": _centroid_sql(),
+    # CRC-32 byte by byte: the table follows from its polynomial, each step joins the next byte.
+    "op11_spelling_variants": rf"""
+WITH RECURSIVE t(i, x) AS MATERIALIZED (
+  SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+  FROM unnest(range(256)) AS u(i)),
+o AS MATERIALIZED (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+h(id, run, n, bytes, p, c) AS (
+  SELECT id, run, n, hex(encode(id || ':' || run)), 0, 4294967295::BIGINT FROM o
+  UNION ALL
+  SELECT id, run, n, bytes, p + 2, xor(c >> 8, x) FROM h JOIN t ON t.i = xor(c & 255, CAST('0x' || bytes[p + 1:p + 2] AS BIGINT))
+  WHERE p < length(bytes)),
+w AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN c % 199 = 0 THEN substr(run, 1, CAST(c % length(run) AS BIGINT)) || substr(run, CAST(c % length(run) AS BIGINT) + 2)
+                       ELSE run END AS word
+        FROM (SELECT run, n, xor(c, 4294967295::BIGINT) AS c FROM h WHERE p = length(bytes)))
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+g AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM w, unnest(range(1, length(word) + 1)) AS u(i)),
+e AS MATERIALIZED (
+  SELECT a.word, b.word AS near, b.n FROM g AS a JOIN g AS b USING (i, head, tail) WHERE a.word <> b.word
+  UNION SELECT g.word, w.word, w.n FROM g JOIN w ON w.word = head || tail
+  UNION SELECT w.word, g.word, g.n FROM g JOIN w ON w.word = head || tail),
+f AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(k, 0) AS n_near, CASE WHEN b.n >= 5 * w.n THEN b.near END AS form, CASE WHEN b.n >= 5 * w.n THEN b.n END AS form_n
+  FROM w LEFT JOIN (SELECT word, near, n, count(*) OVER (PARTITION BY word) AS k,
+                           row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place FROM e) AS b
+  ON b.word = w.word AND place = 1),
+s(word, root) AS (SELECT word, word FROM f UNION ALL SELECT s.word, f.form FROM s JOIN f ON f.word = s.root WHERE form IS NOT NULL)
+SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n
+FROM f JOIN s USING (word) JOIN f AS z ON z.word = s.root WHERE z.form IS NULL""",
     "op5_license_scan": _license_sql(),
     "op6_benchmark_decontamination": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
