@@ -13,8 +13,9 @@ def spread(df: DataFrame, rows: int, per_task: int) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
 
 
-def cells(entries: DataFrame, item: str, limit: int, per_bin: int, broadcast_rows: int = 100_000) -> DataFrame:
-    """Deal entries (key, ...) so that any two of one key meet in a cell of at most about ``2 * limit`` rows.
+def cells(entries: DataFrame, total: int, item: str, limit: int, per_bin: int,
+          broadcast_rows: int = 100_000) -> DataFrame:
+    """Deal ``total`` entries (key, ...) so that any two of one key meet in a cell of at most about ``2 * limit`` rows.
 
     A key of more than ``limit`` entries is cut into blocks by a hash of
     ``item``, and every two of its blocks form a cell of their own.  Returns
@@ -22,9 +23,8 @@ def cells(entries: DataFrame, item: str, limit: int, per_bin: int, broadcast_row
     other columns.  Entries of different keys meet in a cell only by a
     collision of 64-bit hashes, so candidates must be verified.
     """
-    counts = staged(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = counts.where(F.col("n") > limit).select("key", F.ceil(F.col("n") / limit).alias("blocks"))
+    hot = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    hot = staged(hot.select("key", F.ceil(F.col("n") / limit).alias("blocks")), "hot")
     # At most total / limit rows of two longs; beyond the counted bound a shuffle join takes over.
     hot = F.broadcast(hot) if hot.count() <= broadcast_rows else hot
     rest = [c for c in entries.columns if c != "key"]

@@ -236,7 +236,8 @@ def fingerprint_links(fingerprints: DataFrame, bits: int = 3, limit: int = LIST_
     if n_long:
         # Members of long lists are told apart by more of their bytes, and what is still long is cut into blocks.
         members = staged(entries.join(long_, "key", "left_semi").select("fingerprint").distinct(), "members")
-        met = met.union(cells(index(members, FULL_DEPTH), "fingerprint", limit, per_bin))
+        met = met.union(cells(index(members, FULL_DEPTH), members.count() * comb(bits + FULL_DEPTH, FULL_DEPTH),
+                              "fingerprint", limit, per_bin))
     return staged(met.groupBy("bin").applyInArrow(_bin_links(bits), "u long, v long").distinct(), "links")
 
 

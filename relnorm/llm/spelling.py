@@ -18,6 +18,7 @@ import re
 import zlib
 from collections import Counter
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,11 @@ from relnorm.llm.dealing import cells
 from relnorm.llm.shared import staged
 
 PIECE_BYTES = 1 << 20
-HELD_BYTES = 24 << 20
+HELD_BYTES = 16 << 20
 BLOCK = 128
 CELL_LIMIT = 4096
-PER_BIN = 100_000
-CHECK_CELLS = 1 << 24
+PER_BIN = 50_000
+CHECK_CELLS = 1 << 20
 
 _LOWER = LOWER.tobytes()
 #: Runs of a-z and U+00C0..U+00FF in UTF-8, where the latter are C3 and one more byte.
@@ -249,7 +250,7 @@ def near_words(words: DataFrame, limit: int = CELL_LIMIT, per_bin: int = PER_BIN
     totals[summed.column("letter").to_numpy()] = summed.column("n").to_numpy()
     groups = max(4, total.bit_length() // 4 + 1)  # more words: more groups, hence finer keys
     entries = words.mapInArrow(_keys(letter_groups(totals, groups)), "key long, word string, n long")
-    pairs = cells(entries, "word", limit, per_bin).groupBy("bin").applyInArrow(
+    pairs = cells(entries, total * comb(groups, 2), "word", limit, per_bin).groupBy("bin").applyInArrow(
         _bin_pairs, "a string, na long, b string, nb long")
     return pairs.distinct()
 
