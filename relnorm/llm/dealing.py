@@ -13,6 +13,12 @@ def spread(df: DataFrame, rows: int, per_task: int) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
 
 
+def broadcast_below(df: DataFrame, most_bytes: int = 16 << 20) -> DataFrame:
+    """Hint a broadcast when the rows of ``df`` (a written table) take at most ``most_bytes``; else leave a shuffle join."""
+    size = df.agg(F.sum(F.length(F.to_json(F.struct(*df.columns))) + 16)).first()[0] or 0
+    return F.broadcast(df) if size <= most_bytes else df
+
+
 def cells(entries: DataFrame, total: int, item: str, limit: int, per_bin: int,
           broadcast_rows: int = 100_000) -> DataFrame:
     """Deal ``total`` entries (key, ...) so that any two of one key meet in a cell of at most about ``2 * limit`` rows.

@@ -9,9 +9,13 @@ candidate pairs, which pass length, positional and suffix filters and are then
 verified once on their whole sets.
 
 Pairs are not formed within groups that are known to be connected.  The first
-rounds pair every entry of an n-gram with one of them only; the last one pairs
-what shares an n-gram and is still in different components, so no link that
-matters to the components is lost.
+rounds pair every entry of an n-gram with one of them only.  What shares an
+n-gram and is still in different components then meets in cells of bounded
+size (a frequent n-gram is cut into blocks that meet two by two), where all
+filters are applied and only as many pairs leave the task as would connect
+what they join.  Pairs that fail the check are told to the next round, which
+offers others, until no two components have a pair left: no link that matters
+to the components is lost, and no round sends all pairs of a group.
 """
 
 from __future__ import annotations
@@ -26,14 +30,18 @@ from pyspark.sql.types import StructType
 
 from relnorm.llm.arrays import NON_SPACE, batches, bin_of, byte_columns, chain_hashes, mix64, slices, word_hashes
 from relnorm.llm.components import components
+from relnorm.llm.dealing import broadcast_below, cells
 from relnorm.llm.shared import bins_for, staged
-from relnorm.llm.words import broadcast_if_small
+from relnorm.llm.simhash import Forest
 
 SKETCH_BITS = 19
 BUCKETS = 64
 PARITY_WORDS = 8
 STAR_ROUNDS = 2
-FLUSH = 1_000_000
+FLUSH = 400_000
+CELL_LIMIT = 4096
+PER_BIN = 100_000
+STRIP = 128
 
 _SKETCH = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
 _SETS = (("cls", pa.int64()), ("n", pa.int64()), ("hist", pa.binary()), ("parity", pa.list_(pa.int64())))
@@ -41,6 +49,7 @@ _BLOBS = pa.schema([("bin", pa.int64()), ("payload", pa.binary())])
 _ENTRIES = pa.schema([("h", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("i", pa.int64())])
 _DEALT = pa.schema([("bin", pa.int64()), ("payload", pa.binary()), *_ENTRIES])
 _WHOLE = pa.schema([("cls", pa.int64()), ("grams", pa.binary())])
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("na", pa.int64()), ("nb", pa.int64())])
 _ENTRY_SQL = "h long, cls long, n long, i long"
 _ENTRY = np.dtype([("h", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("i", "<i4"), ("more", "u1")])
 
@@ -167,6 +176,65 @@ def _shared(table: pa.Table) -> pa.Table:
          pa.array(entries["i"].astype(np.int64))], schema=_ENTRIES)
 
 
+def _cell_pairs(percent: int, quota: int):
+    """Of the entries of one bin the pairs that pass all filters, lie in different components and were not
+    rejected: those that would connect the components, and up to ``quota`` of each entry."""
+    def run(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("cell").to_numpy(), kind="stable")
+        table = table.take(pa.array(order)).combine_chunks()
+        cell, cls, n, i = (table.column(k).to_numpy() for k in ("cell", "cls", "n", "i"))
+        names, root = np.unique(table.column("root").to_numpy(), return_inverse=True)
+        parity = table.column("parity").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, PARITY_WORDS)
+        known, index = np.unique(cls, return_inverse=True)
+        lists = table.column("rejected").combine_chunks()
+        partner = np.searchsorted(known, lists.flatten().to_numpy(zero_copy_only=False))
+        sizes = np.diff(lists.offsets.to_numpy()) if len(lists) else np.empty(0, np.int64)
+        wrong = np.repeat(index, sizes), np.minimum(partner, len(known) - 1)
+        same = known[wrong[1]] == lists.flatten().to_numpy(zero_copy_only=False)
+        rejected = np.unique(wrong[0][same] * len(known) + wrong[1][same])
+        forest, out = Forest(len(names)), []
+        edges = np.append(np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])), len(cell))
+        for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if end - start < 2:
+                continue
+            for k in range(start, end, STRIP):
+                rows = np.arange(k, min(k + STRIP, end))
+                x, y = rows[:, None], np.arange(k, end)[None]
+                total = n[x] + n[y]
+                need = -(-percent * total // (100 + percent))
+                fits = (x < y) & (root[x] != root[y]) & (np.minimum(n[x] - i[x], n[y] - i[y]) >= need) & (
+                    100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+                a, b = np.nonzero(fits)
+                if not len(a):
+                    continue
+                differ = np.zeros(len(a), np.int64)
+                for w in range(PARITY_WORDS):
+                    differ += np.bitwise_count(parity[a + k, w] ^ parity[b + k, w])
+                lo, hi = index[a + k], index[b + k]
+                code = np.minimum(lo, hi) * len(known) + np.maximum(lo, hi)
+                good = differ <= (total - 2 * need)[a, b]
+                if len(rejected):
+                    good &= rejected[np.minimum(np.searchsorted(rejected, code), len(rejected) - 1)] != code
+                a, b = a[good] + k, b[good] + k
+                first = np.searchsorted(a, a)           # a is sorted: the place of each row's first pair
+                few = np.arange(len(a)) - first < quota - 1
+                out.append((a[few], b[few]))
+                while True:
+                    p, q = forest.label[root[a]], forest.label[root[b]]
+                    a, b = a[p != q], b[p != q]
+                    if not len(a):
+                        break
+                    one = np.concatenate([np.unique(a, return_index=True)[1], np.unique(b, return_index=True)[1]])
+                    one = np.unique(one)
+                    out.append((a[one], b[one]))
+                    forest.unite(root[a[one]], root[b[one]])
+        a, b = (np.concatenate(x) if out else np.empty(0, np.int64) for x in (zip(*out) if out else ((), ())))
+        swap = cls[a] > cls[b]
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        return pa.Table.from_arrays([pa.array(v) for v in (cls[a], cls[b], n[a], n[b])], schema=_PAIRS)
+    return run
+
+
 def _suffix_filter(percent: int):
     """Drop pairs whose n-gram counts by hash bucket differ too much for the overlap they need."""
     def run(parts):
@@ -215,10 +283,12 @@ class NgramJoin:
     """
 
     def __init__(self, docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
-                 text_col: str = "text", sketch_bits: int = SKETCH_BITS, broadcast_rows: int = 500_000):
+                 text_col: str = "text", sketch_bits: int = SKETCH_BITS,
+                 cell_limit: int = CELL_LIMIT, per_bin: int = PER_BIN):
         id_ = F.col(id_col) if isinstance(docs.schema[id_col].dataType, StructType) else F.col(id_col).cast("long")
         self.docs = docs.select(id_.alias("id"), F.col(text_col).alias("text"))
-        self.width, self.percent, self.bits, self.broadcast_rows = width, percent, sketch_bits, broadcast_rows
+        self.width, self.percent, self.bits = width, percent, sketch_bits
+        self.cell_limit, self.per_bin = cell_limit, per_bin
         self.spark = docs.sparkSession
 
     def needed(self):
@@ -254,11 +324,6 @@ class NgramJoin:
         small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
         return (100 * small >= self.percent * large) & (room >= self._need())
 
-    def _near(self):
-        """Suffix filter inside a join: the parity sketches bound the difference of the sets from below."""
-        bits = [F.bit_count(F.col("x.parity")[k].bitwiseXOR(F.col("y.parity")[k])) for k in range(PARITY_WORDS)]
-        return sum(bits[1:], bits[0]) <= F.col("x.n") + F.col("y.n") - 2 * self._need()
-
     def _pairs(self, joined: DataFrame) -> DataFrame:
         x_first = F.col("x.cls") < F.col("y.cls")
         return joined.where(self._fits()).select(
@@ -273,8 +338,9 @@ class NgramJoin:
                        .mapInArrow(_suffix_filter(self.percent), "a long, b long"), "pairs")
         wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         wanted = staged(wanted.join(self.classes.select("cls", "id"), "cls"), "wanted")
-        sets = staged(self.docs.join(broadcast_if_small(wanted, self.broadcast_rows), "id").select("cls", "text")
-                      .mapInArrow(_whole_sets(self.width), "cls long, grams binary"), "sets")
+        sets = staged(self.docs.join(broadcast_below(wanted), "id").select("cls", "text")
+                      .mapInArrow(_whole_sets(self.width), "cls long, grams binary")
+                      .dropDuplicates(["cls"]), "sets")  # repeated rows have one set
         return staged(pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
                       .mapInArrow(_verify(self.percent), "a long, b long").distinct(), "links")
 
@@ -287,20 +353,39 @@ class NgramJoin:
                         .agg(F.min("id").alias("id"), F.first("hist").alias("hist"), F.first("parity").alias("parity")))
         self.classes = staged(self.classes, "classes")
         entries = self.entries()
-        links, roots, tried = None, None, None
+        links, roots, rejected = None, None, None
         for turn in range(STAR_ROUNDS):
             left = self._open(entries, roots)
             order = F.struct(F.xxhash64(F.lit(turn), "cls").alias("turn"), "n", "cls", "i", "root")
             hubs = left.groupBy("h").agg(F.min(order).alias("y")).select("h", "y.*")
             pairs = self._pairs(left.alias("x").join(hubs.alias("y"), "h").where("x.root <> y.root"))
-            roots, links, tried = self._grow(pairs, roots, links, tried)
-        left = self._open(entries, roots).join(self.classes.select("cls", "parity"), "cls")
-        left = staged(left, "open")
-        pairs = self._pairs(left.alias("x").join(left.alias("y"), "h")
-                            .where("x.cls < y.cls and x.root <> y.root").where(self._near()))
-        self.roots, self.links, _ = self._grow(pairs, roots, links, tried)
+            if rejected is not None:
+                pairs = pairs.join(rejected, ["a", "b"], "left_anti")
+            roots, links, rejected = self._grow(staged(pairs, "candidates"), roots, links, rejected)
+        turn = 0
+        while True:
+            pairs = self._cell_round(self._open(entries, roots), rejected, 1 << turn)
+            if pairs is None or pairs.isEmpty():
+                break
+            roots, links, rejected = self._grow(pairs, roots, links, rejected)
+            turn += 1
+        self.roots, self.links = roots, links
         return self
 
+    def _cell_round(self, left: DataFrame, rejected: DataFrame, quota: int) -> DataFrame | None:
+        """Pairs of open entries that would connect different components; None if no entry is open."""
+        left = staged(left.join(self.classes.select("cls", "parity"), "cls"), "open")
+        total = left.count()
+        if not total:
+            return None
+        both = rejected.union(rejected.select("b", "a"))
+        partners = both.groupBy(F.col("a").alias("cls")).agg(F.collect_list("b").alias("rejected"))
+        left = left.join(partners, "cls", "left").withColumn(
+            "rejected", F.coalesce("rejected", F.array().cast("array<long>")))
+        met = cells(left.withColumnRenamed("h", "key"), total, "cls", self.cell_limit, self.per_bin)
+        return staged(met.groupBy("bin").applyInArrow(
+            _cell_pairs(self.percent, quota), "a long, b long, na long, nb long").distinct(), "candidates")
+
     def _open(self, entries: DataFrame, roots: DataFrame | None) -> DataFrame:
         """Entries with their component's root, of n-grams that several components share."""
         if roots is None:
@@ -309,16 +394,14 @@ class NgramJoin:
         shared = rooted.groupBy("h").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q")
         return rooted.join(shared.select("h"), "h", "left_semi")
 
-    def _grow(self, pairs: DataFrame, roots, links, tried):
-        """Verify the pairs not tried before; components, links and tried pairs with them."""
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "candidates")
+    def _grow(self, pairs: DataFrame, roots, links, rejected):
+        """Verify candidate pairs (a written table); components, links and rejected pairs with them."""
         found = self.verified(pairs).toDF("u", "v")
-        tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
+        missed = pairs.select("a", "b").join(found.toDF("a", "b"), ["a", "b"], "left_anti")
+        rejected = staged(missed if rejected is None else rejected.union(missed), "rejected")
         if roots is None:
-            return components(found), found, tried
-        return components(roots.union(found)), links.union(found), tried
+            return components(found), found, rejected
+        return components(roots.union(found)), links.union(found), rejected
 
     def groups(self) -> DataFrame:
         """One row per input row: id, n_shingles, component_id (smallest id reachable by links)."""
