@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,13 +39,42 @@ def invert_article(title) -> Column:
     return F.regexp_replace(t, r"(?is)^(.*), the\z", "The $1")
 
 
+def _decomposed() -> tuple[str, str]:
+    """Latin letters that Unicode decomposes into an ASCII letter and marks, and those letters."""
+    pairs = []
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        base = [c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c)]
+        if len(base) == 1 and base[0].isascii() and base[0].isalpha():
+            pairs.append((chr(code), base[0]))
+    return "".join(p[0] for p in pairs), "".join(p[1] for p in pairs)
+
+
+_ACCENTED, _PLAIN = _decomposed()
+
+# Letters that Unicode doesn't decompose.
+_SPELLED = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "þ": "th", "ð": "d", "đ": "d", "ł": "l", "ħ": "h", "ı": "i"}
+
+
+def transliterate(text) -> Column:
+    """Latin letters with marks, and a few others, as ASCII letters; further characters stay.
+
+    Combining marks of decomposed text are dropped.
+    """
+    c = F.translate(F.regexp_replace(as_col(text), r"\p{M}+", ""), _ACCENTED, _PLAIN)
+    for letter, plain in _SPELLED.items():
+        c = F.replace(c, F.lit(letter), F.lit(plain))
+        if len(letter.upper()) == 1 and letter.upper().lower() == letter:
+            c = F.replace(c, F.lit(letter.upper()), F.lit(plain.title()))
+    return c
+
+
 def slug(text) -> Column:
-    """ASCII slug: lower-case, runs of other characters → ``-``, ends trimmed.
+    """ASCII slug: transliterated, lower-case, runs of other characters → ``-``, ends trimmed.
 
     Digits separated by a comma are joined first (``1,000`` → ``1000``).
-    Non-ASCII letters are dropped rather than transliterated.
+    Letters of other scripts than Latin are dropped.
     """
-    c = F.lower(as_col(text))
+    c = F.lower(transliterate(text))
     c = F.regexp_replace(c, r"'", "-")
     c = F.regexp_replace(c, r"(\d),(\d)", "$1$2")
     c = F.regexp_replace(c, r"(\d),(\d)", "$1$2")

@@ -64,41 +64,70 @@ def with_codes(df: DataFrame, doc: str = "doc") -> DataFrame:
     })
 
 
-def newspaper_records(df: DataFrame, doc: str = "doc") -> DataFrame:
-    """``publication_code, title (cleaned), location (NULL when absent)``."""
-    return df.select("publication_code",
-                     clean_title(F.col(f"{doc}.publication.title")).alias("title"),
-                     F.col(f"{doc}.publication.location").alias("location"))
+def _newspaper(doc: str) -> dict:
+    return {"publication_code": F.col("publication_code"), "title": clean_title(F.col(f"{doc}.publication.title")),
+            "location": F.col(f"{doc}.publication.location")}
 
 
-def issue_records(df: DataFrame, doc: str = "doc") -> DataFrame:
-    return df.select("issue_code", "issue_date", "publication_code",
-                     F.col(f"{doc}.process.input_sub_path").alias("input_sub_path"))
+def _issue(doc: str) -> dict:
+    return {"issue_code": F.col("issue_code"), "issue_date": F.col("issue_date"),
+            "publication_code": F.col("publication_code"),
+            "input_sub_path": F.col(f"{doc}.process.input_sub_path")}
 
 
-def item_records(df: DataFrame, doc: str = "doc", collection: str = "collection",
-                 explode_items: bool = False, keep=()) -> DataFrame:
-    """Item fields with defaults; the first ``item`` only unless ``explode_items``."""
-    items = F.col(f"{doc}.publication.issue.item")
-    if explode_items:
-        df = df.withColumn("_item", F.explode_outer(items))
-    else:
-        df = df.withColumn("_item", F.try_element_at(items, F.lit(1)))
-    it = lambda f: F.col(f"_item.{f}")
+def _item(doc: str, item, title_cap: int | None) -> dict:
     software = F.col(f"{doc}.process.software")
     tool = F.col(f"{doc}.process.lwm_tool")
+    title = item["title"] if title_cap is None else cap_title(item["title"], title_cap)
+    return {"item_code": item_code(F.col("issue_code"), item["_id"]),
+            "word_count": F.coalesce(item["word_count"].try_cast("bigint"), F.lit(0)).cast("bigint"),
+            "title": F.coalesce(title, F.lit("")), "item_type": F.upper(item["item_type"]),
+            "input_filename": F.coalesce(item["plain_text_file"], F.lit("")),
+            "ocr_quality_mean": blank_to_zero(item["ocr_quality_mean"]),
+            "ocr_quality_sd": blank_to_zero(item["ocr_quality_sd"]),
+            "digitisation_software": F.when(software != "", software),
+            "ingest_name": F.try_element_at(tool, F.lit("name")),
+            "ingest_version": F.try_element_at(tool, F.lit("version")), "issue_code": F.col("issue_code")}
+
+
+def _ingest(doc: str) -> dict:
+    tool = F.col(f"{doc}.process.lwm_tool")
+    return {"lwm_tool_name": F.try_element_at(tool, F.lit("name")),
+            "lwm_tool_version": F.try_element_at(tool, F.lit("version"))}
+
+
+def _digitisation(doc: str) -> dict:
+    return {c: F.col(f"{doc}.process.{c}") for c in ("xml_flavour", "software", "mets_namespace", "alto_namespace")}
+
+
+def _named(fields: dict):
+    return [c.alias(n) for n, c in fields.items()]
+
+
+def newspaper_records(df: DataFrame, doc: str = "doc", keep=()) -> DataFrame:
+    """``publication_code, title (cleaned), location (NULL when absent)``."""
+    return df.select(*_named(_newspaper(doc)), *keep)
+
+
+def issue_records(df: DataFrame, doc: str = "doc", keep=()) -> DataFrame:
+    return df.select(*_named(_issue(doc)), *keep)
+
+
+def _first_item(doc: str):
+    return F.try_element_at(F.col(f"{doc}.publication.issue.item"), F.lit(1))
+
+
+def item_records(df: DataFrame, doc: str = "doc", collection: str = "collection",
+                 explode_items: bool = False, keep=(), title_cap: int | None = None) -> DataFrame:
+    """Item fields with defaults; the first ``item`` only unless ``explode_items``.
+
+    ``title_cap`` cuts titles to that many characters; by default none is cut
+    (``unreadable_values`` reports those that are).
+    """
+    item = F.explode_outer(f"{doc}.publication.issue.item") if explode_items else _first_item(doc)
+    df = df.withColumn("_item", item)
     return df.select(
-        item_code(F.col("issue_code"), it("_id")).alias("item_code"),
-        F.coalesce(it("word_count").try_cast("bigint"), F.lit(0)).cast("bigint").alias("word_count"),
-        F.coalesce(cap_title(it("title")), F.lit("")).alias("title"),
-        F.upper(it("item_type")).alias("item_type"),
-        F.coalesce(it("plain_text_file"), F.lit("")).alias("input_filename"),
-        blank_to_zero(it("ocr_quality_mean")).alias("ocr_quality_mean"),
-        blank_to_zero(it("ocr_quality_sd")).alias("ocr_quality_sd"),
-        F.when(software != "", software).alias("digitisation_software"),
-        F.try_element_at(tool, F.lit("name")).alias("ingest_name"),
-        F.try_element_at(tool, F.lit("version")).alias("ingest_version"),
-        F.col("issue_code"),
+        *_named(_item(doc, F.col("_item"), title_cap)),
         F.col(collection).alias("collection") if collection in df.columns else F.lit(None).cast("string").alias("collection"),
         *[F.col(k) for k in keep],
     )
@@ -107,31 +136,83 @@ def item_records(df: DataFrame, doc: str = "doc", collection: str = "collection"
 def ingest_records(df: DataFrame, doc: str = "doc") -> DataFrame:
     """Every child of ``lwm_tool``, keys prefixed ``lwm_tool_``."""
     tool = F.col(f"{doc}.process.lwm_tool")
-    return df.select(
-        F.try_element_at(tool, F.lit("name")).alias("lwm_tool_name"),
-        F.try_element_at(tool, F.lit("version")).alias("lwm_tool_version"),
-        F.transform_keys(tool, lambda k, v: F.concat(F.lit("lwm_tool_"), k)).alias("lwm_tool"))
+    return df.select(*_named(_ingest(doc)),
+                     F.transform_keys(tool, lambda k, v: F.concat(F.lit("lwm_tool_"), k)).alias("lwm_tool"))
 
 
-def unreadable_values(df: DataFrame, doc: str = "doc", keep=()) -> DataFrame:
-    """``keep…, field, value``: numbers of the first item and issue dates that
-    are given (not blank) but cannot be read; the records use defaults instead."""
-    item = F.try_element_at(F.col(f"{doc}.publication.issue.item"), F.lit(1))
+def _unreadable(doc: str, title_cap: int | None):
+    """Array of ``(field, value)``: what is given (not blank) but cannot be read, and titles that are cut."""
+    item = _first_item(doc)
     given = [("word_count", item["word_count"], "bigint"), ("ocr_quality_mean", item["ocr_quality_mean"], "double"),
              ("ocr_quality_sd", item["ocr_quality_sd"], "double")]
     bad = [(n, v, v.try_cast(t).isNull()) for n, v, t in given]
     date = F.col(f"{doc}.publication.issue.date")
     bad.append(("issue_date", date, F.try_to_date(date, "yyyy-MM-dd").isNull()))
+    if title_cap is not None:
+        bad.append(("title", item["title"], F.length(item["title"]) > title_cap))
     values = F.array(*[F.struct(F.lit(n).alias("field"), v.alias("value"),
                                 (v.isNotNull() & (F.trim(v) != "") & wrong).alias("bad")) for n, v, wrong in bad])
-    return df.select(*keep, F.inline(F.filter(values, lambda r: r["bad"]))).drop("bad")
+    return F.transform(F.filter(values, lambda r: r["bad"]),
+                       lambda r: F.struct(r["field"].alias("field"), r["value"].alias("value")))
+
+
+def unreadable_values(df: DataFrame, doc: str = "doc", keep=(), title_cap: int | None = None) -> DataFrame:
+    """``keep…, field, value``: numbers of the first item and issue dates that
+    are given (not blank) but cannot be read (the records use defaults
+    instead), and titles that ``title_cap`` cuts."""
+    return df.select(*keep, F.inline(_unreadable(doc, title_cap)))
 
 
 def digitisation_records(df: DataFrame, doc: str = "doc", keep=()) -> DataFrame:
     """The four process fields; no row when software is absent or blank."""
-    p = F.col(f"{doc}.process")
-    row = F.struct(*[p[c].alias(c) for c in ("xml_flavour", "software", "mets_namespace", "alto_namespace")])
     # a filtered one-element array instead of a Filter: a Filter on a parsed
     # field is pushed below the parse and would parse every document twice
-    kept = F.filter(F.array(row), lambda r: r["software"].isNotNull() & (r["software"] != ""))
+    kept = F.filter(F.array(F.struct(*_named(_digitisation(doc)))),
+                    lambda r: r["software"].isNotNull() & (r["software"] != ""))
     return df.select(F.inline(kept), *keep)
+
+
+#: Record kinds of a document and the type of each, in the order in which ``fan_out`` gives them.
+KINDS = {
+    "newspaper": "struct<publication_code:string,title:string,location:string,shard:string,issue_date:string,"
+                 "input_sub_path:string>",
+    "issue": "struct<issue_code:string,issue_date:string,publication_code:string,input_sub_path:string,shard:string>",
+    "item": "struct<item_code:string,word_count:bigint,title:string,item_type:string,input_filename:string,"
+            "ocr_quality_mean:double,ocr_quality_sd:double,digitisation_software:string,ingest_name:string,"
+            "ingest_version:string,issue_code:string,publication_code:string,shard:string>",
+    "ingest": "struct<lwm_tool_name:string,lwm_tool_version:string>",
+    "digitisation": "struct<xml_flavour:string,software:string,mets_namespace:string,alto_namespace:string>",
+    "dataprovider": "struct<collection:string>",
+    "quarantine": "struct<error:string>",
+    "rejected": "struct<field:string,value:string>",
+}
+
+
+def fan_out(df: DataFrame, error, doc: str = "doc", keep=(), collection: str = "collection",
+            title_cap: int | None = None) -> DataFrame:
+    """One pass over parsed documents that gives all records of each.
+
+    Rows are ``keep…, kind`` and one struct per kind of ``KINDS``, of which only
+    the row's own is set: stored by kind, a table reads only its partition and
+    its columns, and the parsed struct itself is never stored.  A document
+    with an ``error`` gives one ``quarantine`` row; any other gives its six
+    records (no digitisation without software) and a ``rejected`` row for each
+    value that cannot be read.
+    """
+    def record(kind, fields):
+        return F.struct(F.lit(kind).alias("kind"), *[
+            (F.struct(*_named(fields)) if k == kind else F.lit(None)).cast(t).alias(k) for k, t in KINDS.items()])
+
+    where = {"shard": F.col("shard")}
+    newspaper = {**_newspaper(doc), **where, "issue_date": F.col("issue_date"),
+                 "input_sub_path": F.col(f"{doc}.process.input_sub_path")}
+    item = {**_item(doc, _first_item(doc), title_cap), "publication_code": F.col("publication_code"), **where}
+    always = [record("newspaper", newspaper), record("issue", {**_issue(doc), **where}), record("item", item),
+              record("ingest", _ingest(doc)), record("dataprovider", {"collection": F.col(collection)})]
+    software = F.col(f"{doc}.process.software")
+    digitised = F.when(software != "", F.array(record("digitisation", _digitisation(doc)))).otherwise(F.array())
+    rejected = F.transform(_unreadable(doc, title_cap),
+                           lambda r: record("rejected", {"field": r["field"], "value": r["value"]}))
+    records = F.when(error.isNotNull(), F.array(record("quarantine", {"error": error}))).otherwise(
+        F.concat(F.array(*always), digitised, rejected))
+    return df.select(*keep, F.inline(records))

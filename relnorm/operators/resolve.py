@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from relnorm.functions._util import as_col
 from relnorm.operators.dedupe import dimension_index, keep_first
+from relnorm.session import stage
 
 
 def _pairs(on):
@@ -39,20 +40,25 @@ def _bytes_of(df: DataFrame) -> int:
 
 def resolve_fk(df: DataFrame, dim: DataFrame, on, pk: str = "pk", as_name: str | None = None,
                keep: str = "last", policy: str = "null", drop_keys: bool = False,
-               broadcast: bool = False) -> DataFrame:
+               broadcast: bool = False, checks=None) -> DataFrame:
     """Replace natural key(s) by the dimension's ``pk``.
 
     ``on``: a column name, a list of names / (left, right) pairs, or a dict
     left → right.  Several keys compare column by column (no string
     concatenation, so ``a-b``/``c`` can't collide with ``a``/``b-c``).
     ``policy``: ``null`` keeps NULL for an unresolved key; ``strict`` raises
-    when a non-blank key is unresolved (runs one counting job);
-    ``quarantine`` adds ``<as_name>_error``, set when a non-blank key is
-    unresolved (see ``audit.split_by_error``).
+    when a non-blank key is unresolved; ``quarantine`` adds
+    ``<as_name>_error``, set when a non-blank key is unresolved (see
+    ``audit.split_by_error``).
+    ``checks``: unresolved keys are measured where the result is written (see
+    ``checks.Checks``), under ``unresolved <as_name>``; with ``strict`` its
+    ``verify`` raises.  Without it ``strict`` runs one counting job now.
     ``broadcast``: for a dimension expected to be small whose key may be hot in
     ``df``; its size is counted, and beyond ``BROADCAST_BYTES`` the join is left
     to AQE like any other.
     """
+    if policy not in ("null", "strict", "quarantine"):
+        raise ValueError(f"unknown policy {policy}")
     pairs = _pairs(on)
     as_name = as_name or pk
     idx = dimension_index(dim, [r for _, r in pairs], pk, keep)
@@ -67,35 +73,39 @@ def resolve_fk(df: DataFrame, dim: DataFrame, on, pk: str = "pk", as_name: str |
     unresolved = present & F.col(as_name).isNull()
     if policy == "quarantine":
         out = out.withColumn(f"{as_name}_error", F.when(unresolved, F.lit(f"unresolved {as_name}")))
+    if checks is not None:
+        out = checks.watch(out, f"unresolved {as_name}", unresolved, [l for l, _ in pairs], policy == "strict")
     elif policy == "strict":
-        bad = out.filter(unresolved).select(*[l for l, _ in pairs])
         from relnorm.operators.audit import fail_if_any
-        fail_if_any(bad, f"unresolved foreign key {as_name}")
+        fail_if_any(out.filter(unresolved).select(*[l for l, _ in pairs]), f"unresolved foreign key {as_name}")
     if drop_keys:
         out = out.drop(*[l for l, _ in pairs if l != as_name])
     return out
 
 
-def resolve_array_fk(df: DataFrame, row_id: str, array_col: str, dim: DataFrame,
-                     label: str, pk: str = "pk", as_name: str | None = None,
-                     keep: str = "last") -> DataFrame:
+def resolve_array_fk(df: DataFrame, array_col: str, dim: DataFrame, label: str, pk: str = "pk",
+                     as_name: str | None = None, keep: str = "last", stage_input: bool = True) -> DataFrame:
     """Array of labels → array of pks; order and duplicates kept; ``[]`` and
     NULL arrays give ``[]``; an unknown label gives a NULL element.
 
-    Explodes with positions, joins the reduced dimension, regroups on the
-    (unique) ``row_id`` and restores order by position.  Each group is one
-    source row's list, so no group is unbounded by the data volume.
+    Lists repeat far more than rows do, so only the distinct arrays (named by
+    a digest) are exploded, resolved and put together again; the rows of
+    ``df`` cross one join with that dictionary and are never regrouped.
+    ``stage_input=False`` skips staging when ``df`` is a staged table anyway.
     """
     as_name = as_name or f"{array_col}_ids"
+    df = df.withColumn("_af_key", F.md5(F.to_json(F.col(array_col))))
+    df = stage(df) if stage_input else df
+    arrays = (df.filter(F.size(array_col) > 0).groupBy("_af_key")
+              .agg(F.any_value(array_col).alias("_af_array")))
     idx = dimension_index(dim, [label], pk, keep).select(
         F.col(label).alias("_af_label"), F.col(pk).alias("_af_pk"))
-    ex = df.select(row_id, F.posexplode_outer(array_col).alias("_af_pos", "_af_val"))
+    ex = arrays.select("_af_key", F.posexplode("_af_array").alias("_af_pos", "_af_val"))
     j = ex.join(idx, ex["_af_val"] == idx["_af_label"], "left")
-    grouped = j.groupBy(row_id).agg(
-        F.array_sort(F.collect_list(F.when(F.col("_af_pos").isNotNull(),
-                                           F.struct("_af_pos", "_af_pk")))).alias("_af_list"))
-    grouped = grouped.select(row_id, F.transform("_af_list", lambda x: x["_af_pk"]).alias(as_name))
-    return df.join(grouped, row_id, "left")
+    grouped = j.groupBy("_af_key").agg(F.array_sort(F.collect_list(F.struct("_af_pos", "_af_pk"))).alias("_af_list"))
+    grouped = grouped.select("_af_key", F.transform("_af_list", lambda x: x["_af_pk"]).alias(as_name))
+    out = df.join(grouped, "_af_key", "left").drop("_af_key")
+    return out.withColumn(as_name, F.coalesce(as_name, F.array().cast(out.schema[as_name].dataType)))
 
 
 def unique_by(dim: DataFrame, keys, value_cols) -> DataFrame:
@@ -108,25 +118,55 @@ def unique_by(dim: DataFrame, keys, value_cols) -> DataFrame:
     return g.filter(F.col("_ub_n") == 1).select(*keys, "_ub_v.*")
 
 
+def _as_number(df: DataFrame, name: str):
+    """A point in time (or an integer) as a long."""
+    kind = df.schema[name].dataType.typeName()
+    if kind == "date":
+        return F.unix_date(name).cast("bigint")
+    return F.unix_micros(F.col(name).cast("timestamp")) if kind.startswith("timestamp") else F.col(name).cast("bigint")
+
+
+def interval_candidates(probes: DataFrame, authority: DataFrame, pairs, point: str, start: str, end: str,
+                        values) -> DataFrame:
+    """Every probe with every interval of its key that holds its point.
+
+    An interval of up to 2^k units lies in at most two bins of that width, and
+    a point in one, so the join is on key, width and bin: a key with many
+    intervals and many points gives about as many candidates as matches
+    (at least a quarter of the points of a bin's neighbourhood match).  Widths
+    are powers of two, at most 64, collected from the intervals.
+    """
+    low, high = _as_number(authority, start), _as_number(authority, end)
+    a = authority.select(*[F.col(r).alias(f"_il_r{i}") for i, (_, r) in enumerate(pairs)],
+                         low.alias("_il_s"), high.alias("_il_e"),
+                         *[F.col(v).alias(f"_il_v{i}") for i, v in enumerate(values)])
+    level = F.length(F.bin(F.col("_il_e") - F.col("_il_s")))  # 2^level exceeds the length
+    a = a.filter(F.col("_il_s") <= F.col("_il_e")).withColumn("_il_level", level)
+    widths = [r[0] for r in a.select("_il_level").distinct().collect()]
+    a = a.withColumn("_il_bin", F.explode(F.sequence(*[F.expr(f"shiftright({c}, _il_level)") for c in ("_il_s", "_il_e")])))
+    p = probes.withColumn("_il_p", _as_number(probes, point))
+    p = p.withColumn("_il_at", F.explode(F.array(*[
+        F.struct(F.lit(w).alias("level"), F.shiftright("_il_p", w).alias("bin")) for w in widths])
+        if widths else F.array().cast("array<struct<level:int,bin:bigint>>")))
+    cond = reduce(lambda x, y: x & y, [p[l] == a[f"_il_r{i}"] for i, (l, _) in enumerate(pairs)]
+                  + [p["_il_at.level"] == a["_il_level"], p["_il_at.bin"] == a["_il_bin"],
+                     p["_il_p"] >= a["_il_s"], p["_il_p"] <= a["_il_e"]])
+    return p.join(a, cond, "inner")
+
+
 def interval_lookup(df: DataFrame, authority: DataFrame, on, point: str,
                     start: str, end: str, values, prefix: str = "") -> DataFrame:
     """Equality on ``on`` plus ``start <= point <= end`` (inclusive); accepted
     only when exactly one authority row matches, else NULL values.
 
     Matching runs on the distinct (key, point) combinations, not on every
-    fact row, so a million articles of one issue cost one probe.
+    fact row, so a million articles of one issue cost one probe; see
+    ``interval_candidates`` for how they meet.
     """
     pairs = _pairs(on)
     values = [values] if isinstance(values, str) else list(values)
     lkeys = [l for l, _ in pairs] + [point]
-    probes = df.select(*lkeys).distinct()
-    a = authority.select(*[F.col(r).alias(f"_il_r{i}") for i, (_, r) in enumerate(pairs)],
-                         F.col(start).alias("_il_s"), F.col(end).alias("_il_e"),
-                         *[F.col(v).alias(f"_il_v{i}") for i, v in enumerate(values)])
-    cond = reduce(lambda x, y: x & y,
-                  [probes[l] == a[f"_il_r{i}"] for i, (l, _) in enumerate(pairs)]
-                  + [probes[point] >= a["_il_s"], probes[point] <= a["_il_e"]])
-    cand = probes.join(a, cond, "inner")
+    cand = interval_candidates(df.select(*lkeys).distinct(), authority, pairs, point, start, end, values)
     agg = cand.groupBy(*lkeys).agg(
         F.count(F.lit(1)).alias("_il_n"),
         *[F.min(f"_il_v{i}").alias(f"{prefix}{v}") for i, v in enumerate(values)])

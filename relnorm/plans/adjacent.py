@@ -16,12 +16,15 @@ from relnorm.functions.predicates import not_blank
 from relnorm.functions.text import split_list, trim_elements
 from relnorm.operators.aggregates import sorted_distinct_dim
 from relnorm.operators.audit import multi_match_keys, unmatched_keys
+from relnorm.operators.checks import Checks
 from relnorm.operators.dedupe import keep_first
 from relnorm.operators.keys import dense_key
 from relnorm.operators.records import stamp
 from relnorm.operators.resolve import lookup_first, resolve_array_fk, resolve_fk
+from relnorm.session import staging
 from relnorm.sources.tables import read_csv, read_json_dictionary, read_json_records
 
+# Columns used of the gazetteer and of the linking file.
 GAZETTEER_COLUMNS = ["wikidata_id", "english_label", "latitude", "longitude", "geonamesIDs"]
 LINKING_COLUMNS = ["NLP", "Title", "AcquiredYears", "Editions", "EditionTitles", "City", "Publisher",
                    "UnavailableYears", "Collection", "UK", "Complete", "Notes", "County",
@@ -39,11 +42,14 @@ def _dim_from_places(places: DataFrame, prefix: str, pk: str) -> DataFrame:
 
 def build_tables(spark: SparkSession, mitchells: DataFrame, gazetteer: DataFrame,
                  historic: DataFrame, admin: DataFrame, countries: DataFrame,
-                 linking: DataFrame, newspapers: DataFrame, run_ts: str) -> dict:
+                 linking: DataFrame, newspapers: DataFrame, run_ts: str, strict_keys: bool = False,
+                 checks: Checks | None = None) -> dict:
     """``mitchells``: directory rows with an ``row_order`` column;
     ``gazetteer``: the five gazetteer columns; dictionaries: rows
     ``(place_wikidata_id, label, wikidata_id)``; ``linking``: linking rows;
-    ``newspapers``: flat newspaper records ``(pk, publication_code)``."""
+    ``newspapers``: flat newspaper records ``(pk, publication_code)``.
+    Unresolved keys are measured by ``checks`` when the tables are written."""
+    checks = checks if checks is not None else Checks()
     mentions = mitchells.select(F.col("PLACE_PUB_WIKI").alias("place_wikidata_id")).distinct()
     gaz = gazetteer.select(F.col("wikidata_id").alias("place_wikidata_id"),
                            F.col("english_label").alias("place_label"), "latitude", "longitude",
@@ -99,12 +105,16 @@ def build_tables(spark: SparkSession, mitchells: DataFrame, gazetteer: DataFrame
         "_lean": trim_elements(F.col("political_leaning_raw")), "_price": trim_elements(F.col("price_raw")),
         "newspaper_code": zero_fill(F.col("newspaper")),
     })
-    entry = dense_key(entry, ["row_order", "newspaper"], pk="pk")
-    entry = resolve_array_fk(entry, "pk", "_lean", leanings, label="label", as_name="political_leanings")
-    entry = resolve_array_fk(entry, "pk", "_price", prices, label="label", as_name="prices")
-    entry = resolve_fk(entry, issues, "year", as_name="issue")
+    order = ["row_order", "newspaper"]
+    entry = dense_key(entry, order, pk="pk", tiebreak=[c for c in entry.columns if c not in order])
+    # the keyed entries are a staged table already
+    entry = resolve_array_fk(entry, "_lean", leanings, label="label", as_name="political_leanings", stage_input=False)
+    entry = resolve_array_fk(entry, "_price", prices, label="label", as_name="prices", stage_input=False)
+    entry = resolve_fk(entry, issues, "year", as_name="issue", policy="strict" if strict_keys else "null",
+                       checks=checks.part("mitchells.Entry"))
+    # a place or paper that is not found is reported by the audits and never fatal
     entry = resolve_fk(entry, place.select("pk", F.col("wikidata_id").alias("place_of_publication_id")),
-                       "place_of_publication_id", as_name="place_of_publication")
+                       "place_of_publication_id", as_name="place_of_publication", checks=checks.part("mitchells.Entry"))
     entry = lookup_first(entry.withColumnRenamed("newspaper", "newspaper_nlp"),
                          newspapers.select(F.col("pk").alias("newspaper"), "publication_code"),
                          {"newspaper_code": "publication_code"}, ["newspaper"], "newspaper")
@@ -149,9 +159,18 @@ def read_inputs(spark: SparkSession, mitchells_csv: str, gazetteer_csv: str, his
                 countries=read_json_dictionary(spark, countries_json), linking=link, newspapers=papers)
 
 
-def run(spark: SparkSession, inputs: dict, output: str, run_ts: str, formats=("json", "csv")) -> dict:
+def run(spark: SparkSession, inputs: dict, output: str, run_ts: str, formats=("json", "csv"),
+        strict_keys: bool = False) -> dict:
+    """Write the eight tables in the given formats, and the audits and
+    ``checks`` as JSON Lines.  Returns the records of each table, counted while
+    it was written first."""
     from relnorm.sinks.fixtures import export_tables
-    tables = build_tables(spark, run_ts=run_ts, **inputs)
-    main = {k: v for k, v in tables.items() if "." in k}
-    export_tables(main, output, formats)
-    return tables
+    checks = Checks()
+    with staging(spark):
+        tables = build_tables(spark, run_ts=run_ts, strict_keys=strict_keys, checks=checks, **inputs)
+        main = {k: checks.count(v, k) for k, v in tables.items() if "." in k}
+        export_tables(main, output, formats, gates={k: checks.part(k).verify for k in main})
+        for name in (k for k in tables if "." not in k):
+            checks.count(tables[name], name).write.mode("overwrite").json(f"{output}/{name}")
+        checks.table(spark).write.mode("overwrite").json(f"{output}/checks")
+    return checks.counts()

@@ -95,9 +95,7 @@ SELECT o_orderkey AS doc_key, {_ORDER_CODE} AS publication_code,
 FROM orders""")
 def xml_newspaper_records(spark, sf):
     d = _order_documents(spark, sf)
-    return d.select("doc_key", "publication_code",
-                    RF.clean_title(F.col("doc.publication.title")).alias("title"),
-                    F.col("doc.publication.location").alias("location"))
+    return X.newspaper_records(d, keep=["doc_key"])
 
 
 @query("xml_issue_records", covers=("EXT-3", "PRJ-5"), sql=f"""
@@ -108,8 +106,7 @@ SELECT o_orderkey AS doc_key,
 FROM orders""")
 def xml_issue_records(spark, sf):
     d = _order_documents(spark, sf)
-    return d.select("doc_key", "issue_code", "issue_date", "publication_code",
-                    F.col("doc.process.input_sub_path").alias("input_sub_path"))
+    return X.issue_records(d, keep=["doc_key"])
 
 
 @query("xml_item_records", covers=("EXT-4", "PRJ-6", "PRJ-9", "PRJ-10", "PRJ-11"), sql=f"""
@@ -155,21 +152,16 @@ SELECT 'newspaper' AS kind, count(DISTINCT o_custkey) AS n FROM orders
 UNION ALL SELECT 'issue', count(DISTINCT (o_custkey, o_orderdate)) FROM orders
 UNION ALL SELECT 'item', count(*) FROM orders
 UNION ALL SELECT 'digitisation', count(DISTINCT o_orderpriority) FROM orders WHERE o_orderstatus <> 'F'
-UNION ALL SELECT 'ingest', count(DISTINCT o_orderstatus) FROM orders""")
+UNION ALL SELECT 'ingest', count(DISTINCT o_orderstatus) FROM orders
+UNION ALL SELECT 'dataprovider', count(DISTINCT o_custkey % 3) FROM orders""")
 def xml_fanout_counts(spark, sf):
-    from relnorm.operators.aggregates import record_counts
     from relnorm.session import stage
-    # parse once, fan out six ways: the parsed base is checkpointed
-    d = stage(_order_documents(spark, sf).select("doc_key", "collection", "doc", "publication_code",
-                                                 "issue_code", "issue_date"))
-    tables = {
-        "newspaper": X.newspaper_records(d).select("publication_code").distinct(),
-        "issue": X.issue_records(d).select("issue_code").distinct(),
-        "item": X.item_records(d).select("item_code"),
-        "digitisation": X.digitisation_records(d).select("software").distinct(),
-        "ingest": X.ingest_records(d).select("lwm_tool_name", "lwm_tool_version").distinct(),
-    }
-    return record_counts(tables).select(F.col("model").alias("kind"), F.col("n_records").alias("n"))
+    # every document is parsed once and gives all six kinds of records in that pass
+    d = X.fan_out(_order_documents(spark, sf), F.coalesce("parse_error", "code_error"), keep=["collection"])
+    r = stage(d, partition_by="kind")
+    key = F.coalesce("newspaper.publication_code", "issue.issue_code", "item.item_code", "ingest.lwm_tool_version",
+                     "digitisation.software", "dataprovider.collection")
+    return r.groupBy("kind").agg(F.count_distinct(key).alias("n"))
 
 
 # --------------------------------------------------------------------------
@@ -302,13 +294,12 @@ def key_escaping(spark, sf):
 
 
 @query("title_cap", covers=("PRJ-9",), sql="""
-SELECT doc_id, length(substr(text, 1, 2097151)) AS n_chars_capped, md5(substr(text, 1, 2097151)) AS text_md5
+SELECT doc_id, substr(text, 1, 200) AS capped, length(text) > 200 AS is_cut, substr(text, 1, 2097151) = text AS fits_default
 FROM documents""")
 def title_cap(spark, sf):
     d = table(spark, sf, "documents")
-    capped = RF.cap_title("text")
-    return d.select("doc_id", F.length(capped).cast("bigint").alias("n_chars_capped"),
-                    F.md5(capped).alias("text_md5"))
+    return d.select("doc_id", RF.cap_title("text", 200).alias("capped"), (F.length("text") > 200).alias("is_cut"),
+                    (RF.cap_title("text") == F.col("text")).alias("fits_default"))
 
 
 @query("missing_field_defaults", covers=("PRJ-10", "JON-12"), sql="""
@@ -346,12 +337,15 @@ def relational_rename(spark, sf):
 
 
 @query("slugs", covers=("PRJ-13",), sql="""
-SELECT p_partkey, regexp_replace(regexp_replace(lower(p_brand || ' ' || p_name || '!'), '[^a-z0-9]+', '-', 'g'),
-                                 '^-+|-+$', '', 'g') AS slug
-FROM part""")
+WITH t AS (SELECT p_partkey, p_brand || ' ' || translate(p_name, 'aceiou', 'áçèÏøÜ') || ' Straße, Œuvre Łódź 1,000!' AS x FROM part)
+SELECT p_partkey, regexp_replace(regexp_replace(replace(lower(
+         replace(replace(replace(replace(replace(strip_accents(x), 'ø', 'o'), 'ß', 'ss'), 'Œ', 'OE'), 'Ł', 'L'), 'ł', 'l')),
+         '1,000', '1000'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug
+FROM t""")
 def slugs(spark, sf):
     p = table(spark, sf, "part")
-    return p.select("p_partkey", RF.slug(F.concat_ws(" ", "p_brand", "p_name", F.lit("!"))).alias("slug"))
+    name = F.concat_ws(" ", "p_brand", F.translate("p_name", "aceiou", "áçèÏøÜ"), F.lit("Straße, Œuvre Łódź 1,000!"))
+    return p.select("p_partkey", RF.slug(name).alias("slug"))
 
 
 @query("article_inversion", covers=("PRJ-14",), sql=f"""

@@ -16,21 +16,14 @@ from relnorm import operators as O
 from relnorm.plans.registry import query, table
 from relnorm.session import scratch_path
 from relnorm.sinks import fixtures as SK
-from relnorm.sinks.incremental import append_distinct, insert_if_absent
+from relnorm.sinks.incremental import append_distinct, insert_if_absent, read_store
 from relnorm.sources import tables as ST
-from relnorm.sources.archives import archive_manifest
 
 
 def _scratch(spark, tag):
     return scratch_path(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
-@query("manifest_parquet_files", covers=("SRC-1",))
-def manifest_parquet_files(spark, sf):
-    m = archive_manifest(spark, sf, "*.parquet", recursive=False)
-    return m.select("archive_name", "length")
-
-
 _ORDERS_FIELDS = StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
                              StructField("o_orderstatus", StringType()), StructField("o_totalprice", DoubleType())])
 
@@ -45,9 +38,9 @@ def fixture_json_roundtrip(spark, sf):
     out = _scratch(spark, "json")
     SK.write_fixture_json(k, out, "orders", chunk_size=1000)
     schema = StructType([StructField("pk", LongType()), StructField("model", StringType()),
-                         StructField("fields", _ORDERS_FIELDS), StructField("chunk", StringType())])
+                         StructField("fields", _ORDERS_FIELDS)])
     back = ST.read_json_lines(spark, out, schema)
-    return back.select("pk", "model", "fields.*", F.col("chunk"))
+    return back.select("pk", "model", "fields.*", F.regexp_extract(F.col("_metadata.file_name"), r"-(\d+)\.", 1).alias("chunk"))
 
 
 @query("fixture_json_array_roundtrip", covers=("SNK-1", "SRC-6"), sql="""
@@ -57,48 +50,53 @@ def fixture_json_array_roundtrip(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_nationkey").cast("bigint").alias("c_nationkey"))
     k = O.dense_key(c, ["c_custkey"])
     out = _scratch(spark, "jsonarr")
-    SK.write_fixture_json(k, out, "customer", chunk_size=100, array=True)
+    SK.write_fixture_json(k, out, "customer", chunk_size=1000, array=True)
     schema = StructType([StructField("pk", LongType()), StructField("model", StringType()),
                          StructField("fields", StructType([StructField("c_custkey", LongType()),
                                                            StructField("c_name", StringType()),
                                                            StructField("c_nationkey", LongType())]))])
-    back = ST.read_json_records(spark, out, schema, multiline=True, recursive=True, glob="*.txt")
+    # files larger than a block are split over tasks
+    back = ST.read_json_records(spark, out, schema, block_bytes=8 << 10)
     return O.flatten_records(back)
 
 
 @query("fixture_csv_roundtrip", covers=("SNK-2", "SRC-8"), sql="""
-SELECT row_number() OVER (ORDER BY s_suppkey) AS pk, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS code, s_name, s_acctbal
+SELECT row_number() OVER (ORDER BY s_suppkey) AS pk, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS code,
+       replace(s_name, '#', ',"' || chr(10)) AS s_name, s_acctbal
 FROM supplier""")
 def fixture_csv_roundtrip(spark, sf):
     s = table(spark, sf, "supplier").select(F.lpad(F.col("s_suppkey").cast("string"), 10, "0").alias("code"),
-                                            "s_name", "s_acctbal")
+                                            F.replace("s_name", F.lit("#"), F.lit(',"\n')).alias("s_name"), "s_acctbal")
     k = O.dense_key(s, ["code"])
     out = _scratch(spark, "csv")
-    SK.write_fixture_csv(k, out, chunk_size=50)
+    SK.write_fixture_csv(k, out, chunk_size=500)
     schema = StructType([StructField("pk", LongType()), StructField("code", StringType()),
                          StructField("s_name", StringType()), StructField("s_acctbal", DoubleType())])
-    back = ST.read_csv(spark, out, schema)
+    # quoted line breaks; files larger than a block are split over tasks
+    back = ST.read_csv(spark, out, schema, block_bytes=8 << 10)
     return back.select("pk", "code", "s_name", "s_acctbal")
 
 
 @query("multi_format_export", covers=("SNK-3",), sql="""
-SELECT t, f, n FROM (SELECT 'supplier' AS t, count(*) AS n FROM supplier UNION ALL SELECT 'customer', count(*) FROM customer)
+SELECT t, f, pk, k, name, balance
+FROM (SELECT 'supplier' AS t, row_number() OVER (ORDER BY s_suppkey) AS pk, s_suppkey AS k, s_name AS name, s_acctbal AS balance FROM supplier
+      UNION ALL SELECT 'customer', row_number() OVER (ORDER BY c_custkey), c_custkey, c_name, c_acctbal FROM customer)
 CROSS JOIN (VALUES ('json'), ('csv'), ('parquet')) AS v(f)""")
 def multi_format_export(spark, sf):
-    tabs = {"supplier": O.dense_key(table(spark, sf, "supplier"), ["s_suppkey"]),
-            "customer": O.dense_key(table(spark, sf, "customer"), ["c_custkey"])}
+    tabs = {t: O.dense_key(table(spark, sf, t).select(F.col("s_suppkey" if c == "s" else "c_custkey").alias("k"), F.col(f"{c}_name").alias("name"),
+                                                      F.col(f"{c}_acctbal").alias("balance")), ["k"])
+            for t, c in (("supplier", "s"), ("customer", "c"))}
     base = _scratch(spark, "export")
     paths = SK.export_tables(tabs, base, formats=("json", "csv", "parquet"))
-    parts = []
+    parts, fields = [], "k bigint, name string, balance double"
     for (name, fmt), p in paths.items():
         if fmt == "json":
-            df = spark.read.schema("pk bigint").json(p)
+            df = O.flatten_records(spark.read.schema(f"pk bigint, fields struct<{fields.replace(' ', ':').replace(',:', ',')}>").json(p))
         elif fmt == "csv":
-            df = spark.read.option("header", "true").schema("pk bigint").csv(p)
+            df = spark.read.option("header", "true").schema(f"pk bigint, {fields}").csv(p)
         else:
             df = spark.read.parquet(p)
-        parts.append(df.agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(
-            F.lit(name).alias("t"), F.lit(fmt).alias("f"), "n"))
+        parts.append(df.select(F.lit(name).alias("t"), F.lit(fmt).alias("f"), "pk", "k", "name", "balance"))
     return O.union_all(*parts)
 
 
@@ -112,7 +110,7 @@ def insert_if_absent_orders(spark, sf):
     # first run: half the orders; second run: all orders — nothing stored moves
     insert_if_absent(spark, o.filter(F.col("o_orderkey") % 2 == 0), store, ["o_orderkey"], pk="pk")
     insert_if_absent(spark, o, store, ["o_orderkey"], pk="pk")
-    return spark.read.parquet(store).select("pk", "o_orderkey")
+    return read_store(spark, store).select("pk", "o_orderkey")
 
 
 @query("append_distinct", covers=("SNK-5", "DED-5"), sql="""
@@ -122,7 +120,7 @@ def append_distinct_documents(spark, sf):
     store = _scratch(spark, "items")
     append_distinct(spark, d, store)
     append_distinct(spark, d, store)
-    return spark.read.parquet(store)
+    return read_store(spark, store)
 
 
 @query("table_to_records", covers=("SNK-6",), sql="""
@@ -143,7 +141,7 @@ def table_to_records(spark, sf):
 @query("compressed_output", covers=("SNK-7",), sql="""
 SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
                                    l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS pk,
-       l_orderkey, l_returnflag, l_extendedprice FROM lineitem""")
+       l_orderkey, l_returnflag, l_extendedprice, '1F8B' AS magic FROM lineitem""")
 def compressed_output(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                              "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
@@ -151,13 +149,11 @@ def compressed_output(spark, sf):
     k = O.dense_key(li, li.columns).select("pk", "l_orderkey", "l_returnflag", "l_extendedprice")
     out = _scratch(spark, "gz")
     SK.write_fixture_json(k, out, "lineitem", chunk_size=20_000, compression="gzip")
-    files = [f for f in os.listdir(os.path.join(out, "chunk=000001")) if f.startswith("part-")] \
-        if out.startswith("/") and os.path.isdir(os.path.join(out, "chunk=000001")) else []
-    if files and not all(f.endswith(".gz") for f in files):
-        raise RuntimeError("expected gzip output")
     schema = "pk bigint, model string, fields struct<l_orderkey:bigint, l_returnflag:string, l_extendedprice:double>"
     back = ST.read_json_lines(spark, out, schema)
-    return back.select("pk", "fields.*")
+    heads = spark.read.format("binaryFile").load(out).select(F.hex(F.substring("content", 1, 2)).alias("magic"))
+    head = heads.agg(F.array_join(F.sort_array(F.collect_set("magic")), ",").alias("magic"))  # one row
+    return back.select("pk", "fields.*").crossJoin(F.broadcast(head))
 
 
 @query("json_object_entries", covers=("SRC-9", "EXT-5"), sql="""
@@ -182,166 +178,3 @@ def json_dictionary_files(spark, sf):
     out = _scratch(spark, "dict")
     files.repartition("part").write.partitionBy("part").text(out)
     return ST.read_json_dictionary(spark, out)
-
-
-# --------------------------------------------------------------------------
-# End-to-end fulltext job over zip archives written from `documents`
-# --------------------------------------------------------------------------
-
-def _write_zip(pdf):
-    """One archive per group (a group is at most a bounded number of entries)."""
-    import io
-    import os as _os
-    import zipfile
-    import pandas as pd
-    folder, arch = pdf["folder"].iloc[0], pdf["archive"].iloc[0]
-    _os.makedirs(folder, exist_ok=True)
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-        for r in pdf.sort_values("entry").itertuples(index=False):
-            zf.writestr(r.entry, r.text.encode("utf-8"))
-    with open(_os.path.join(folder, arch), "wb") as fh:
-        fh.write(buf.getvalue())
-    return pd.DataFrame([(arch, len(pdf))], columns=["archive", "n"])
-
-
-def _write_archives(rows):
-    rows.groupBy("folder", "archive").applyInPandas(_write_zip, "archive string, n long").count()
-
-
-def documents_to_archives(spark, sf, folder):
-    """Write ``documents`` as ``<source>/<doc_id>.txt`` entries into zip
-    archives of at most 100 documents (a bounded group per task)."""
-    d = table(spark, sf, "documents")
-    arch = F.concat(F.col("source"), F.lit("-"), F.lpad(F.floor(F.col("doc_id") / 100).cast("string"), 6, "0"),
-                    F.lit("_plaintext.zip"))
-    entry = F.concat(F.col("source"), F.lit("/"), F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".txt"))
-    rows = d.select(F.lit(folder).alias("folder"), arch.alias("archive"), entry.alias("entry"),
-                    F.coalesce("text", F.lit("")).alias("text"))
-    _write_archives(rows)
-
-
-@query("fulltext_from_archives", covers=("JOB-3", "SRC-2", "SRC-3", "SRC-4", "SRC-5", "PRJ-24", "KEY-3"), sql="""
-WITH a AS (SELECT source || '-' || lpad(CAST(CAST(floor(doc_id / 100) AS BIGINT) AS VARCHAR), 6, '0') || '_plaintext.zip' AS archive,
-                  source || '/' || lpad(CAST(doc_id AS VARCHAR), 9, '0') || '.txt' AS path, coalesce(text, '') AS text FROM documents)
-SELECT row_number() OVER (ORDER BY archive, path) + 4 AS pk, path, archive,
-       md5(regexp_replace(text, '\\r\\n?', chr(10), 'g')) AS text_md5, CAST(NULL AS VARCHAR) AS errors
-FROM a""")
-def fulltext_from_archives(spark, sf):
-    from relnorm.plans.fulltext import fulltext_table
-    folder = _scratch(spark, "zips")
-    documents_to_archives(spark, sf, folder)
-    t = fulltext_table(spark, folder, initial_pk=5)
-    return t.select("pk", "path", F.regexp_extract("compressed_path", r"([^/]+)$", 1).alias("archive"),
-                    F.md5("text").alias("text_md5"), "errors")
-
-
-# --------------------------------------------------------------------------
-# End-to-end news job over zip archives of XML documents built from `orders`
-# --------------------------------------------------------------------------
-
-@query("news_job_items", covers=("JOB-1", "SRC-1", "SRC-2", "SRC-3", "EXT-8", "KEY-2", "JON-1", "JON-2",
-                                 "DED-2", "DED-5", "PRJ-27"), sql="""
-WITH s AS (SELECT *, 'col' || CAST(o_custkey % 3 AS VARCHAR) AS coll, lpad(CAST(o_custkey AS VARCHAR), 7, '0') AS code,
-                  substr(regexp_replace(lpad(CAST(o_custkey AS VARCHAR), 7, '0'), '^0+', ''), 1, 2) AS h FROM orders),
-s2 AS (SELECT *, CASE WHEN length(h) = 1 THEN '0' || h ELSE h END AS shard,
-              code || '-' || strftime(o_orderdate, '%Y%m%d') AS issue_code FROM s),
-prov AS (SELECT coll, row_number() OVER (ORDER BY coll) AS pk FROM (SELECT DISTINCT coll FROM s2)),
-dig AS (SELECT sw, row_number() OVER (ORDER BY sw) AS pk
-        FROM (SELECT DISTINCT 'abbyy/' || o_orderpriority AS sw FROM orders WHERE o_orderstatus <> 'F')),
-ing AS (SELECT v, row_number() OVER (ORDER BY v) AS pk FROM (SELECT DISTINCT o_orderstatus AS v FROM orders)),
-iss AS (SELECT issue_code, max(pk) AS pk FROM (
-          SELECT issue_code, row_number() OVER (ORDER BY coll, shard, code, issue_code) AS pk
-          FROM (SELECT DISTINCT coll, shard, code, issue_code FROM s2)) GROUP BY issue_code)
-SELECT row_number() OVER (ORDER BY s2.coll, shard, code, s2.issue_code || '-art' || CAST(o_orderkey AS VARCHAR)) AS pk,
-       s2.issue_code || '-art' || CAST(o_orderkey AS VARCHAR) AS item_code,
-       CAST(floor(o_totalprice) AS BIGINT) AS word_count,
-       'Article ' || CAST(o_orderkey AS VARCHAR) || ':' AS title,
-       CASE WHEN o_orderstatus <> 'P' THEN 'ARTICLE' END AS item_type,
-       'art' || CAST(o_orderkey AS VARCHAR) || '.txt' AS input_filename,
-       CASE WHEN o_orderstatus = 'O' THEN 0.0 ELSE CAST('0.' || CAST(o_orderkey % 100 AS VARCHAR) AS DOUBLE) END AS ocr_quality_mean,
-       CASE WHEN o_orderstatus = 'F' THEN 0.0 ELSE CAST('0.0' || CAST(o_orderkey % 10 AS VARCHAR) AS DOUBLE) END AS ocr_quality_sd,
-       dig.pk AS digitisation_id, ing.pk AS ingest_id, iss.pk AS issue_id, prov.pk AS data_provider_id
-FROM s2 LEFT JOIN dig ON dig.sw = CASE WHEN o_orderstatus <> 'F' THEN 'abbyy/' || o_orderpriority END
-LEFT JOIN ing ON ing.v = o_orderstatus LEFT JOIN iss ON iss.issue_code = s2.issue_code
-LEFT JOIN prov ON prov.coll = s2.coll""")
-def news_job_items(spark, sf):
-    from relnorm.plans.catalog_columns import order_xml
-    from relnorm.plans import news
-    base = _scratch(spark, "news")
-    x = order_xml(spark, sf)
-    rows = x.select(F.concat(F.lit(base + "/"), "collection", F.lit("-alto2txt/metadata")).alias("folder"),
-                    F.concat(F.lit("A"), F.lpad(F.floor(F.col("doc_key") / 1000).cast("string"), 5, "0"),
-                             F.lit("_metadata.zip")).alias("archive"),
-                    F.concat(F.col("doc_key").cast("string"), F.lit(".xml")).alias("entry"),
-                    F.col("xml").alias("text"))
-    _write_archives(rows)
-    tables = news.build_tables(spark, news.read_documents(spark, base))
-    return tables["item"].drop("created_at", "updated_at")
-
-
-# --------------------------------------------------------------------------
-# End-to-end adjacent job with inputs derived from the given tables
-# --------------------------------------------------------------------------
-
-def adjacent_inputs(spark, sf):
-    """Directory rows from orders, gazetteer and newspapers from customers,
-    dictionaries from customers × nations, links from orders."""
-    o = table(spark, sf, "orders")
-    c = table(spark, sf, "customer")
-    n = table(spark, sf, "nation")
-    mitchells = o.select(
-        F.col("o_orderkey").alias("row_order"), F.col("o_orderkey").cast("string").alias("ID"),
-        F.concat(F.lit("Paper "), F.col("o_orderkey").cast("string")).alias("TITLE"),
-        F.concat(F.col("o_orderpriority"), F.lit("<SEP> "), F.col("o_orderstatus")).alias("POLITICS"),
-        F.lit(None).cast("string").alias("PERSONS"), F.lit(None).cast("string").alias("ORGANIZATIONS"),
-        F.concat((F.col("o_custkey") % 7).cast("string"), F.lit("d")).alias("PRICE"),
-        F.year("o_orderdate").cast("string").alias("YEAR"),
-        F.concat(F.lit("Q"), (F.col("o_custkey") % 200).cast("string")).alias("PLACE_PUB_WIKI"),
-        F.lit("").alias("ESTABLISHED_DATE"), F.lit("").alias("PUBLISED_DATE"))
-    qid = F.concat(F.lit("Q"), F.col("c_custkey").cast("string"))
-    gazetteer = c.select(qid.alias("wikidata_id"), F.col("c_name").alias("english_label"),
-                         F.col("c_acctbal").alias("latitude"), F.col("c_nationkey").cast("double").alias("longitude"),
-                         F.col("c_custkey").cast("string").alias("geonamesIDs"))
-    cn = c.join(F.broadcast(n.select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")), "c_nationkey")
-    historic = cn.select(qid.alias("place_wikidata_id"), F.col("n_name").alias("label"),
-                         F.concat(F.lit("Q9"), F.col("c_nationkey").cast("string")).alias("wikidata_id"))
-    admin = cn.filter(F.col("c_mktsegment") != "MACHINERY").select(
-        qid.alias("place_wikidata_id"), F.concat(F.lit("Region "), F.col("n_regionkey").cast("string")).alias("label"),
-        F.concat(F.lit("Q8"), F.col("n_regionkey").cast("string")).alias("wikidata_id"))
-    countries = cn.select(qid.alias("place_wikidata_id"), F.lit("England").alias("label"), F.lit("Q21").alias("wikidata_id"))
-    linking = o.filter(F.col("o_orderstatus") != "P").select(
-        F.lpad(F.col("o_custkey").cast("string"), 7, "0").alias("NLP"),
-        F.col("o_orderkey").cast("string").alias("link_to_mpd"))
-    newspapers = c.filter(F.col("c_mktsegment") != "AUTOMOBILE").select(
-        (F.col("c_custkey") + 1000).alias("pk"), F.lpad(F.col("c_custkey").cast("string"), 7, "0").alias("publication_code"))
-    return dict(mitchells=mitchells, gazetteer=gazetteer, historic=historic, admin=admin,
-                countries=countries, linking=linking, newspapers=newspapers)
-
-
-@query("adjacent_job_entries", covers=("JOB-2", "JON-4", "JON-5", "JON-6", "JON-9", "JON-11", "JON-13",
-                                       "AGG-1", "AGG-2", "PRJ-16", "PRJ-17"), sql="""
-WITH m AS (SELECT o_orderkey, o_custkey, o_orderstatus, 'Paper ' || CAST(o_orderkey AS VARCHAR) AS title,
-                  [o_orderpriority, o_orderstatus] AS lean, [CAST(o_custkey % 7 AS VARCHAR) || 'd'] AS price,
-                  year(o_orderdate) AS y, 'Q' || CAST(o_custkey % 200 AS VARCHAR) AS place_id FROM orders),
-lean AS (SELECT l, row_number() OVER (ORDER BY l) AS pk FROM (SELECT DISTINCT unnest(lean) AS l FROM m)),
-pr AS (SELECT p, row_number() OVER (ORDER BY p) AS pk FROM (SELECT DISTINCT unnest(price) AS p FROM m)),
-yr AS (SELECT y, row_number() OVER (ORDER BY y) AS pk FROM (SELECT DISTINCT y FROM m WHERE y IS NOT NULL)),
-gz AS (SELECT 'Q' || CAST(c_custkey AS VARCHAR) AS wid, row_number() OVER (ORDER BY 'Q' || CAST(c_custkey AS VARCHAR), c_name) AS pk
-       FROM customer WHERE 'Q' || CAST(c_custkey AS VARCHAR) IN (SELECT place_id FROM m)),
-np AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS code, min(c_custkey + 1000) AS pk FROM customer
-       WHERE c_mktsegment <> 'AUTOMOBILE' GROUP BY 1),
-e AS (SELECT m.*, lpad(CAST(o_custkey AS VARCHAR), 7, '0') AS nlp,
-             row_number() OVER (ORDER BY o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 7, '0')) AS pk
-      FROM m WHERE o_orderstatus <> 'P')
-SELECT e.pk, e.title, CAST(e.y AS BIGINT) AS year, yr.pk AS issue, gz.pk AS place_of_publication, np.pk AS newspaper,
-       CAST((SELECT pk FROM lean WHERE l = e.lean[1]) AS VARCHAR) || ',' || CAST((SELECT pk FROM lean WHERE l = e.lean[2]) AS VARCHAR) AS political_leanings,
-       CAST((SELECT pk FROM pr WHERE p = e.price[1]) AS VARCHAR) AS prices
-FROM e LEFT JOIN yr ON yr.y = e.y LEFT JOIN gz ON gz.wid = e.place_id LEFT JOIN np ON np.code = e.nlp""")
-def adjacent_job_entries(spark, sf):
-    from relnorm.plans import adjacent
-    t = adjacent.build_tables(spark, run_ts="2024-01-01 00:00:00.000000+00:00", **adjacent_inputs(spark, sf))
-    e = t["mitchells.Entry"]
-    as_text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
-    return e.select("pk", "title", "year", "issue", "place_of_publication", "newspaper",
-                    as_text("political_leanings").alias("political_leanings"), as_text("prices").alias("prices"))

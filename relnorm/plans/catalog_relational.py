@@ -268,7 +268,7 @@ def array_fk_conversation_words(spark, sf):
     c = c.select(F.struct("conv_id", "turn").alias("rid"),
                  F.split(F.coalesce("text", F.lit("")), " ").alias("words"))
     vocab = O.sorted_distinct_dim(c.select(F.explode("words").alias("w")), "w", pk="pk", label="w")
-    r = O.resolve_array_fk(c, "rid", "words", vocab, label="w", pk="pk", as_name="word_ids")
+    r = O.resolve_array_fk(c, "words", vocab, label="w", pk="pk", as_name="word_ids")
     return r.select(F.col("rid.conv_id").alias("conv_id"), F.col("rid.turn").alias("turn"),
                     F.size("word_ids").cast("bigint").alias("n_words"),
                     F.md5(F.array_join(F.transform("word_ids", lambda x: x.cast("string")), ",")).alias("ids_md5"))

@@ -2,8 +2,8 @@
 (data provider, ingest, digitisation, newspaper, issue, item), a quarantine
 of rejected documents, and a per-archive run report.
 
-Plan: manifest → central directories → entries spread over tasks → parse
-once (staged) → six projections → keep-first per natural key in document
+Plan: one scan of the archives by bytes → parse once → all records of each
+document in one pass, staged by kind → keep-first per natural key in document
 order (archive size, archive path, entry index) → dense keys → FK joins.
 """
 
@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 
 from relnorm.functions.codes import sole_match, zero_fill
 from relnorm.functions.dates import assemble_date
-from relnorm.functions.text import clean_title, invert_article, name_prefix
+from relnorm.functions.text import invert_article, name_prefix
 from relnorm.operators import extract as X
+from relnorm.operators.aggregates import collection_totals
+from relnorm.operators.checks import Checks
 from relnorm.operators.dedupe import keep_first
 from relnorm.operators.keys import dense_key
-from relnorm.operators.resolve import interval_lookup, resolve_fk, unique_by
-from relnorm.session import stage
-from relnorm.sources.archives import archive_manifest, read_entries, xml_as_utf8, zip_entries
+from relnorm.operators.records import stamp
+from relnorm.operators.resolve import resolve_fk
+from relnorm.session import stage, staging
+from relnorm.sources.archives import SPLIT_BYTES, archive_entries, archive_manifest, file_name, parent_name
 from relnorm.sources.providers import provider_records
 from relnorm.sources.tables import read_csv
 
@@ -33,24 +36,27 @@ TITLE_EXCEPTIONS = {
     "AGER": "Lancaster Gazetter, And General Advertiser For Lancashire West",
 }
 
+# Columns of the title authority file.
 AUTHORITY_COLUMNS = ["Newspaper Title", "NLP", "Abbr", "StartD", "StartM", "StartY",
                      "EndD", "EndM", "EndY"]
 
 
-def read_documents(spark: SparkSession, mount: str, glob: str = "*.zip",
-                   unit_entries: int = 256) -> DataFrame:
+def _collection(archive):
+    """The folder above ``metadata`` without its suffix, else the archive's own folder."""
+    named = F.regexp_extract(archive, r"/([^/]+?)(?:-alto2txt)?/metadata/[^/]+$", 1)
+    return F.coalesce(F.nullif(named, F.lit("")), parent_name(archive))
+
+
+def read_documents(spark: SparkSession, mount: str, glob: str = "*.zip", split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """``(collection, archive, archive_name, archive_size, entry_index, xml)``
     and ``read_error`` for every non-empty entry, whatever its name, decoded as
-    it declares; a damaged entry or archive has a ``read_error`` and no ``xml``."""
-    manifest = archive_manifest(spark, mount, glob)
-    coll = F.coalesce(F.nullif(F.regexp_extract("path", r"/([^/]+?)(?:-alto2txt)?/metadata/[^/]+$", 1), F.lit("")),
-                      F.col("collection"))
-    manifest = manifest.withColumn("collection", coll).withColumnRenamed("length", "archive_size")
-    keep = ["archive_name", "archive_size", "collection"]
-    content = read_entries(zip_entries(manifest, keep), unit_entries, keep=keep, convert=xml_as_utf8,
-                           on_error="report")
+    it declares; a damaged entry or archive has a ``read_error`` and no ``xml``.
+    One scan whose tasks follow the archives' bytes; nothing is shuffled."""
+    content = archive_entries(spark, mount, glob, content=True, convert="xml", split_bytes=split_bytes)
+    archive = F.col("archive")
     return content.filter(F.col("error").isNotNull() | (F.length("content") > 0)).select(
-        "archive", *keep, "entry_index", F.col("content").cast("string").alias("xml"),
+        "archive", file_name(archive).alias("archive_name"), "archive_size",
+        _collection(archive).alias("collection"), "entry_index", F.col("content").cast("string").alias("xml"),
         F.col("error").alias("read_error"))
 
 
@@ -69,165 +75,210 @@ def read_title_authority(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def compile_authority(authority: DataFrame) -> DataFrame:
+    """One row per key ``(kind, key)``: for an abbreviation its validity
+    intervals by start, its only title (if all its rows agree) and its titles
+    by publication code (where unique); for a publication code its title if it
+    has exactly one row."""
+    by_abbr = authority.filter(F.col("abbr").isNotNull()).groupBy("abbr", "publication_code").agg(
+        F.collect_list(F.struct("start_date", "end_date", "title")).alias("rows"),
+        F.min("title").alias("least"), F.max("title").alias("most"))
+    code_title = F.when((F.col("least") == F.col("most")) & F.col("publication_code").isNotNull(),
+                        F.struct("publication_code", F.col("least").alias("title")))
+    by_abbr = by_abbr.withColumn("code_title", code_title).groupBy("abbr").agg(
+        F.array_sort(F.flatten(F.collect_list("rows"))).alias("intervals"),
+        F.min("least").alias("least"), F.max("most").alias("most"),
+        F.map_from_entries(F.collect_list("code_title")).alias("titles_by_code"))
+    by_abbr = by_abbr.select(
+        F.lit("abbr").alias("kind"), F.col("abbr").alias("key"), "intervals",
+        F.when(F.col("least") == F.col("most"), F.col("least")).alias("sole_title"), "titles_by_code")
+    by_code = authority.filter(F.col("publication_code").isNotNull()).groupBy("publication_code").agg(
+        F.count(F.lit(1)).alias("n"), F.min("title").alias("title"))
+    by_code = by_code.select(
+        F.lit("code").alias("kind"), F.col("publication_code").alias("key"),
+        F.lit(None).cast(by_abbr.schema["intervals"].dataType).alias("intervals"),
+        F.when(F.col("n") == 1, F.col("title")).alias("sole_title"),
+        F.lit(None).cast("map<string,string>").alias("titles_by_code"))
+    return by_abbr.unionByName(by_code)
+
+
 def match_titles(papers: DataFrame, authority: DataFrame) -> DataFrame:
     """Resolve blank titles against the authority.  ``papers`` has
     ``publication_code, title, issue_date, input_sub_path, abbr``.  Adds
     ``match_tier``.  Cascade: (1) a single 7-digit code in the sub-path →
     the authority title when that code has exactly one row, else the given
     title, and stop; (2) abbreviation + issue date inside exactly one
-    validity interval; (3) the abbreviation's only title; (4) a fixed
-    exception title; (5) the abbreviation itself."""
-    p = papers.withColumn("_path_code", sole_match(F.col("input_sub_path")))
-    by_code = (authority.groupBy("publication_code").agg(F.count(F.lit(1)).alias("_n"),
-                                                           F.min("title").alias("_code_title"))
-               .filter(F.col("_n") == 1).select(F.col("publication_code").alias("_path_code"), "_code_title"))
-    p = p.join(by_code, "_path_code", "left")
-    p = p.withColumn("_date", F.try_to_date(F.col("issue_date"), "yyyy-MM-dd"))
-    p = interval_lookup(p, authority, {"abbr": "abbr"}, "_date", "start_date", "end_date", "title",
-                        prefix="_iv_")
-    sole = unique_by(authority, ["abbr"], "title").select("abbr", F.col("title").alias("_sole_title"))
-    p = p.join(sole, "abbr", "left")
-    exc = F.create_map(*[x for k, v in TITLE_EXCEPTIONS.items() for x in (F.lit(k), F.lit(v))])
-    p = p.withColumn("_exc", F.try_element_at(exc, F.col("abbr")))
+    validity interval; (3) the abbreviation's only title; (4) the only title
+    of abbreviation + publication code; (5) a fixed exception title; (6) the
+    abbreviation itself.
+
+    A paper needs one key of the compiled authority, its path code or its
+    abbreviation, so there is one join, and the tiers are expressions on the
+    row it finds."""
+    path_code = sole_match(F.col("input_sub_path"))
+    p = papers.withColumns({
+        "_kind": F.when(path_code.isNotNull(), F.lit("code")).otherwise(F.lit("abbr")),
+        "_key": F.coalesce(path_code, F.col("abbr"))})
+    known = compile_authority(authority).withColumnsRenamed({"kind": "_kind", "key": "_key"})
+    p = p.join(known, ["_kind", "_key"], "left")
+    date = F.try_to_date(F.col("issue_date"), "yyyy-MM-dd")
+    valid = F.filter("intervals", lambda i: (i["start_date"] <= date) & (date <= i["end_date"]))
+    exceptions = F.create_map(*[x for k, v in TITLE_EXCEPTIONS.items() for x in (F.lit(k), F.lit(v))])
     blank = F.col("title").isNull() | (F.col("title") == "")
-    path_tier = F.col("_path_code").isNotNull()
-    title = (F.when(~blank, F.col("title"))
-             .when(path_tier, F.coalesce(F.col("_code_title"), F.col("title")))
-             .otherwise(F.coalesce(F.col("_iv_title"), F.col("_sole_title"), F.col("_exc"),
-                                   F.nullif(F.col("abbr"), F.lit("")))))
-    tier = (F.when(~blank, F.lit("document"))
-            .when(path_tier, F.lit("path_code"))
-            .when(F.col("_iv_title").isNotNull(), F.lit("interval"))
-            .when(F.col("_sole_title").isNotNull(), F.lit("sole_title"))
-            .when(F.col("_exc").isNotNull(), F.lit("exception"))
-            .when(F.col("abbr") != "", F.lit("abbreviation")))
-    return p.withColumns({"title": title, "match_tier": tier}).drop(
-        "_path_code", "_code_title", "_date", "_iv_title", "_sole_title", "_exc")
-
-
-def archive_report(base: DataFrame, bad, manifest: DataFrame | None = None, run_id: str | None = None) -> DataFrame:
-    """Per archive: documents used and rejected, its papers (bounded by the
-    archive's titles), issues and bytes.  ``manifest`` adds archives that gave
-    no document, with zeros."""
-    ok = ~bad
-    report = base.groupBy("archive", "archive_name").agg(
-        F.count_if(ok).alias("n_documents"), F.count_if(bad).alias("n_rejected"),
-        F.sort_array(F.collect_set(F.when(ok, F.col("publication_code")))).alias("publication_codes"),
-        F.count_distinct(F.when(ok, F.col("issue_code"))).alias("n_issues"),
+    by_abbr = [
+        ("interval", F.when(F.size(valid) == 1, valid[0]["title"])), ("sole_title", F.col("sole_title")),
+        ("abbreviation_code", F.try_element_at("titles_by_code", F.col("publication_code"))),
+        ("exception", F.try_element_at(exceptions, F.col("abbr"))),
+        ("abbreviation", F.nullif(F.col("abbr"), F.lit("")))]
+    in_path = F.col("_kind") == "code"
+    title = F.when(~blank, F.col("title")).when(in_path, F.coalesce("sole_title", "title")).otherwise(
+        F.coalesce(*[t for _, t in by_abbr]))
+    tier = F.when(~blank, F.lit("document")).when(in_path, F.lit("path_code"))
+    for name, found in by_abbr:
+        tier = tier.when(found.isNotNull(), F.lit(name))
+    return p.withColumns({"match_tier": tier, "title": title}).drop(
+        "_kind", "_key", "intervals", "sole_title", "titles_by_code")
+
+
+def archive_report(records: DataFrame, manifest: DataFrame | None = None, run_id: str | None = None) -> DataFrame:
+    """Per archive: documents used and rejected, items, its papers (bounded by
+    the archive's titles), issues and bytes, from the rows of ``fan_out``.
+    ``manifest`` adds archives that gave no document, with zeros."""
+    kinds = records.filter(F.col("kind").isin("issue", "item", "quarantine"))
+    report = kinds.groupBy("archive", "archive_name").agg(
+        F.count_if(F.col("kind") == "issue").alias("n_documents"),
+        F.count_if(F.col("kind") == "quarantine").alias("n_rejected"),
+        F.count_distinct("item.item_code").alias("n_items"),
+        F.sort_array(F.collect_set("issue.publication_code")).alias("publication_codes"),
+        F.count_distinct("issue.issue_code").alias("n_issues"),
         F.min("collection").alias("collection"), F.max("archive_size").cast("bigint").alias("bytes"))
     if manifest is not None:
         listed = manifest.select(F.col("path").alias("archive"), F.col("archive_name").alias("_name"),
-                                 F.col("collection").alias("_collection"), F.col("length").alias("_bytes"))
+                                 _collection(F.col("path")).alias("_collection"), F.col("length").alias("_bytes"))
         report = listed.join(report, "archive", "left").select(
-            "archive", F.col("_name").alias("archive_name"), F.coalesce("n_documents", F.lit(0)).alias("n_documents"),
-            F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"),
+            "archive", F.col("_name").alias("archive_name"),
+            *[F.coalesce(n, F.lit(0)).alias(n) for n in ("n_documents", "n_rejected", "n_items")],
             F.coalesce("publication_codes", F.array().cast("array<string>")).alias("publication_codes"),
             F.coalesce("n_issues", F.lit(0)).alias("n_issues"),
-            F.coalesce("collection", "_collection").alias("collection"), F.col("_bytes").alias("bytes"))
+            F.col("_collection").alias("collection"), F.col("_bytes").alias("bytes"))
     return report.withColumn("n_papers", F.size("publication_codes").cast("bigint")).withColumn(
         "run_id", F.lit(run_id).cast("string"))
 
 
+TABLES = ("dataprovider", "ingest", "digitisation", "newspaper", "issue", "item")
+
+
 def build_tables(spark: SparkSession, docs: DataFrame, authority: DataFrame | None = None,
                  run_ts: str = "1970-01-01 00:00:00.000000+00:00", manifest: DataFrame | None = None,
-                 run_id: str | None = None) -> dict:
+                 run_id: str | None = None, requested=None, title_cap: int | None = None,
+                 strict_keys: bool = False, checks: Checks | None = None) -> dict:
     """All output tables from a documents frame (see ``read_documents``).
 
     ``quarantine`` has the documents that cannot be used, ``rejected_values``
-    the numbers and dates that cannot be read (their documents stay).  With
-    ``manifest`` the report also lists archives without any document.
+    the numbers and dates that cannot be read and the titles that ``title_cap``
+    cuts (their documents stay).  With ``manifest`` the report also lists
+    archives without any document, and ``collections`` the archives and bytes
+    of every ``requested`` collection, empty ones too.  Unresolved keys and
+    papers without a title are measured by ``checks`` when the tables are
+    written; with ``strict_keys`` its ``verify`` raises on an unresolved key.
     """
-    from relnorm.operators.records import stamp
+    checks = checks if checks is not None else Checks()
+    policy = "strict" if strict_keys else "null"
     if "read_error" not in docs.columns:
         docs = docs.withColumn("read_error", F.lit(None).cast("string"))
-    parsed = X.with_codes(X.parse_documents(docs)).withColumn("parse_error", F.coalesce("read_error", "parse_error"))
+    parsed = X.with_codes(X.parse_documents(docs))
     order = ["archive_size", "archive", "entry_index"]
-    base = stage(parsed.select(*order, "collection", "archive_name", "doc", "parse_error",
-                               "publication_code", "code_error", "issue_date", "issue_code", "shard"))
-    bad = F.col("parse_error").isNotNull() | F.col("code_error").isNotNull()
-    quarantine = base.filter(bad).select("archive", "entry_index",
-                                         F.coalesce("parse_error", "code_error").alias("error"))
-    good = base.filter(~bad)
-    rejected = X.unreadable_values(good, keep=("archive", "entry_index"))
-
-    providers = provider_records(spark, good.select("collection"))
-    providers = dense_key(providers, ["collection_name"])
-
-    ingest = X.ingest_records(good).select("lwm_tool_name", "lwm_tool_version").distinct()
-    ingest = dense_key(ingest, ["lwm_tool_name", "lwm_tool_version"])
-
-    digit_src = X.digitisation_records(good, keep=order)
-    digit = keep_first(digit_src, ["software"], order).drop(*order)
+    records = stage(X.fan_out(parsed, F.coalesce("read_error", "parse_error", "code_error"),
+                              keep=[*order, "archive_name", "collection"], title_cap=title_cap), partition_by="kind")
+
+    def kind(name, *keep):
+        return records.filter(F.col("kind") == name).select(*keep, f"{name}.*")
+
+    quarantine = kind("quarantine", "archive", "entry_index")
+    rejected = kind("rejected", "archive", "entry_index")
+
+    providers = dense_key(provider_records(spark, kind("dataprovider")), ["collection_name"])
+    ingest = dense_key(kind("ingest").distinct(), ["lwm_tool_name", "lwm_tool_version"])
+    digit = keep_first(kind("digitisation", *order), ["software"], order).drop(*order)
     digit = dense_key(digit, ["software"])
 
-    papers = keep_first(good.select("collection", "publication_code", "shard", *order,
-                                    F.col("doc.publication.title").alias("raw_title"),
-                                    F.col("doc.publication.location").alias("location"),
-                                    "issue_date", F.col("doc.process.input_sub_path").alias("input_sub_path"),
-                                    name_prefix(F.col("archive_name")).alias("abbr")),
+    papers = keep_first(kind("newspaper", "collection", "archive_name", *order),
                         ["collection", "publication_code"], order)
-    papers = papers.withColumn("title", clean_title(F.col("raw_title"))).drop("raw_title")
+    papers = papers.withColumn("abbr", name_prefix(F.col("archive_name")))
     if authority is not None:
         papers = match_titles(papers, authority)
     else:
         papers = papers.withColumn("match_tier", F.when(F.col("title") != "", F.lit("document")))
     newspaper = dense_key(papers, ["collection", "shard", "publication_code"]).select(
         "pk", "publication_code", "title", "location", "collection", "shard", "match_tier")
+    titled = checks.part("newspaper").watch(newspaper, "newspaper without title", F.coalesce("title", F.lit("")) == "",
+                                            ["collection", "publication_code"])
 
-    issue_src = good.select("collection", "shard", "issue_code", "issue_date", "publication_code",
-                            F.col("doc.process.input_sub_path").alias("input_sub_path"), *order)
-    issues = keep_first(issue_src, ["collection", "issue_code"], order).drop(*order)
-    issues = resolve_fk(issues, newspaper, "publication_code", as_name="newspaper_id")
+    issues = keep_first(kind("issue", "collection", *order), ["collection", "publication_code", "issue_code"],
+                        order).drop(*order)
     issue = dense_key(issues, ["collection", "shard", "publication_code", "issue_code"])
+    linked_issue = resolve_fk(issue, newspaper, "publication_code", as_name="newspaper_id", policy=policy,
+                              checks=checks.part("issue"))
 
-    items = X.item_records(good, keep=("publication_code", "shard"))
-    # exact duplicates (the same article read twice) are dropped
-    items = items.dropDuplicates()
-    items = resolve_fk(items, digit, {"digitisation_software": "software"}, as_name="digitisation_id",
-                       broadcast=True)
-    items = resolve_fk(items, ingest, {"ingest_name": "lwm_tool_name", "ingest_version": "lwm_tool_version"},
-                       as_name="ingest_id", broadcast=True)
-    items = resolve_fk(items, issue, "issue_code", as_name="issue_id")
-    # one row per collection directory; a third of all items may sit in one
-    # collection, or come from one software or tool, so never shuffle on them
-    items = resolve_fk(items, providers, {"collection": "collection_name"}, as_name="data_provider_id",
-                       broadcast=True)
+    # exact duplicates (the same article read twice) are dropped; keys come
+    # first, on the narrow natural columns, so foreign keys cross no range sort
+    items = kind("item", "collection").dropDuplicates()
     # two versions of an article share a code: every other column breaks the tie
     order = ["collection", "shard", "publication_code", "item_code"]
-    item = dense_key(items, order, tiebreak=[c for c in items.columns if c not in order]).drop(
-        "digitisation_software", "ingest_name", "ingest_version", "shard")
+    item = dense_key(items, order, tiebreak=[c for c in items.columns if c not in order])
+    # one row per collection directory; a third of all items may sit in one
+    # collection, or come from one software or tool, so never shuffle on them
+    for dim, on, name, small in (
+            (digit, {"digitisation_software": "software"}, "digitisation_id", True),
+            (ingest, {"ingest_name": "lwm_tool_name", "ingest_version": "lwm_tool_version"}, "ingest_id", True),
+            (issue, "issue_code", "issue_id", False),
+            (providers, {"collection": "collection_name"}, "data_provider_id", True)):
+        item = resolve_fk(item, dim, on, as_name=name, broadcast=small, policy=policy,
+                          checks=checks.part("item"))
 
-    report = archive_report(base, bad, manifest, run_id)
     tables = {
         "dataprovider": providers.select("pk", "name", "code", "legacy_code", "source_note", "collection"),
         "ingest": ingest.select("pk", "lwm_tool_name", "lwm_tool_version"),
         "digitisation": digit.select("pk", "xml_flavour", "software", "mets_namespace", "alto_namespace"),
-        "newspaper": newspaper.select("pk", "publication_code", "title", "location"),
-        "issue": issue.select("pk", "issue_code", "issue_date", "newspaper_id", "input_sub_path"),
+        "newspaper": titled.select("pk", "publication_code", "title", "location"),
+        "issue": linked_issue.select("pk", "issue_code", "issue_date", "newspaper_id", "input_sub_path"),
         "item": item.select("pk", "item_code", "word_count", "title", "item_type", "input_filename",
                             "ocr_quality_mean", "ocr_quality_sd", "digitisation_id", "ingest_id",
                             "issue_id", "data_provider_id"),
     }
     tables = {k: stamp(v, run_ts) for k, v in tables.items()}
+    tables["title_matches"] = newspaper.select("pk", "collection", "publication_code", "match_tier")
     tables["quarantine"] = quarantine
     tables["rejected_values"] = rejected
-    tables["report"] = report
+    tables["report"] = archive_report(records, manifest, run_id)
+    if manifest is not None:
+        named = manifest.withColumn("collection", _collection(F.col("path")))
+        requested = requested or [r[0] for r in named.select("collection").distinct().collect()]
+        tables["collections"] = collection_totals(spark, requested, named)
     return tables
 
 
 def run(spark: SparkSession, mount: str, output: str, authority_csv: str | None = None,
-        max_elements_per_file: int = 2_000_000, run_ts: str | None = None) -> dict:
-    """Read, build and write every table as chunked fixture JSON."""
+        max_elements_per_file: int = 2_000_000, run_ts: str | None = None, requested=None,
+        title_cap: int | None = None, strict_keys: bool = False) -> dict:
+    """Read, build and write every table: the six as numbered fixture JSON, the
+    reports as JSON Lines, and ``checks``.  Returns the records of each table,
+    counted while writing.  With ``strict_keys`` an unresolved key ends the job
+    before the table that holds it appears."""
     import datetime as dt
     from relnorm.sinks.fixtures import write_fixture_json
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
     authority = read_title_authority(spark, authority_csv) if authority_csv else None
-    tables = build_tables(spark, read_documents(spark, mount), authority, run_ts,
-                          archive_manifest(spark, mount), run_id=run_ts)
-    for name in ("dataprovider", "ingest", "digitisation", "newspaper", "issue", "item"):
-        write_fixture_json(tables[name], f"{output}/{name}", f"newspapers.{name}",
-                           chunk_size=max_elements_per_file)
-    tables["report"].write.mode("overwrite").json(f"{output}/report")
-    for name in ("quarantine", "rejected_values"):
-        tables[name].write.mode("overwrite").json(f"{output}/{name}")
-    return tables
+    checks = Checks()
+    with staging(spark):
+        tables = build_tables(spark, read_documents(spark, mount), authority, run_ts, archive_manifest(spark, mount),
+                              run_ts, requested, title_cap, strict_keys, checks)
+        for name, table in tables.items():
+            counted = checks.count(table, name)
+            if name in TABLES:
+                write_fixture_json(counted, f"{output}/{name}", f"newspapers.{name}",
+                                   chunk_size=max_elements_per_file, gate=checks.part(name).verify)
+            else:
+                counted.write.mode("overwrite").json(f"{output}/{name}")
+        checks.table(spark).write.mode("overwrite").json(f"{output}/checks")
+    return checks.counts()

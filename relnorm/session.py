@@ -11,9 +11,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_staged: list[str] = []
+
 _DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -67,15 +71,42 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+def stage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Cut lineage: write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
-    Used where a plan would otherwise evaluate an expensive input twice
-    (fan-out of one parsed base into several tables).  Survives executor
-    loss, unlike a local checkpoint or a memory-only cache.
+    Used where a plan would otherwise evaluate an expensive input twice.
+    Later reads take only the columns they need and survive executor loss.
+    ``staging`` or ``release`` removes the files.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
+    _staged.append(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Remove the tables staged by this driver (from the ``since``-th on); nothing may read them afterwards."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_staged) > since:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Scope of a job: what it staged is removed at its end, however it ends."""
+    since = len(_staged)
+    try:
+        yield
+    finally:
+        release(spark, since)
+
+
+def measured(observation) -> dict:
+    """The metrics of a finished observation; empty if the optimiser found that its input has no rows."""
+    found = observation._jo.getAsJava()
+    return {k: found[k] for k in found}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

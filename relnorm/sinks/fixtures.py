@@ -1,52 +1,40 @@
-"""Chunked record output.
+"""Chunked record output: numbered files of N records each.
 
-Records are ``{pk, model, fields}``.  ``chunk`` = ⌊(pk − initial)/N⌋ + 1 is
-a column, the output is partitioned by its zero-padded value, so each chunk
-is written by one task and all chunks are written in parallel.
+Records are ``{pk, model, fields}``.  File ⌊(pk − initial)/N⌋ + 1 holds a
+chunk's records in pk order; see ``numbered`` for how files appear.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from relnorm.operators.keys import chunk_number
 from relnorm.operators.records import wrap_records
+from relnorm.sinks.numbered import write_numbered
 
-CHUNK_PAD = 6
 
-
-def _chunked(df: DataFrame, pk: str, chunk_size: int, initial_pk: int) -> DataFrame:
-    c = chunk_number(F.col(pk), chunk_size, initial_pk)
-    label = c.cast("string")  # padded, never cut
-    return df.withColumn("chunk", F.lpad(label, F.greatest(F.length(label), F.lit(CHUNK_PAD)), F.lit("0")))
+def _prefix(path: str, prefix: str | None) -> str:
+    return prefix if prefix is not None else os.path.basename(path.rstrip("/")).split(".")[0]
 
 
 def write_fixture_json(df: DataFrame, path: str, model: str, pk: str = "pk",
                        chunk_size: int = 2_000_000, initial_pk: int = 1, array: bool = False,
-                       compression: str | None = None, mode: str = "overwrite") -> None:
-    """Write records as JSON Lines (default) or one JSON array per chunk."""
-    rec = _chunked(wrap_records(df, model, pk), "pk", chunk_size, initial_pk)
-    if array:
-        # one line per record; brackets and commas come from its neighbours in the chunk
-        w = Window.partitionBy("chunk").orderBy("pk")
-        line = F.concat(F.when(F.lag("pk").over(w).isNull(), F.lit("[")).otherwise(F.lit("")),
-                        F.to_json(F.struct("pk", "model", "fields")),
-                        F.when(F.lead("pk").over(w).isNull(), F.lit("]")).otherwise(F.lit(",")))
-        body = rec.repartition("chunk").select("chunk", "pk", line.alias("value"))
-        w = (body.sortWithinPartitions("chunk", "pk").select("chunk", "value")
-             .write.mode(mode).partitionBy("chunk"))
-        if compression:
-            w = w.option("compression", compression)
-        w.text(path)
-        return
-    w = rec.repartition("chunk").sortWithinPartitions("chunk", "pk").write.mode(mode).partitionBy("chunk")
-    if compression:
-        w = w.option("compression", compression)
-    w.json(path)
+                       compression: str | None = None, mode: str = "overwrite", prefix: str | None = None,
+                       gate=None) -> None:
+    """Write ``<path>/<prefix>-<number>`` files: JSON Lines (``.jsonl``, default) or one JSON array each (``.json``).
+
+    ``prefix`` is by default the folder's name up to its first dot; ``gate``
+    is called when all files are written and can still stop their publication.
+    """
+    rec = wrap_records(df, model, pk)
+    ends = {"head": "[", "between": ",\n", "tail": "]\n"} if array else {}
+    write_numbered(rec, path, chunk_number(F.col("pk"), chunk_size, initial_pk),
+                   F.to_json(F.struct("pk", "model", "fields")), ["pk"], _prefix(path, prefix),
+                   ".json" if array else ".jsonl", compression=compression, mode=mode, gate=gate, **ends)
 
 
 def _flat_for_csv(df: DataFrame) -> DataFrame:
@@ -61,35 +49,35 @@ def _flat_for_csv(df: DataFrame) -> DataFrame:
 
 def write_fixture_csv(df: DataFrame, path: str, pk: str = "pk", chunk_size: int = 2_000_000,
                       initial_pk: int = 1, compression: str | None = None,
-                      mode: str = "overwrite") -> None:
-    """Flat CSV with header, chunked; arrays/structs as JSON text."""
+                      mode: str = "overwrite", prefix: str | None = None, gate=None) -> None:
+    """Flat CSV files with a header, chunked; arrays/structs as JSON text."""
     # pk first: a CSV read with an explicit schema is positional
-    ordered = df.select(pk, *[c for c in df.columns if c != pk])
-    flat = _chunked(_flat_for_csv(ordered), pk, chunk_size, initial_pk)
-    w = (flat.repartition("chunk").sortWithinPartitions("chunk", pk).write.mode(mode)
-         .partitionBy("chunk").option("header", "true"))
-    if compression:
-        w = w.option("compression", compression)
-    w.csv(path)
+    flat = _flat_for_csv(df.select(pk, *[c for c in df.columns if c != pk]))
+    head = ",".join('"' + c.replace('"', '""') + '"' if set(c) & set(',"\n\r') else c for c in flat.columns)
+    line = F.to_csv(F.struct(*flat.columns), {"quote": '"', "escape": '"'})
+    write_numbered(flat, path, chunk_number(F.col(pk), chunk_size, initial_pk), line, [pk], _prefix(path, prefix),
+                   ".csv", head=head + "\n", compression=compression, mode=mode, gate=gate)
 
 
 def export_tables(tables: dict, base: str, formats=("json", "csv"), chunk_size: int = 2_000_000,
-                  compression: str | None = None) -> dict:
+                  compression: str | None = None, gates: dict | None = None) -> dict:
     """Write several ``name → DataFrame`` tables in several formats; returns
-    ``{(name, format): path}``."""
+    ``{(name, format): path}``.  ``gates`` has a table's gate (see ``write_fixture_json``)."""
     out = {}
+    for fmt in formats:
+        if fmt not in ("json", "csv", "parquet"):
+            raise ValueError(f"unknown format {fmt}")
     for name, df in tables.items():
+        gate = (gates or {}).get(name)
         for fmt in formats:
             p = os.path.join(base, f"{name}.{fmt}")
             if fmt == "json":
-                write_fixture_json(df, p, name, chunk_size=chunk_size, compression=compression)
+                write_fixture_json(df, p, name, chunk_size=chunk_size, compression=compression, gate=gate)
             elif fmt == "csv":
-                write_fixture_csv(df, p, chunk_size=chunk_size, compression=compression)
-            elif fmt == "parquet":
+                write_fixture_csv(df, p, chunk_size=chunk_size, compression=compression, gate=gate)
+            else:
                 w = df.write.mode("overwrite")
                 (w.option("compression", compression) if compression else w).parquet(p)
-            else:
-                raise ValueError(f"unknown format {fmt}")
             out[(name, fmt)] = p
     return out
 

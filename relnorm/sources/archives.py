@@ -1,21 +1,20 @@
-"""Zip archives read in place, split across tasks by entry range.
-
-1. ``archive_manifest``: ``binaryFile`` listing with the ``content`` column
-   pruned — path, size, modification time, collection, archive name.
-2. ``zip_entries``: one task per archive reads only the central directory
-   and emits one row per entry (name, sizes, local-header offset, method).
-   An archive that is not a zip gives one row with ``entry_index`` -1 and an
-   ``error``.
-3. ``read_entries``: entries are grouped into work units bounded both in
-   entries and in bytes of the archive (a per-row expression, no window, so a
-   huge archive becomes many units), hash-partitioned on the unit, and a
-   ``mapInPandas`` task seeks each entry's local header and inflates it.
-   A single large archive therefore spreads over many tasks, and no task
-   ever holds a whole archive in memory.  A damaged entry is an error or a
-   row with an ``error``; it never comes back cut.
-
-Columns named in ``keep`` (archive size, a key, …) travel with the entries,
-so nothing has to be joined to the content afterwards.
+"""Zip archives and loose files as a data source whose tasks follow bytes.
+
+``archive_entries`` reads ``format("zip_entries")``, a Python data source.
+Planning lists the files with their sizes only (as Spark's own file sources
+do), lays them end to end, and cuts that line into splits of ``split_bytes``:
+a large archive spreads over many tasks and a thousand small ones share one.
+A task opens the archives its split touches, reads their central directories
+and takes the entries whose local header lies in its part, so no entry ever
+reaches the driver.
+
+Without ``content`` nothing is inflated: names, sizes and CRCs come from the
+directory alone.  ``read_entries`` reads the content of chosen entries later,
+dealt by the same splits, with the columns in ``keep`` (a key, …) beside it.
+
+A damaged entry is an error or a row with an ``error``; it never comes back
+cut.  An archive that cannot be opened or is no zip gives one row with
+``entry_index`` -1 and an ``error``.
 
 Paths must be reachable from executors (shared file system or object store
 URI understood by ``pyarrow.fs``).
@@ -30,15 +29,17 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType,
-                               StructField, StructType)
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, StructField, StructType)
+
+from relnorm.sources.files import list_files, open_input, qualified
 
 ENTRY_SCHEMA = StructType([
-    StructField("archive", StringType()), StructField("entry_index", LongType()),
-    StructField("entry_name", StringType()), StructField("file_size", LongType()),
-    StructField("compress_size", LongType()), StructField("header_offset", LongType()),
-    StructField("compress_type", IntegerType()), StructField("crc", LongType()),
-    StructField("error", StringType()),
+    StructField("archive", StringType()), StructField("archive_size", LongType()),
+    StructField("entry_index", LongType()), StructField("entry_name", StringType()),
+    StructField("file_size", LongType()), StructField("compress_size", LongType()),
+    StructField("header_offset", LongType()), StructField("compress_type", IntegerType()),
+    StructField("crc", LongType()), StructField("error", StringType()), StructField("split", IntegerType()),
 ])
 
 CONTENT_SCHEMA = StructType([
@@ -50,7 +51,7 @@ CONTENT_SCHEMA = StructType([
 #: ``compress_type`` of a loose file: the entry is the whole file.
 WHOLE_FILE = -1
 
-UNIT_BYTES = 64 << 20
+SPLIT_BYTES = 64 << 20
 BATCH_ROWS, BATCH_BYTES = 256, 16 << 20
 
 
@@ -64,70 +65,16 @@ def archive_manifest(spark: SparkSession, path: str, glob: str = "*.zip",
     collection is the archive's parent directory name."""
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
           .option("recursiveFileLookup", str(recursive).lower()).load(path))
-    df = df.select("path", "length", "modificationTime")
-    return df.withColumns({
-        "archive_name": F.regexp_extract("path", r"([^/]+)$", 1),
-        "collection": F.regexp_extract("path", r"([^/]+)/[^/]+$", 1),
-    })
+    return df.select("path", "length", "modificationTime",
+                     file_name(F.col("path")).alias("archive_name"), parent_name(F.col("path")).alias("collection"))
 
 
-def _open(uri: str):
-    if uri.startswith("file:"):
-        local = uri[5:]
-        while local.startswith("//"):
-            local = local[1:]
-        return open(local, "rb")
-    import pyarrow.fs as pafs
-    fs, p = pafs.FileSystem.from_uri(uri)
-    return fs.open_input_file(p)
-
-
-def _central_directory(keep, batches):
-    import zipfile
-    import pandas as pd
-    names = ENTRY_SCHEMA.fieldNames() + keep
-    for pdf in batches:
-        for archive in pdf.to_dict("records"):
-            uri, extra = archive["path"], tuple(archive[c] for c in keep)
-            rows = []
-            with _open(uri) as fh:
-                try:
-                    infos = zipfile.ZipFile(fh).infolist()
-                except zipfile.BadZipFile:
-                    infos = []
-                    rows.append((uri, -1, None, None, None, None, None, None, "unreadable archive") + extra)
-            for i, info in enumerate(infos):
-                if info.is_dir():
-                    continue
-                rows.append((uri, i, info.filename, info.file_size, info.compress_size,
-                             info.header_offset, info.compress_type, info.CRC, None) + extra)
-                if len(rows) >= 10_000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
-
-
-def zip_entries(manifest: DataFrame, keep=()) -> DataFrame:
-    """One row per file entry of each archive (central directory only), with
-    the manifest's ``keep`` columns; one row with an ``error`` for an archive
-    that cannot be read."""
-    keep = list(keep)
-    n = max(1, manifest.sparkSession.sparkContext.defaultParallelism)
-    schema = StructType(ENTRY_SCHEMA.fields + [manifest.schema[c] for c in keep])
-    return (manifest.select("path", *keep).repartition(n, "path")
-            .mapInPandas(partial(_central_directory, keep), schema))
+def file_name(path):
+    return F.regexp_extract(path, r"([^/]+)$", 1)
 
 
-def loose_entries(spark: SparkSession, path: str, glob: str = "*.txt", recursive: bool = True) -> DataFrame:
-    """Uncompressed files as entries of their own: name and archive are the path; nothing is read."""
-    files = archive_manifest(spark, path, glob, recursive)
-    return files.select(
-        F.col("path").alias("archive"), F.lit(0).cast("bigint").alias("entry_index"),
-        F.col("path").alias("entry_name"), F.col("length").alias("file_size"),
-        F.col("length").alias("compress_size"), F.lit(0).cast("bigint").alias("header_offset"),
-        F.lit(WHOLE_FILE).alias("compress_type"), F.lit(None).cast("bigint").alias("crc"),
-        F.lit(None).cast("string").alias("error"))
+def parent_name(path):
+    return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 
 
 def _inflate(fh, offset: int, csize: int, method: int, size: int, crc: int):
@@ -170,74 +117,208 @@ def xml_as_utf8(data: bytes) -> bytes:
         raise DamagedEntry(f"not valid {encoding}") from None
 
 
-def _read_units(keep, convert, strict, batches):
-    import zipfile
-    import pandas as pd
-    names = CONTENT_SCHEMA.fieldNames() + keep
+CONVERSIONS = {"": None, "xml": xml_as_utf8}
 
-    def content(fh, r):
-        if r.compress_type == WHOLE_FILE:
-            return fh.read()
-        data = _inflate(fh, int(r.header_offset), int(r.compress_size), int(r.compress_type),
-                        int(r.file_size), int(r.crc))
-        if data is None:  # other methods: fall back to the zip module
-            try:
-                archive = zipfile.ZipFile(fh)
-                data = archive.read(archive.infolist()[r.entry_index])
-            except (zipfile.BadZipFile, NotImplementedError, EOFError) as e:
-                raise DamagedEntry(f"damaged entry: {type(e).__name__}") from None
-        return data
 
-    for pdf in batches:
+def entry_content(fh, index: int, offset, csize, method, size, crc, convert=None) -> bytes:
+    """The whole bytes of one entry of an open archive (or loose file), or ``DamagedEntry``."""
+    import zipfile
+    if method == WHOLE_FILE:
+        fh.seek(0)
+        data = fh.read()
+    else:
+        data = _inflate(fh, int(offset), int(csize), int(method), int(size), int(crc))
+    if data is None:  # other methods: fall back to the zip module
+        try:
+            archive = zipfile.ZipFile(fh)
+            data = archive.read(archive.infolist()[index])
+        except (zipfile.BadZipFile, NotImplementedError, EOFError) as e:
+            raise DamagedEntry(f"damaged entry: {type(e).__name__}") from None
+    return convert(data) if convert else data
+
+
+class Split(InputPartition):
+    """Consecutive parts ``(file, size, from, to, loose)`` of the listed files."""
+
+    def __init__(self, number: int, parts: list):
+        super().__init__(number)
+        self.number, self.parts = number, parts
+
+
+def plan_splits(files: list[tuple[str, int, bool]], split_bytes: int) -> list[Split]:
+    """Cut files ``(URI, size, loose)``, laid end to end, at multiples of
+    ``split_bytes``.  A loose file is one entry and belongs to where it starts."""
+    splits: dict[int, list] = {}
+    start = 0
+    for uri, size, loose in files:
+        first, last = start // split_bytes, max(start + size - 1, start) // split_bytes
+        for number in range(first, last + 1 if not loose else first + 1):
+            low = max(number * split_bytes - start, 0)
+            high = size if loose or number == last else (number + 1) * split_bytes - start
+            splits.setdefault(number, []).append((uri, size, low, high, loose))
+        start += size
+    return [Split(k, parts) for k, (_, parts) in enumerate(sorted(splits.items()))] or [Split(0, [])]
+
+
+def _entries_of(part):
+    """``(rows of ENTRY_SCHEMA but split, open file or None)`` of one part of a file."""
+    import zipfile
+    uri, size, low, high, loose = part
+    unreadable = [(uri, size, -1, None, None, None, None, None, None, "unreadable archive")] if low == 0 else []
+    if loose:
+        return [(uri, size, 0, uri, size, size, 0, WHOLE_FILE, None, None)], partial(open_input, uri)
+    try:
+        fh = open_input(uri)
+    except (FileNotFoundError, PermissionError, IsADirectoryError):
+        return unreadable, None
+    try:
+        infos = zipfile.ZipFile(fh).infolist()
+    except (zipfile.BadZipFile, ValueError):  # ValueError: places outside the file, undecodable names
+        return unreadable, lambda: fh
+    rows = [(uri, size, i, x.filename, x.file_size, x.compress_size, x.header_offset, x.compress_type, x.CRC, None)
+            for i, x in enumerate(infos) if not x.is_dir() and (
+                low <= x.header_offset < high or (high == size and x.header_offset >= size))]
+    return rows, lambda: fh
+
+
+class ZipEntriesReader(DataSourceReader):
+    def __init__(self, options, schema: StructType):
+        self.options, self.schema = dict(options), schema
+        self.content = "content" in schema.fieldNames()
+
+    def partitions(self):
+        o = self.options
+        recursive = o.get("recursive", "true") == "true"
+        files = [(uri, size, False) for uri, size in list_files(o["path"], o.get("glob", "*.zip"), recursive)]
+        if o.get("looseglob"):
+            files += [(uri, size, True) for uri, size in list_files(o["path"], o["looseglob"], recursive)]
+        return plan_splits(files, int(o.get("splitbytes", SPLIT_BYTES)))
+
+    def read(self, partition):
+        import pyarrow as pa
+        kinds = {LongType: pa.int64(), IntegerType: pa.int32(), StringType: pa.string(), BinaryType: pa.binary()}
+        schema = pa.schema([(f.name, kinds[type(f.dataType)]) for f in self.schema])
+        suffix, strict = self.options.get("suffix", ""), self.options.get("onerror", "report") == "raise"
+        convert = CONVERSIONS[self.options.get("convert", "")]
+
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
         out, held = [], 0
-        for uri, grp in pdf.sort_values(["archive", "entry_index"]).groupby("archive", sort=False):
-            with _open(uri) as fh:
-                for r in grp.itertuples(index=False):
-                    data, error = None, r.error
-                    if error is None:
+        for part in partition.parts:
+            rows, opened = _entries_of(part)
+            fh = opened() if opened and (self.content or not part[4]) else None
+            try:
+                for row in rows:
+                    if row[3] is not None and not row[3].endswith(suffix):
+                        continue
+                    data, error = None, row[9]
+                    if self.content and error is None:
                         try:
-                            data = content(fh, r)
-                            data = convert(data) if convert else data
+                            data = entry_content(fh, row[2], row[6], row[5], row[7], row[4], row[8], convert)
                         except DamagedEntry as e:
-                            data, error = None, str(e)
+                            error = str(e)
                     if strict and error is not None:
-                        raise IOError(f"{error} ({r.entry_name} in {uri})")
-                    out.append((uri, r.entry_index, r.entry_name, data, error) + tuple(getattr(r, c) for c in keep))
-                    held += len(data or b"")
-                    if len(out) >= BATCH_ROWS or held >= BATCH_BYTES:
-                        yield pd.DataFrame(out, columns=names)
+                        raise IOError(f"{error} ({row[3]} in {row[0]})")
+                    out.append(row[:9] + (error, partition.number) + ((data,) if self.content else ()))
+                    held += len(data or b"") + 200
+                    if held >= BATCH_BYTES or len(out) >= (BATCH_ROWS if self.content else 50 * BATCH_ROWS):
+                        yield batch(out)
                         out, held = [], 0
+            finally:
+                if fh is not None:
+                    fh.close()
+        if out:
+            yield batch(out)
+
+
+class ZipEntries(DataSource):
+    """``format("zip_entries")``; options ``path``, ``glob``, ``looseGlob``,
+    ``recursive``, ``content``, ``convert``, ``suffix``, ``onError``, ``splitBytes``."""
+
+    @classmethod
+    def name(cls):
+        return "zip_entries"
+
+    def schema(self):
+        content = [StructField("content", BinaryType())] if self.options.get("content", "false") == "true" else []
+        return StructType(ENTRY_SCHEMA.fields + content)
+
+    def reader(self, schema):
+        return ZipEntriesReader(self.options, schema)
+
+
+def archive_entries(spark: SparkSession, path: str, glob: str = "*.zip", loose_glob: str | None = None,
+                    recursive: bool = True, content: bool = False, convert: str = "", suffix: str = "",
+                    on_error: str = "report", split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """One row per file entry of the archives below ``path`` (and per loose
+    file that matches ``loose_glob``), see ``ENTRY_SCHEMA``.
+
+    ``content`` adds the entry's bytes, converted by one of ``CONVERSIONS``.
+    Only entries whose name ends with ``suffix`` are listed and read.  With
+    ``on_error="raise"`` a damaged entry or archive ends the read instead of
+    being a row with an ``error``.
+    """
+    if on_error not in ("raise", "report"):
+        raise ValueError(f"unknown on_error {on_error}")
+    if convert not in CONVERSIONS:
+        raise ValueError(f"unknown convert {convert}")
+    spark.dataSource.register(ZipEntries)
+    options = {"path": qualified(spark, path), "glob": glob, "recursive": str(recursive).lower(),
+               "content": str(content).lower(), "convert": convert, "suffix": suffix, "onError": on_error,
+               "splitBytes": split_bytes}
+    if loose_glob:
+        options["looseGlob"] = loose_glob
+    return spark.read.format("zip_entries").options(**options).load()
+
+
+def _read_chosen(keep, convert, strict, batches):
+    import pandas as pd
+    names = CONTENT_SCHEMA.fieldNames() + keep
+    convert = CONVERSIONS[convert]
+    uri, fh = None, None
+    for pdf in batches:
+        out, held = [], 0
+        for r in pdf.itertuples(index=False):
+            data, error = None, r.error
+            if error is None:
+                if r.archive != uri:
+                    if fh is not None:
+                        fh.close()
+                    uri, fh = r.archive, open_input(r.archive)
+                try:
+                    data = entry_content(fh, r.entry_index, r.header_offset, r.compress_size, r.compress_type,
+                                         r.file_size, r.crc, convert)
+                except DamagedEntry as e:
+                    error = str(e)
+            if strict and error is not None:
+                raise IOError(f"{error} ({r.entry_name} in {r.archive})")
+            out.append((r.archive, r.entry_index, r.entry_name, data, error) + tuple(getattr(r, c) for c in keep))
+            held += len(data or b"")
+            if len(out) >= BATCH_ROWS or held >= BATCH_BYTES:
+                yield pd.DataFrame(out, columns=names)
+                out, held = [], 0
         if out:
             yield pd.DataFrame(out, columns=names)
 
 
-def read_entries(entries: DataFrame, unit_entries: int = 256, partitions: int | None = None, keep=(),
-                 convert=None, unit_bytes: int = UNIT_BYTES, on_error: str = "raise") -> DataFrame:
-    """Entry rows → ``(archive, entry_index, entry_name, content, error, keep…)``.
+def read_entries(entries: DataFrame, keep=(), convert: str = "", on_error: str = "raise") -> DataFrame:
+    """Entry rows (see ``archive_entries``) → ``(archive, entry_index, entry_name, content, error, keep…)``.
 
-    ``convert`` maps an entry's bytes to bytes (see ``xml_as_utf8``).  With
-    ``on_error="report"`` a damaged entry has NULL content and an ``error``, and
-    errors of the entry rows are passed on; with ``"raise"`` either ends the read.
+    The rows go back to the splits they were listed in, so tasks follow the
+    bytes of the archives; ``entries`` should be a staged table, for its
+    number of splits is read first.  With ``on_error="report"`` a damaged entry
+    has NULL content and an ``error``; with ``"raise"`` it ends the read.
     """
     if on_error not in ("raise", "report"):
         raise ValueError(f"unknown on_error {on_error}")
-    spark = entries.sparkSession
     keep = list(keep)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    unit = F.floor(F.col("entry_index") / F.lit(unit_entries))
-    part = F.floor(F.col("header_offset") / F.lit(unit_bytes))
     schema = StructType(CONTENT_SCHEMA.fields + [entries.schema[c] for c in keep])
-    work = entries.select(*ENTRY_SCHEMA.fieldNames(), *keep).withColumnsRenamed(
-        {c: f"k_{i}" for i, c in enumerate(keep)})  # plain names, readable as attributes
-    read = work.repartition(n, F.col("archive"), unit, part).mapInPandas(
-        partial(_read_units, [f"k_{i}" for i in range(len(keep))], convert, on_error == "raise"),
-        StructType(CONTENT_SCHEMA.fields + [StructField(f"k_{i}", entries.schema[c].dataType)
-                                            for i, c in enumerate(keep)]))
+    plain = {c: f"k_{i}" for i, c in enumerate(keep)}  # plain names, readable as attributes
+    work = entries.select(*ENTRY_SCHEMA.fieldNames(), *[F.col(c).alias(k) for c, k in plain.items()])
+    n = (entries.agg(F.max("split")).first()[0] or 0) + 1
+    dealt = work.repartitionById(n, F.col("split")).sortWithinPartitions("archive", "header_offset")
+    read = dealt.mapInPandas(
+        partial(_read_chosen, list(plain.values()), convert, on_error == "raise"),
+        StructType(CONTENT_SCHEMA.fields + [StructField(k, entries.schema[c].dataType) for c, k in plain.items()]))
     return read.toDF(*schema.fieldNames())
-
-
-def loose_files(spark: SparkSession, path: str, glob: str = "*.txt", recursive: bool = True) -> DataFrame:
-    """Uncompressed files: ``(path, length, content)`` (each file is one row)."""
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-          .option("recursiveFileLookup", str(recursive).lower()).load(path))
-    return df.select("path", "length", "content")

@@ -83,8 +83,11 @@ def test_adjacent_export(spark, scratch):
                                   f"{scratch}/countries.json", f"{scratch}/linking.csv",
                                   f"{scratch}/Newspaper-1.json")
     out = f"{scratch}/out"
-    tables = adjacent.run(spark, inputs, out, RUN_TS)
-    for name in [k for k in tables if "." in k]:
+    counts = adjacent.run(spark, inputs, out, RUN_TS)
+    assert counts["mitchells.Entry"] == 3 and counts["papers_not_found"] == 1
+    assert {r.check: r.n_rows for r in spark.read.json(f"{out}/checks").collect()} == {
+        "unresolved issue": 0, "unresolved place_of_publication": 1}
+    for name in [k for k in counts if "." in k]:
         n_json = spark.read.json(f"{out}/{name}.json").count()
         n_csv = spark.read.option("header", "true").option("multiLine", "true").csv(f"{out}/{name}.csv").count()
-        assert n_json == n_csv == tables[name].count()
+        assert n_json == n_csv == counts[name]

@@ -12,7 +12,7 @@ from relnorm.operators import resolve
 from relnorm.plans import fulltext, news
 from relnorm.sinks import fixtures as SK
 from relnorm.sources import tables as ST
-from relnorm.sources.archives import archive_manifest, read_entries, zip_entries
+from relnorm.sources.archives import archive_entries, archive_manifest, read_entries
 from tests.test_news_job import _doc
 
 
@@ -33,23 +33,21 @@ def test_damaged_entries_and_archives(spark, scratch):
     _zip(f"{scratch}/a.zip", [("p/good.txt", "kept"), ("p/bad.txt", "NEEDLE text")], zipfile.ZIP_STORED)
     _flip(f"{scratch}/a.zip", b"NEEDLE")
     open(f"{scratch}/b.zip", "wb").write(b"no zip at all")
-    rows = {r.entry_name: r for r in read_entries(zip_entries(archive_manifest(spark, scratch)), on_error="report").collect()}
-    assert bytes(rows["p/good.txt"].content) == b"kept" and rows["p/good.txt"].error is None
-    assert rows["p/bad.txt"].content is None and "damaged" in rows["p/bad.txt"].error
-    assert rows[None].entry_index == -1 and rows[None].error == "unreadable archive"
+    for got in (archive_entries(spark, scratch, content=True), read_entries(archive_entries(spark, scratch), on_error="report")):
+        rows = {r.entry_name: r for r in got.collect()}
+        _check_damage(rows)
+    with pytest.raises(Exception, match="damaged entry"):
+        archive_entries(spark, scratch, content=True, suffix=".txt", on_error="raise").collect()
     texts = {r.path: r for r in fulltext.fulltext_table(spark, scratch).collect()}
     assert texts["p/good.txt"].text == "kept" and texts["p/bad.txt"].text == ""
     assert "damaged" in texts["p/bad.txt"].errors and sorted(r.pk for r in texts.values()) == [1, 2]
     assert [r.archive.rsplit("/", 1)[-1] for r in fulltext.unreadable_archives(spark, scratch).collect()] == ["b.zip"]
 
 
-def test_units_are_bounded_by_bytes_and_keep_columns(spark, scratch):
-    _zip(f"{scratch}/a.zip", [(f"{i}.txt", os.urandom(5000)) for i in range(40)])
-    m = archive_manifest(spark, scratch).withColumn("error_code", F.lit(7))
-    got = read_entries(zip_entries(m, ["length", "error_code"]), unit_bytes=20_000, keep=["length", "error_code"])
-    rows = got.collect()
-    assert len(rows) == 40 and {len(r.content) for r in rows} == {5000}
-    assert {r.error_code for r in rows} == {7} and {r.length for r in rows} == {os.path.getsize(f"{scratch}/a.zip")}
+def _check_damage(rows):
+    assert bytes(rows["p/good.txt"].content) == b"kept" and rows["p/good.txt"].error is None
+    assert rows["p/bad.txt"].content is None and "damaged" in rows["p/bad.txt"].error
+    assert rows[None].entry_index == -1 and rows[None].error == "unreadable archive"
 
 
 def test_text_crosses_no_shuffle_before_the_sink(spark, scratch):
@@ -81,10 +79,11 @@ def test_news_encodings_names_and_rejects(spark, scratch):
         ("B", 0, "malformed document"), ("D", -1, "unreadable archive")}
     assert {(r.entry_index, r.field, r.value) for r in t["rejected_values"].collect()} == {
         (2, "word_count", "1,200"), (2, "ocr_quality_mean", "n/a"), (2, "issue_date", "not a date")}
-    report = {r.archive_name[0]: (r.n_documents, r.n_rejected, r.n_papers, r.n_issues, r.run_id)
+    report = {r.archive_name[0]: (r.n_documents, r.n_rejected, r.n_items, r.n_papers, r.n_issues, r.run_id)
               for r in t["report"].collect()}
-    assert report == {"A": (3, 2, 3, 3, "r1"), "B": (0, 1, 0, 0, "r1"), "C": (0, 0, 0, 0, "r1"),
-                      "D": (0, 1, 0, 0, "r1")}
+    assert report == {"A": (3, 2, 3, 3, 3, "r1"), "B": (0, 1, 0, 0, 0, "r1"), "C": (0, 0, 0, 0, 0, "r1"),
+                      "D": (0, 1, 0, 0, 0, "r1")}
+    assert [(r.collection, r.n_archives, r.is_empty) for r in t["collections"].collect()] == [("x", 4, False)]
 
 
 def test_bad_json_costs_no_other_record(spark, scratch):
@@ -113,14 +112,21 @@ def test_array_chunks_of_any_size(spark, scratch):
     SK.write_fixture_json(df, f"{scratch}/a", "m", chunk_size=200_000, array=True)
     SK.write_fixture_json(df, f"{scratch}/b", "m", chunk_size=100, array=True)
     for folder, sizes in (("a", [250]), ("b", [100, 100, 50])):
-        chunks = sorted(d for d in os.listdir(f"{scratch}/{folder}") if d.startswith("chunk="))
-        files = [[f for f in os.listdir(f"{scratch}/{folder}/{c}") if f.startswith("part-")] for c in chunks]
-        assert [len(f) for f in files] == [1] * len(sizes)
-        back = [json.load(open(f"{scratch}/{folder}/{c}/{f[0]}")) for c, f in zip(chunks, files)]
+        back = [json.load(open(f"{scratch}/{folder}/{f}")) for f in sorted(os.listdir(f"{scratch}/{folder}"))]
         assert [len(b) for b in back] == sizes
         assert [r["pk"] for b in back for r in b] == list(range(1, 251))
 
 
+def test_cut_titles_are_reported_and_off_by_default(spark, scratch):
+    _zip(f"{scratch}/x-alto2txt/metadata/A_metadata.zip", [
+        ("a.xml", _doc("0002083", "T", "1850-01-01", "art1", "0002083/1850/0101"))])
+    docs = news.read_documents(spark, scratch)
+    whole, cut = news.build_tables(spark, docs), news.build_tables(spark, docs, title_cap=4)
+    assert [r.title for r in whole["item"].collect()] == ["Art art1"] and whole["rejected_values"].count() == 0
+    assert [r.title for r in cut["item"].collect()] == ["Art "]
+    assert [(r.field, r.value) for r in cut["rejected_values"].collect()] == [("title", "Art art1")]
+
+
 def test_quarantined_keys_and_checked_broadcast(spark, monkeypatch):
     facts = spark.createDataFrame([("a",), ("b",), ("",), (None,)], "k string")
     dim = spark.createDataFrame([(1, "a")], "pk int, k string")

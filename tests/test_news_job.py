@@ -100,7 +100,8 @@ def test_title_cascade_tiers(spark):
     auth = spark.createDataFrame(
         [("Alpha Gazette", "0000001", "ALPH", "1800-01-01", "1810-12-31"),
          ("Alpha Times", "0000002", "ALPH", "1811-01-01", "1820-12-31"),
-         ("Beta", "0000003", "BETA", "1800-01-01", "1801-01-01")],
+         ("Beta", "0000003", "BETA", "1800-01-01", "1801-01-01"),
+         ("Twice", "0000004", "BETA2", "1800-01-01", "1801-01-01"), ("Twice", "0000004", "BETA3", "1800-01-01", "1801-01-01")],
         "title string, publication_code string, abbr string, start_date string, end_date string",
     ).select("title", "publication_code", "abbr", F.to_date("start_date").alias("start_date"),
              F.to_date("end_date").alias("end_date"))
@@ -110,9 +111,17 @@ def test_title_cascade_tiers(spark):
          ("p3", "", "1830-01-01", "x/y", "BETA"),        # sole title
          ("p4", "", "1830-01-01", "x/y", "LSIR"),        # exception
          ("p5", "", "1830-01-01", "x/9999999", "ALPH"),  # path code not in authority -> blank, stop
-         ("p6", "Given", "1805-01-01", "x/y", "ALPH")],  # title present
+         ("p6", "Given", "1805-01-01", "x/y", "ALPH"),   # title present
+         ("0000002", "", "1830-01-01", "x/y", "ALPH"),   # no interval, but the abbreviation's code
+         ("p7", "", None, "x/0000003/y", "ALPH"),        # path code
+         ("p8", None, "1830-01-01", "0000004", "ALPH"),  # path code with two rows, no title given
+         ("p9", "", "1830-01-01", "x/y", None)],         # nothing to go by
         "publication_code string, title string, issue_date string, input_sub_path string, abbr string")
-    got = {r.publication_code: (r.title, r.match_tier) for r in news.match_titles(papers, auth).collect()}
+    matched = news.match_titles(papers, auth)
+    assert matched._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    got = {r.publication_code: (r.title, r.match_tier) for r in matched.collect()}
+    assert got["0000002"] == ("Alpha Times", "abbreviation_code") and got["p7"] == ("Beta", "path_code")
+    assert got["p8"] == (None, "path_code") and got["p9"] == (None, None)
     assert got["p1"] == ("Alpha Gazette", "interval")
     assert got["p2"] == ("ALPH", "abbreviation")
     assert got["p3"] == ("Beta", "sole_title")

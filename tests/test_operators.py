@@ -65,7 +65,7 @@ def test_resolve_array_keeps_order_duplicates_and_empty(spark):
     facts = spark.createDataFrame([(1, ["b", "a", "b"]), (2, []), (3, None), (4, ["a", "nope"])],
                                   "id int, xs array<string>")
     dim = spark.createDataFrame([(1, "a"), (2, "b")], "pk int, label string")
-    got = {r.id: r.ids for r in O.resolve_array_fk(facts, "id", "xs", dim, "label", as_name="ids").collect()}
+    got = {r.id: r.ids for r in O.resolve_array_fk(facts, "xs", dim, "label", as_name="ids").collect()}
     assert got == {1: [2, 1, 2], 2: [], 3: [], 4: [1, None]}
 
 
@@ -93,13 +93,6 @@ def test_dense_key_breaks_ties_the_same_way_for_any_partitioning(spark):
     assert keyed[0] == keyed[1] and [r[3] for r in sorted(keyed[0], key=lambda r: r[:3])] == list(range(1, 401))
 
 
-def test_chunk_labels_are_never_cut(spark):
-    from relnorm.sinks.fixtures import _chunked
-    df = spark.createDataFrame([(9_999_901,), (99_999_901,), (100_000_001,), (1,)], "pk long")
-    assert [r["chunk"] for r in _chunked(df, "pk", 100, 1).orderBy("pk").collect()] == [
-        "000001", "100000", "1000000", "1000001"]
-
-
 def test_text_follows_python_strip_rules(spark):
     from relnorm.functions.text import clean_title, invert_article, renumber_label
     titles = ["The Times.\n", "\u00a0The Times\u2003", "Echo .:", "Echo...", "A:\n", "\x1cB\x1f"]
@@ -110,21 +103,64 @@ def test_text_follows_python_strip_rules(spark):
     assert row[0] == "The Times" and row[1] == "page " + "9" * 45
 
 
-def test_damaged_archive_entries_are_not_returned_as_whole(spark, scratch):
-    import os
-    import zipfile
-    from relnorm.sources.archives import archive_manifest, read_entries, zip_entries
-    path = os.path.join(scratch, "a.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
-        z.writestr("x.txt", "plain text " * 50)
-    entries = zip_entries(archive_manifest(spark, scratch))
-    assert read_entries(entries).count() == 1
-    with open(path, "r+b") as f:
-        raw = f.read()
-        f.seek(raw.index(b"plain") + 3)
-        f.write(b"?")
-    with pytest.raises(Exception, match="damaged entry"):
-        read_entries(entries).count()
+def test_dense_key_refuses_an_order_that_is_not_total(spark, monkeypatch):
+    from relnorm.operators import keys
+    plans = []
+
+    def stage(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df)
+    keep = keys.stage
+    monkeypatch.setattr(keys, "stage", stage)
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, None), (3, "b"), (None, "c")], "k int, v string")
+    with pytest.raises(keys.NotTotalOrder, match='1 row.*"_ok0":2'):
+        O.dense_key(df, ["k"])
+    # equal rows can't be told apart anyway
+    assert sorted(r.pk for r in O.dense_key(df, ["k", "v"]).collect()) == [1, 2, 3, 4, 5]
+    assert all(p.count("Exchange") == 1 for p in plans) and "Window" in plans[0]   # the proof costs no shuffle
+
+
+def test_late_keep_first_moves_no_payload_of_losers(spark, monkeypatch):
+    from relnorm.operators import dedupe
+    df = spark.range(5000).select((F.col("id") % 97).alias("k"), (F.col("id") * 7919 % 100).alias("o"),
+                                  F.concat(F.lit("p"), F.col("id") % 300).alias("v")).repartition(6)
+    want = sorted(map(tuple, O.keep_first(df, ["k"], ["o"]).collect()))
+    late = O.keep_first(df, ["k"], ["o"], late=True)
+    assert sorted(map(tuple, late.collect())) == want and len(want) == 97
+    assert "Exchange hashpartitioning" not in late._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(dedupe, "BITMAP_BYTES", 0)   # too many bitmaps to broadcast
+    assert sorted(map(tuple, O.keep_first(df.union(df), ["k"], ["o"], late=True).collect())) == want
+    last = sorted(map(tuple, O.keep_last(df, ["k"], ["o"]).collect()))
+    assert sorted(map(tuple, O.keep_last(df, ["k"], ["o"], late=True).collect())) == last
+    assert O.keep_first(df.limit(0), ["k"], ["o"], late=True).collect() == []
+
+
+def test_intervals_meet_their_points_in_bins(spark):
+    """A key with many intervals and many points makes candidates near its matches."""
+    import datetime as dt
+    import random
+    from relnorm.operators.resolve import interval_candidates
+    rng, first = random.Random(1), dt.date(1800, 1, 1)
+    spans = [(rng.choice("AAB"), rng.randrange(4000), rng.choice((0, 1, 5, 100, 900, -3))) for _ in range(150)]
+    spans = [(k, first + dt.timedelta(days=s), first + dt.timedelta(days=s + n), f"t{i}") for i, (k, s, n) in enumerate(spans)]
+    points = [(i, rng.choice("ABC"), first + dt.timedelta(days=rng.randrange(-10, 5000))) for i in range(600)]
+    a = spark.createDataFrame(spans + [("A", None, first, "n"), ("A", first, None, "n")], "k string, s date, e date, t string")
+    p = spark.createDataFrame(points + [(900, "A", None)], "i int, k string, d date")
+    got = {r.i: r.t for r in O.interval_lookup(p, a, "k", "d", "s", "e", "t").collect()}
+    found = {i: [t for k2, s, e, t in spans if k2 == k and s <= d <= e] for i, k, d in points}
+    assert got == {**{i: m[0] if len(m) == 1 else None for i, m in found.items()}, 900: None}
+    many = spark.range(3000).select(F.lit("A").alias("k"), F.expr("date_add(date'1800-01-01', cast(id * 3 as int))").alias("d"))
+    spans = many.select("k", F.col("d").alias("s"), F.date_add("d", 2).alias("e"), F.lit("t").alias("t"))
+    cand = interval_candidates(many, spans, [("k", "k")], "d", "s", "e", ["t"])
+    plan = cand._jdf.queryExecution().executedPlan().toString()
+    assert cand.count() == 3000 and "_il_bin" in plan and "NestedLoop" not in plan
+
+
+def test_slug_transliterates(spark):
+    from relnorm.functions.text import slug
+    words = ["Ærøskøbing, Straße", "L'Éclair — Œuvre", "Łódź Ñandú 1,000,000", "e\u0301te\u0301", "Жук 7", None]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select(slug("w")).collect()
+    assert [r[0] for r in got] == ["aeroskobing-strasse", "l-eclair-oeuvre", "lodz-nandu-1000000", "ete", "7", None]
 
 
 def test_checkpoint_folder_must_be_set_on_a_cluster():
