@@ -49,7 +49,7 @@ _BLOBS = pa.schema([("bin", pa.int64()), ("payload", pa.binary())])
 _ENTRIES = pa.schema([("h", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("i", pa.int64())])
 _DEALT = pa.schema([("bin", pa.int64()), ("payload", pa.binary()), *_ENTRIES])
 _WHOLE = pa.schema([("cls", pa.int64()), ("grams", pa.binary())])
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("na", pa.int64()), ("nb", pa.int64())])
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("na", pa.int64()), ("nb", pa.int64()), ("h", pa.int64())])
 _ENTRY_SQL = "h long, cls long, n long, i long"
 _ENTRY = np.dtype([("h", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("i", "<i4"), ("more", "u1")])
 
@@ -178,11 +178,15 @@ def _shared(table: pa.Table) -> pa.Table:
 
 def _cell_pairs(percent: int, quota: int):
     """Of the entries of one bin the pairs that pass all filters, lie in different components and were not
-    rejected: those that would connect the components, and up to ``quota`` of each entry."""
+    rejected: those that would connect the components, and up to ``quota`` of each entry.
+
+    Rows without ``b`` are the entries (h, a) that have such a pair; no other entry can have one later.
+    """
     def run(table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("cell").to_numpy(), kind="stable")
         table = table.take(pa.array(order)).combine_chunks()
-        cell, cls, n, i = (table.column(k).to_numpy() for k in ("cell", "cls", "n", "i"))
+        cell, cls, n, i, h = (table.column(k).to_numpy() for k in ("cell", "cls", "n", "i", "h"))
+        alive = np.zeros(len(cls), bool)
         names, root = np.unique(table.column("root").to_numpy(), return_inverse=True)
         parity = table.column("parity").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, PARITY_WORDS)
         known, index = np.unique(cls, return_inverse=True)
@@ -216,6 +220,7 @@ def _cell_pairs(percent: int, quota: int):
                 if len(rejected):
                     good &= rejected[np.minimum(np.searchsorted(rejected, code), len(rejected) - 1)] != code
                 a, b = a[good] + k, b[good] + k
+                alive[a] = alive[b] = True
                 first = np.searchsorted(a, a)           # a is sorted: the place of each row's first pair
                 few = np.arange(len(a)) - first < quota - 1
                 out.append((a[few], b[few]))
@@ -231,7 +236,12 @@ def _cell_pairs(percent: int, quota: int):
         a, b = (np.concatenate(x) if out else np.empty(0, np.int64) for x in (zip(*out) if out else ((), ())))
         swap = cls[a] > cls[b]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
-        return pa.Table.from_arrays([pa.array(v) for v in (cls[a], cls[b], n[a], n[b])], schema=_PAIRS)
+        pairs = pa.Table.from_arrays([*(pa.array(v) for v in (cls[a], cls[b], n[a], n[b])), pa.nulls(len(a), pa.int64())],
+                                     schema=_PAIRS)
+        live = np.flatnonzero(alive)
+        empty = pa.nulls(len(live), pa.int64())
+        return pa.concat_tables([pairs, pa.Table.from_arrays([pa.array(cls[live]), empty, empty, empty, pa.array(h[live])],
+                                                             schema=_PAIRS)])
     return run
 
 
@@ -362,29 +372,30 @@ class NgramJoin:
             if rejected is not None:
                 pairs = pairs.join(rejected, ["a", "b"], "left_anti")
             roots, links, rejected = self._grow(staged(pairs, "candidates"), roots, links, rejected)
-        turn = 0
+        quota = 4
         while True:
-            pairs = self._cell_round(self._open(entries, roots), rejected, 1 << turn)
-            if pairs is None or pairs.isEmpty():
+            met = self._cell_round(self._open(entries, roots), rejected, quota)
+            pairs = staged(met.where("b is not null").drop("h").distinct(), "candidates")
+            if pairs.isEmpty():
                 break
             roots, links, rejected = self._grow(pairs, roots, links, rejected)
-            turn += 1
+            alive = met.where("b is null").select("h", F.col("a").alias("cls")).distinct()
+            entries = staged(entries.join(alive, ["h", "cls"], "left_semi"), "entries")
+            quota *= 4
         self.roots, self.links = roots, links
         return self
 
-    def _cell_round(self, left: DataFrame, rejected: DataFrame, quota: int) -> DataFrame | None:
-        """Pairs of open entries that would connect different components; None if no entry is open."""
+    def _cell_round(self, left: DataFrame, rejected: DataFrame, quota: int) -> DataFrame:
+        """Pairs of open entries that would connect different components, and the entries that have pairs."""
         left = staged(left.join(self.classes.select("cls", "parity"), "cls"), "open")
         total = left.count()
-        if not total:
-            return None
         both = rejected.union(rejected.select("b", "a"))
         partners = both.groupBy(F.col("a").alias("cls")).agg(F.collect_list("b").alias("rejected"))
         left = left.join(partners, "cls", "left").withColumn(
             "rejected", F.coalesce("rejected", F.array().cast("array<long>")))
-        met = cells(left.withColumnRenamed("h", "key"), total, "cls", self.cell_limit, self.per_bin)
+        met = cells(left.withColumn("key", F.col("h")), total, "cls", self.cell_limit, self.per_bin)
         return staged(met.groupBy("bin").applyInArrow(
-            _cell_pairs(self.percent, quota), "a long, b long, na long, nb long").distinct(), "candidates")
+            _cell_pairs(self.percent, quota), "a long, b long, na long, nb long, h long"), "met")
 
     def _open(self, entries: DataFrame, roots: DataFrame | None) -> DataFrame:
         """Entries with their component's root, of n-grams that several components share."""

@@ -42,9 +42,9 @@ def test_a_group_of_near_copies_whose_hub_links_few(spark, monkeypatch):
     keep = N.NgramJoin._cell_round
 
     def cell_round(self, left, rejected, quota):
-        pairs = keep(self, left, rejected, quota)
-        rounds.append(0 if pairs is None else pairs.count())
-        return pairs
+        met = keep(self, left, rejected, quota)
+        rounds.append(met.where("b is not null").count())
+        return met
     monkeypatch.setattr(N.NgramJoin, "_cell_round", cell_round)
     for limit, per_bin in ((4096, 100_000), (50, 500)):
         rounds.clear()
@@ -82,15 +82,19 @@ def test_pairs_of_a_cell_stay_few_and_reach_every_pair(spark):
     import pyarrow as pa
     n = 60
     parity = pa.array([[0] * N.PARITY_WORDS] * n, pa.list_(pa.int64()))
-    base = {"cell": [1] * n, "cls": list(range(100, 100 + n)), "n": [50] * n, "i": [0] * n, "root": list(range(100, 100 + n))}
+    base = {"cell": [1] * n, "cls": list(range(100, 100 + n)), "n": [50] * n, "i": [0] * n, "h": [7] * n, "root": list(range(100, 100 + n))}
     rejected, seen = [[] for _ in range(n)], set()
     for turn in range(30):
         table = pa.table({**{k: pa.array(v, pa.int64()) for k, v in base.items()}, "parity": parity,
                           "rejected": pa.array(rejected, pa.list_(pa.int64()))})
         out = N._cell_pairs(80, 1 << turn)(table)
         pairs = set(zip(out.column("a").to_pylist(), out.column("b").to_pylist()))
+        alive = {a for a, b in pairs if b is None}
+        pairs = {(a, b) for a, b in pairs if b is not None}
         if not pairs:
+            assert not alive
             break
+        assert {x for pair in pairs for x in pair} <= alive
         assert not pairs & seen and (turn or len(pairs) < 2 * n)
         seen |= pairs
         for a, b in pairs:
