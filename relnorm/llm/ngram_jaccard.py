@@ -9,7 +9,7 @@ candidate pairs, which pass length, positional and suffix filters and are then
 verified once on their whole sets.
 
 Pairs are not formed within groups that are known to be connected.  The first
-rounds pair every entry of an n-gram with one of them only.  What shares an
+round pairs every entry of an n-gram with one of them only.  What shares an
 n-gram and is still in different components then meets in cells of bounded
 size (a frequent n-gram is cut into blocks that meet two by two), where all
 filters are applied and only as many pairs leave the task as would connect
@@ -37,7 +37,7 @@ from relnorm.llm.simhash import Forest
 SKETCH_BITS = 19
 BUCKETS = 64
 PARITY_WORDS = 8
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 FLUSH = 400_000
 CELL_LIMIT = 4096
 PER_BIN = 100_000
@@ -95,16 +95,16 @@ def parity_sketch(grams: np.ndarray) -> list[int]:
 
 def _set_rows(width: int):
     def run(parts):
-        for part in parts:
-            ids = part.column(0).to_pylist()
-            rows = {"id": ids, "cls": [], "n": [], "hist": [], "parity": []}
+        for part in (p.slice(k, 1000) for p in parts for k in range(0, p.num_rows, 1000)):
+            rows = {"cls": [], "n": [], "hist": [], "parity": []}
             for grams in gram_sets(part.column(1), width):
                 rows["cls"].append(set_class(grams) if len(grams) else None)
                 rows["n"].append(len(grams))
                 rows["hist"].append(np.bincount((grams & np.uint64(BUCKETS - 1)).astype(np.int64),
                                                 minlength=BUCKETS).astype("<i4").tobytes())
                 rows["parity"].append(parity_sketch(grams))
-            yield from batches(rows, pa.schema([("id", part.schema.field(0).type), *_SETS]))
+            made = [pa.array(rows[name], kind) for name, kind in _SETS]
+            yield pa.RecordBatch.from_arrays([part.column(0), *made], names=["id", *rows])
     return run
 
 
@@ -260,11 +260,13 @@ def _suffix_filter(percent: int):
 
 def _whole_sets(width: int):
     def run(parts):
+        seen = set()
         for part in parts:
             wanted = part.column(0).to_pylist()
             rows = {"cls": [], "grams": []}
             for cls, grams in zip(wanted, gram_sets(part.column(1), width)):
-                if len(grams) and set_class(grams) == cls:
+                if len(grams) and cls not in seen and set_class(grams) == cls:
+                    seen.add(cls)
                     rows["cls"].append(cls)
                     rows["grams"].append(grams.tobytes())
             yield from batches(rows, _WHOLE, 500)
@@ -349,8 +351,9 @@ class NgramJoin:
         wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         wanted = staged(wanted.join(self.classes.select("cls", "id"), "cls"), "wanted")
         sets = staged(self.docs.join(broadcast_below(wanted), "id").select("cls", "text")
-                      .mapInArrow(_whole_sets(self.width), "cls long, grams binary")
-                      .dropDuplicates(["cls"]), "sets")  # repeated rows have one set
+                      .mapInArrow(_whole_sets(self.width), "cls long, grams binary"), "sets")
+        if sets.select("cls").distinct().count() < sets.count():  # repeated rows in several tasks
+            sets = staged(sets.dropDuplicates(["cls"]), "sets")
         return staged(pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
                       .mapInArrow(_verify(self.percent), "a long, b long").distinct(), "links")
 
