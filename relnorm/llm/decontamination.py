@@ -24,7 +24,7 @@ def _shingles(width: int):
 
 def windows(items: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """Distinct windows of all items: window (words), item_ids, wid."""
-    w = items.select(F.col(id_col).alias("item"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
+    w = items.select(F.col(id_col).cast("string").alias("item"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     at = F.sequence(F.lit(1), F.greatest(F.size("w") - window + 1, F.lit(1)))
     return (w.select("item", F.explode(F.transform(at, lambda i: F.slice("w", i, window))).alias("window"))
             .groupBy("window").agg(F.collect_set("item").alias("item_ids"))
@@ -42,9 +42,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
     A document word is hit when it lies in an occurrence of a window of an
     item: ``window`` consecutive words, or all words of a shorter item.  Null
     and empty texts have no words; items without words have no window; a null
-    item id never counts as an item but its words are hit.  Repeated rows are
-    judged one by one; rows sharing an id share candidates, which are verified
-    against each row's own words.  An empty benchmark hits nothing.
+    item id never counts as an item but its words are hit; ids of both tables
+    can be of any type.  Repeated rows are judged one by one.  An empty
+    benchmark hits nothing; an empty table gives no rows, other columns are
+    not read.
     """
     win = staged(windows(items, item_id_col, item_text_col, window), "windows")
     # A window shorter than a shingle is looked up by all its words.
@@ -55,12 +56,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
         F.least(F.size("window"), F.lit(shingle)).alias("span"))
     tokens = staged(tokens, "tokens")
     spans = [r[0] for r in tokens.select("span").distinct().collect()]  # at most `shingle` values
-    own = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
+    # A row is known by its id and its text, so that rows of one id, or without one, don't gather in one group.
+    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), words(F.col(text_col)).alias("w"))
     known = broadcast_if_small(staged(tokens.select("token", "span").distinct(), "known"), broadcast_rows)
     places = None
     for span in sorted(spans) or [shingle]:
         found = own.select(
-            "id", F.size("w").alias("n_words"), F.posexplode(_shingles(span)).alias("pos", "token"))
+            "id", "digest", F.size("w").alias("n_words"), F.posexplode(_shingles(span)).alias("pos", "token"))
         found = found.join(known.where(F.col("span") == span).drop("span"), "token")
         places = found if places is None else places.unionByName(found)
     places = staged(places, "places")
@@ -72,18 +74,18 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
               .select("wid", "width", F.col("first.token").alias("token"), F.col("first.at").alias("at")))
     fits = (places.join(prefix, "token")
             .where((F.col("pos") >= F.col("at")) & (F.col("pos") - F.col("at") + F.col("width") <= F.col("n_words")))
-            .select("id", (F.col("pos") - F.col("at")).alias("start"), "wid"))
+            .select("id", "digest", (F.col("pos") - F.col("at")).alias("start"), "wid"))
     texts = win.select("wid", "window", "item_ids")
     candidates = (fits.distinct().join(broadcast_if_small(texts, broadcast_rows), "wid")
-                  .groupBy(F.col("id").alias("cid"))
+                  .groupBy(F.col("id").alias("cid"), F.col("digest").alias("cdigest"))
                   .agg(F.collect_list(F.struct("start", "window", "item_ids")).alias("fits")))
-    joined = own.join(candidates, F.col("id").eqNullSafe(F.col("cid")), "left")
-    hits = F.filter(F.coalesce("fits", F.array().cast("array<struct<start:int,window:array<string>,item_ids:array<bigint>>>")),
+    joined = own.join(candidates, F.col("id").eqNullSafe(F.col("cid")) & (F.col("digest") == F.col("cdigest")), "left")
+    hits = F.filter(F.coalesce("fits", F.array().cast("array<struct<start:int,window:array<string>,item_ids:array<string>>>")),
                     lambda c: F.slice("w", c.start + 1, F.size(c.window)) == c.window)
     rows = joined.select("id", F.size("w").alias("n_words"), hits.alias("hits"))
     covered = F.flatten(F.transform("hits", lambda c: F.sequence(c.start, c.start + F.size(c.window) - 1)))
     found_items = F.array_sort(F.transform(F.array_distinct(F.flatten(F.transform("hits", lambda c: c.item_ids))),
-                                           lambda i: i.cast("string")))
+                                           lambda i: i))
     places = F.array_sort(F.array_distinct(F.transform(
         "hits", lambda c: F.struct(c.start.alias("start"), F.size(c.window).alias("size")))))
     rows = rows.select("id", F.col("n_words").cast("long"), F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),

@@ -49,38 +49,33 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Texts are equal when they are identical; a null text equals the empty one.
     The row with the largest id of a group stays.  Repeated rows (same id and
-    text) all count in group_size; one of them, marked by ``copy = 1``, is
-    kept.  A null id ranks below every other; if a whole group has null ids,
+    text) all count in group_size; one of them is kept.  A null id ranks below every other; if a whole group has null ids,
     keep_id is null and one row stays.  An empty table gives no rows.  Further
     columns of the input are not carried.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = staged(docs.select(F.col(id_col).cast("long").alias("id"),
-                              F.unhex(F.sha2(text, 256)).alias("digest")), "digests")
+    rows = staged(docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.sha2(text, 256)).alias("digest"),
+                              F.monotonically_increasing_id().alias("row")), "digests")
     total = rows.count()
     floor = total // (counters + 1)
     frequent = (rows.select("digest").mapInArrow(misra_gries(counters), "digest binary, n long")
                 .groupBy("digest").agg(F.sum("n").alias("n")).where(F.col("n") > floor).select("digest"))
     # The estimates sum to at most `total`, so fewer than counters + 1 exceed `floor`.
+    # Of repeated rows the first one written is kept; a null id is the smallest.
+    top = F.max(F.struct("id", (-F.col("row")).alias("place")))
     winners = (rows.join(F.broadcast(frequent), "digest").groupBy("digest")
-               .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+               .agg(top.alias("top"), F.count(F.lit(1)).alias("group_size"))
+               .select("digest", F.col("top.id").alias("keep_id"), (-F.col("top.place")).alias("keep_row"), "group_size"))
     winners = staged(winners, "winners")
     if winners.count() > counters:
         raise AssertionError("more frequent digests than counters")
     split = rows.join(F.broadcast(winners), "digest", "left")
-    # Of repeated keeper rows of a frequent digest one is chosen after a shuffle of the keepers alone.
-    heavy = split.where(F.col("group_size").isNotNull())
-    keeps = F.col("id").eqNullSafe(F.col("keep_id"))
-    chosen = heavy.where(keeps).groupBy("digest", "id", "keep_id", "group_size").agg(F.count(F.lit(1)).alias("copies"))
-    chosen = chosen.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
-    heavy = (heavy.where(~keeps).withColumn("copy", F.lit(2).cast("long"))
-             .unionByName(chosen.drop("copies")))
+    heavy = split.where(F.col("group_size").isNotNull()).withColumn("kept", F.col("row") == F.col("keep_row"))
     own = Window.partitionBy("digest")
-    light = (split.where(F.col("group_size").isNull()).select("digest", "id")
-             .withColumn("copy", F.row_number().over(own.orderBy(F.desc_nulls_last("id"))).cast("long"))
+    light = (split.where(F.col("group_size").isNull()).select("digest", "id", "row")
+             .withColumn("kept", F.row_number().over(own.orderBy(F.desc_nulls_last("id"), "row")) == 1)
              .withColumn("keep_id", F.max("id").over(own))
              .withColumn("group_size", F.count(F.lit(1)).over(own)))
-    return heavy.unionByName(light).select(
-        F.col("id").alias(id_col), "keep_id", "group_size",
-        (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"))
+    columns = ["digest", "id", "keep_id", "group_size", "kept"]
+    return heavy.select(*columns).unionByName(light.select(*columns)).select(
+        F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))

@@ -119,6 +119,14 @@ def _count(bins: int, frequent: np.ndarray):
     return run
 
 
+def _narrow(words: np.ndarray, columns: list[np.ndarray], most: int = 2**32 - 1):
+    """Rows with 32-bit counts: a larger count is spread over several rows of its word, which add up again."""
+    times = np.maximum(np.max([-(-c // most) for c in columns], axis=0, initial=0), 1) if len(words) else np.empty(0, np.int64)
+    at = np.repeat(np.arange(len(words)), times)
+    part = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+    return words[at], [np.clip(c[at] - part * most, 0, most).astype("<u4") for c in columns]
+
+
 def _merge_bigrams(path: str, bins: int):
     """One context range: write its bigrams, pass on per word what was seen."""
     def run(table: pa.Table) -> pa.Table:
@@ -138,10 +146,8 @@ def _merge_bigrams(path: str, bins: int):
         columns.append(np.concatenate([np.zeros(len(left), np.int64), kinds]))
         order = np.argsort(words, kind="stable")
         _, words, columns = _sums(order, words, columns)
-        small = [c.astype("<u4") if not len(c) or c.max() < 2**32 else None for c in columns]
-        if any(c is None for c in small):
-            raise OverflowError("a count of one hash range exceeds 32 bits; use more ranges")
-        out = list(_blobs(bin_of(words, bins), [words, *small]))
+        words, columns = _narrow(words, columns)
+        out = list(_blobs(bin_of(words, bins), [words, *columns]))
         totals = np.array([(counts == k).sum() for k in (1, 2, 3, 4)], "<i8").tobytes()
         out.append(pa.RecordBatch.from_arrays(
             [pa.array([-1 - table.column("bin")[0].as_py() % 16], pa.int64()), pa.array([totals], pa.binary())], schema=_BLOBS))
@@ -201,8 +207,10 @@ class KneserNey:
         self.path = folder(spark, f"kneser-ney-{uuid.uuid4().hex[:8]}")
         self.frequent = _frequent_words(texts, self.bins, sample_rows)
         counted = texts.mapInArrow(_count(self.bins, self.frequent), "bin long, payload binary")
-        seen = counted.groupBy("bin").applyInArrow(_merge_bigrams(self.path, self.bins), "bin long, payload binary")
-        done = seen.groupBy("bin").applyInArrow(_merge_words(self.path), ", ".join(f"{n} long" for n in _TOTALS.names))
+        # Every range has a row, so that each writes its files, empty ones too.
+        every = spark.range(self.bins).select(F.col("id").alias("bin"), F.lit(b"").alias("payload"))
+        seen = counted.union(every).groupBy("bin").applyInArrow(_merge_bigrams(self.path, self.bins), "bin long, payload binary")
+        done = seen.union(every).groupBy("bin").applyInArrow(_merge_words(self.path), ", ".join(f"{n} long" for n in _TOTALS.names))
         total = done.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in _TOTALS.names]).first().asDict()
         self.tokens, self.types, self.bigrams = total["tokens"], total["types"], total["bigrams"]
         self.bigram_cut = discounts(*(total[f"b{k}"] for k in (1, 2, 3, 4)))

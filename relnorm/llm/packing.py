@@ -29,7 +29,8 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
 
 #: Texts of these characters only take the short way: ASCII without odd controls, and Latin-1 letters.
 _PLAIN = re.compile(r"[\x00-\x1b\x20-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
-# Fixed value: the tokenizer's own split, written for lower-cased plain texts.
+# The tokenizer's own split, and the same written for lower-cased plain texts.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9\xdf-\xf6\xf8-\xff]+")
 
 
@@ -42,7 +43,13 @@ def encoder(path: str, end_id: int, cached: int = 1_000_000):
     Other texts are encoded by their runs between ASCII white space.  What is
     remembered is forgotten when ``cached`` pieces are held.
     """
+    import json
     from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    first = ((told.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    if told["model"].get("end_of_word_suffix") != "</w>" or (first.get("pattern") or {}).get("Regex") != _SPLIT:
+        raise ValueError(f"{path}: only a vocabulary with word ends and the split that is written out here can be used")
     tokenizer, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
     # Pieces are normalised and split already: the model alone is needed for them.
     plain.normalizer = normalizers.Sequence([])

@@ -10,15 +10,23 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from relnorm.session import checkpoint_dir
 
 _written: list[str] = []
 
+#: A planned size from here on is no estimate but the absence of one.
+UNKNOWN_BYTES = 1 << 50
+
 
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    # With its scheme: tasks must not take a path on the default file system for a local one.
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path = store.makeQualified(where).toString()
     _written.append(path)
     return path
 
@@ -44,4 +52,7 @@ def bins_for(spark: SparkSession, df: DataFrame, bytes_per_bin: int = 4 << 20) -
     """How many hash ranges to deal work into: follows the input and the shuffle setting."""
     rows = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(rows, min(size // bytes_per_bin, 1 << 20), 1)
+    if size >= UNKNOWN_BYTES:  # the planner has no figure: count the texts
+        texts = [F.octet_length(f.name) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+        size = df.agg(F.sum(sum(texts, F.lit(0)))).first()[0] or 0
+    return max(rows, size // bytes_per_bin, 1)

@@ -329,6 +329,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     strings = packs.mapInArrow(_send(length, bins), "bin long, pack long, payload binary")
     masks = strings.groupBy("bin").applyInArrow(_compare(length), "bin long, pack long, payload binary")
     path = folder(docs.sparkSession, "masks")
-    masks.groupBy("pack").applyInArrow(_store_masks(path), "pack long, n long").agg(F.sum("n")).collect()
+    # Every pack has a row, so that each has a file, an empty one too.
+    every = packs.select(F.lit(0).cast("long").alias("bin"), "pack", F.lit(b"").alias("payload"))
+    masks.union(every).groupBy("pack").applyInArrow(_store_masks(path), "pack long, n long").agg(F.sum("n")).collect()
     return packs.mapInArrow(_clean(path, length, bins), "id long, n_bytes long, "
                             "spans array<struct<start:int,end:int>>, kept binary").withColumnRenamed("id", id_col)
