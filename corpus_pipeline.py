@@ -26,24 +26,31 @@ def row_key(docs: DataFrame) -> Column:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier does not reject."""
+    """Documents that the toxicity classifier does not reject, every row on its own.
+
+    A null or empty text is judged by the model's bias; an empty table stays empty.
+    """
     return drop_toxic(docs, read(spark, sf_dir, "labels"))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id; of its repeated rows one."""
+    """Of equal texts the row with the largest doc_id; of its repeated rows the one with the smallest other columns.
+
+    A null text equals an empty one, a null doc_id is the smallest; an empty table stays empty.
+    """
     key = lambda id_, digest: F.struct(id_.cast("long").alias("id"), F.unhex(digest).alias("digest"))
     kept = exact_dedup(docs).where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("key"))
     rows = docs.select(key(docs["doc_id"], F.sha2(F.coalesce("text", F.lit("")), 256)).alias("key"),
                        F.struct("*").alias("row"))
     # Repeated rows meet before the only shuffle of the texts; the join reuses its partitioning.
-    return rows.dropDuplicates(["key"]).join(kept, "key", "left_semi").select("row.*")
+    return rows.groupBy("key").agg(F.min("row").alias("row")).join(kept, "key", "left_semi").select("row.*")
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of similar documents the row with the smallest doc_id, one without a doc_id last.
 
     Rows are judged one by one by doc_id and text; the smaller digest of the text decides between equal ids.
+    Null texts and texts without words are near nothing; an empty table stays empty.
     """
     groups = near_duplicates(docs.select(row_key(docs).alias("key"), "text"), id_col="key")
     gone = groups.where("component_id <> key").select(F.col("key").alias("_key"))
@@ -51,7 +58,10 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item; rows are judged one by one by doc_id and text."""
+    """Documents without a window of a benchmark item; rows are judged one by one by doc_id and text.
+
+    Null and empty texts stay; an empty benchmark or table changes nothing.
+    """
     keyed = docs.select(row_key(docs).alias("key"), "text")
     hit = contamination(keyed, read(spark, sf_dir, "benchmark"), id_col="key").where("contaminated")
     hit = staged(hit.select(F.col("key").alias("_key")).distinct(), "contaminated")
@@ -59,7 +69,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining documents in sequences of at most 2048 tokens."""
+    """Pieces of the remaining documents in sequences of at most 2048 tokens.
+
+    A null or empty text is its end token alone; repeated rows are packed each; an empty table gives no pieces.
+    """
     pieces = pack(docs, tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
@@ -78,7 +91,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole `documents` table."""
+    """All stages over the whole `documents` table, each written and read again; see each for nulls and ties."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), name)
