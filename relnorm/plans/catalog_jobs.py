@@ -213,7 +213,7 @@ WITH s AS (SELECT *, o_orderkey AS k, o_custkey AS c, lpad(CAST(o_custkey AS VAR
                   CASE WHEN o_orderkey % 29 = 0 THEN 'malformed document'
                        WHEN o_orderkey % 31 = 0 AND o_custkey % 3 <> 0 THEN 'publication code look-up failed' END AS error FROM orders),
 t AS (SELECT *, CASE WHEN length(h) = 1 THEN '0' || h ELSE h END AS shard, code || '-' || replace(day, '-', '') AS issue_code,
-             coll || '-alto2txt/metadata/' || abbr || '_' || lpad(CAST(k // 5000 AS VARCHAR), 5, '0') || '_metadata.zip' AS archive FROM s),
+             coll || '/metadata/' || abbr || '_' || lpad(CAST(k // 5000 AS VARCHAR), 5, '0') || '_metadata.zip' AS archive FROM s),
 e AS (SELECT *, row_number() OVER (PARTITION BY archive ORDER BY CAST(k AS VARCHAR) || '.xml') - 1 AS entry_index FROM t),
 g AS (SELECT * FROM e WHERE error IS NULL),
 au AS (SELECT 'The Gazette ' || s_name AS title, lpad(CAST(s_suppkey AS VARCHAR), 7, '0') AS code,
@@ -260,7 +260,7 @@ def _paper_entries(spark, sf, base):
         "</word_count><ocr_quality_mean>", maybe(status != "O", "0.", k % 100), "</ocr_quality_mean>",
         "<plain_text_file>art", k, ".txt</plain_text_file>",
         maybe(status != "P", "<item_type>article</item_type>"), "</item></issue></publication></lwm>")
-    folder = text(base + "/", coll, "-alto2txt/metadata")
+    folder = text(base + "/", coll, "/metadata")
     articles = o.select(
         folder.alias("folder"),
         text(abbr, "_", F.lpad(F.floor(k / 5000).cast("string"), 5, "0"), "_metadata.zip").alias("archive"),
@@ -358,7 +358,7 @@ def news_table_item(spark, sf):
 
 @query("news_quarantine", covers=("JOB-1", "AUD-1", "EXT-1"), sql=_PAPERS + """
 SELECT archive, entry_index, error FROM e WHERE error IS NOT NULL
-UNION ALL SELECT DISTINCT coll || '-alto2txt/metadata/ZZ_metadata.zip', -1, 'unreadable archive' FROM e""")
+UNION ALL SELECT DISTINCT coll || '/metadata/ZZ_metadata.zip', -1, 'unreadable archive' FROM e""")
 def news_quarantine(spark, sf):
     back = _news_rows(spark, sf, "quarantine", "archive string, entry_index bigint, error string")
     return back.withColumn("archive", F.regexp_extract("archive", _SHORT, 1))
@@ -378,7 +378,7 @@ SELECT archive, coll AS collection, count(*) FILTER (error IS NULL) AS n_documen
        count(DISTINCT code) FILTER (error IS NULL) AS n_papers,
        coalesce(string_agg(DISTINCT code, ',' ORDER BY code) FILTER (error IS NULL), '') AS codes, '{RUN_TS}' AS run_id
 FROM e GROUP BY archive, coll
-UNION ALL SELECT DISTINCT coll || '-alto2txt/metadata/ZZ_metadata.zip', coll, 0, 1, 0, 0, 0, '', '{RUN_TS}' FROM e""")
+UNION ALL SELECT DISTINCT coll || '/metadata/ZZ_metadata.zip', coll, 0, 1, 0, 0, 0, '', '{RUN_TS}' FROM e""")
 def news_report(spark, sf):
     back = _news_rows(spark, sf, "report", "archive string, collection string, n_documents bigint, n_rejected bigint, n_items bigint, "
                       "n_issues bigint, n_papers bigint, publication_codes array<string>, run_id string")

@@ -43,6 +43,7 @@ AUTHORITY_COLUMNS = ["Newspaper Title", "NLP", "Abbr", "StartD", "StartM", "Star
 
 def _collection(archive):
     """The folder above ``metadata`` without its suffix, else the archive's own folder."""
+    # Fixed value: the suffix of the folders that the digitisation tool writes.
     named = F.regexp_extract(archive, r"/([^/]+?)(?:-alto2txt)?/metadata/[^/]+$", 1)
     return F.coalesce(F.nullif(named, F.lit("")), parent_name(archive))
 
