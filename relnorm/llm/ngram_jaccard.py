@@ -39,6 +39,7 @@ BUCKETS = 64
 PARITY_WORDS = 8
 STAR_ROUNDS = 1
 FLUSH = 400_000
+SLICE_BYTES = 1 << 18
 CELL_LIMIT = 4096
 PER_BIN = 100_000
 STRIP = 128
@@ -56,7 +57,7 @@ _ENTRY = np.dtype([("h", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("i", "<i4"), ("m
 
 def gram_sets(column, width: int) -> Iterator[np.ndarray]:
     """For each text its sorted distinct n-gram hashes; all words as one n-gram if fewer than ``width``."""
-    for first, last, data, offsets in slices(*byte_columns(column)):
+    for first, last, data, offsets in slices(*byte_columns(column), SLICE_BYTES):
         hashes, bounds = word_hashes(data, offsets, NON_SPACE)
         chained = chain_hashes(hashes, width)
         for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
