@@ -35,7 +35,6 @@ from relnorm.llm.shared import bins_for, staged
 from relnorm.llm.simhash import Forest
 
 SKETCH_BITS = 19
-BUCKETS = 64
 PARITY_WORDS = 8
 STAR_ROUNDS = 1
 FLUSH = 400_000
@@ -45,7 +44,7 @@ PER_BIN = 100_000
 STRIP = 128
 
 _SKETCH = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
-_SETS = (("cls", pa.int64()), ("n", pa.int64()), ("hist", pa.binary()), ("parity", pa.list_(pa.int64())))
+_SETS = (("cls", pa.int64()), ("n", pa.int64()), ("parity", pa.list_(pa.int64())))
 _BLOBS = pa.schema([("bin", pa.int64()), ("payload", pa.binary())])
 _ENTRIES = pa.schema([("h", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("i", pa.int64())])
 _DEALT = pa.schema([("bin", pa.int64()), ("payload", pa.binary()), *_ENTRIES])
@@ -97,12 +96,10 @@ def parity_sketch(grams: np.ndarray) -> list[int]:
 def _set_rows(width: int):
     def run(parts):
         for part in (p.slice(k, 1000) for p in parts for k in range(0, p.num_rows, 1000)):
-            rows = {"cls": [], "n": [], "hist": [], "parity": []}
+            rows = {"cls": [], "n": [], "parity": []}
             for grams in gram_sets(part.column(1), width):
                 rows["cls"].append(set_class(grams) if len(grams) else None)
                 rows["n"].append(len(grams))
-                rows["hist"].append(np.bincount((grams & np.uint64(BUCKETS - 1)).astype(np.int64),
-                                                minlength=BUCKETS).astype("<i4").tobytes())
                 rows["parity"].append(parity_sketch(grams))
             made = [pa.array(rows[name], kind) for name, kind in _SETS]
             yield pa.RecordBatch.from_arrays([part.column(0), *made], names=["id", *rows])
@@ -246,19 +243,6 @@ def _cell_pairs(percent: int, quota: int):
     return run
 
 
-def _suffix_filter(percent: int):
-    """Drop pairs whose n-gram counts by hash bucket differ too much for the overlap they need."""
-    def run(parts):
-        for part in parts:
-            a, b = (np.frombuffer(byte_columns(part.column(k))[0].tobytes(), "<i4").reshape(-1, BUCKETS)
-                    for k in ("hist_a", "hist_b"))
-            na, nb = (part.column(k).to_numpy() for k in ("na", "nb"))
-            need = -(-percent * (na + nb) // (100 + percent))
-            fits = np.abs(a - b).sum(1) <= na + nb - 2 * need
-            yield part.select(["a", "b"]).filter(pa.array(fits))
-    return run
-
-
 def _whole_sets(width: int):
     def run(parts):
         seen = set()
@@ -344,11 +328,17 @@ class NgramJoin:
             F.when(x_first, F.col("x.n")).otherwise(F.col("y.n")).alias("na"),
             F.when(x_first, F.col("y.n")).otherwise(F.col("x.n")).alias("nb")).distinct()
 
+    def _near(self, pairs: DataFrame) -> DataFrame:
+        """Suffix filter: the parity sketches bound the difference of the sets from below."""
+        sketch = self.classes.select("cls", "parity")
+        pairs = pairs.join(sketch.toDF("a", "x"), "a").join(sketch.toDF("b", "y"), "b")
+        bits = [F.bit_count(F.col("x")[k].bitwiseXOR(F.col("y")[k])) for k in range(PARITY_WORDS)]
+        total = F.col("na") + F.col("nb")
+        need = F.ceil(self.percent * total / F.lit(100.0 + self.percent) - F.lit(1e-9))
+        return pairs.where(sum(bits[1:], bits[0]) <= total - 2 * need)
+
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Those of the candidate pairs (a, b, na, nb) that link, each checked once on whole sets."""
-        hist = self.classes.select("cls", "hist")
-        pairs = staged(pairs.join(hist.toDF("a", "hist_a"), "a").join(hist.toDF("b", "hist_b"), "b")
-                       .mapInArrow(_suffix_filter(self.percent), "a long, b long"), "pairs")
+        """Those of the candidate pairs (a, b, ...; a written table) that link, each checked once on whole sets."""
         wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         wanted = staged(wanted.join(self.classes.select("cls", "id"), "cls"), "wanted")
         sets = staged(self.docs.join(broadcast_below(wanted), "id").select("cls", "text")
@@ -360,11 +350,11 @@ class NgramJoin:
 
     def run(self) -> NgramJoin:
         kind = self.docs.schema["id"].dataType.simpleString()
-        self.sets = staged(self.docs.mapInArrow(_set_rows(self.width), f"id {kind}, cls long, n long, hist binary, "
+        self.sets = staged(self.docs.mapInArrow(_set_rows(self.width), f"id {kind}, cls long, n long, "
                                                 "parity array<long>"),
                            "classes")
         self.classes = (self.sets.where(F.col("cls").isNotNull() & F.col("id").isNotNull()).groupBy("cls")
-                        .agg(F.min("id").alias("id"), F.first("hist").alias("hist"), F.first("parity").alias("parity")))
+                        .agg(F.min("id").alias("id"), F.first("parity").alias("parity")))
         self.classes = staged(self.classes, "classes")
         entries = self.entries()
         links, roots, rejected = None, None, None
@@ -375,7 +365,8 @@ class NgramJoin:
             pairs = self._pairs(left.alias("x").join(hubs.alias("y"), "h").where("x.root <> y.root"))
             if rejected is not None:
                 pairs = pairs.join(rejected, ["a", "b"], "left_anti")
-            roots, links, rejected = self._grow(staged(pairs, "candidates"), roots, links, rejected)
+            pairs = staged(self._near(pairs).select("a", "b"), "candidates")
+            roots, links, rejected = self._grow(pairs, roots, links, rejected)
         quota = 4
         while True:
             met = self._cell_round(self._open(entries, roots), rejected, quota)
