@@ -53,7 +53,9 @@ def _json_texts(spark: SparkSession, path: str, multiline: bool, recursive: bool
 
 
 def _large_files(spark: SparkSession, path: str, glob: str | None, recursive: bool, block_bytes: int) -> DataFrame:
-    return listed(spark, path, glob, recursive).filter(F.col("length") > block_bytes)
+    """Files to split; compressed ones can't be, the plain readers take them."""
+    packed = F.col("path").rlike(r"\.(gz|bz2|zst|lz4|snappy|deflate|xz)$")
+    return listed(spark, path, glob, recursive).filter((F.col("length") > block_bytes) & ~packed)
 
 
 def _parsed(texts: DataFrame, schema: StructType | str) -> DataFrame:

@@ -266,3 +266,18 @@ def test_quoted_csvs_are_split_over_tasks(spark, scratch):
         got = ST.read_csv(spark, scratch, "k string, x string, y string", block_bytes=block)
         assert sorted(map(tuple, got.collect()), key=str) == plain
     assert ST.read_csv(spark, scratch, block_bytes=3000).columns == ["k", "x", "y"]
+
+
+def test_compressed_files_are_not_split(spark, scratch):
+    import gzip
+    import random
+    rng = random.Random(4)
+    rows = [(str(i), str(rng.random())) for i in range(500)]
+    os.makedirs(f"{scratch}/c")
+    with gzip.open(f"{scratch}/c/a.csv.gz", "wt") as f:
+        f.write("k,x\n" + "".join(f"{k},{x}\n" for k, x in rows))
+    with gzip.open(f"{scratch}/a.json.gz", "wt") as f:
+        json.dump([{"k": k, "x": x} for k, x in rows], f)
+    assert sorted(map(tuple, ST.read_csv(spark, f"{scratch}/c", "k string, x string", block_bytes=500).collect())) == sorted(rows)
+    got = ST.read_json_records(spark, scratch, "k string, x string", glob="*.json.gz", block_bytes=500)
+    assert sorted(map(tuple, got.collect())) == sorted(rows)
