@@ -39,6 +39,7 @@ PARITY_WORDS = 8
 STAR_ROUNDS = 1
 FLUSH = 400_000
 SLICE_BYTES = 1 << 18
+SKETCH_BYTES = 32 << 20
 CELL_LIMIT = 4096
 PER_BIN = 100_000
 STRIP = 128
@@ -330,7 +331,7 @@ class NgramJoin:
 
     def _near(self, pairs: DataFrame) -> DataFrame:
         """Suffix filter: the parity sketches bound the difference of the sets from below."""
-        sketch = self.classes.select("cls", "parity")
+        sketch = self.sketch
         pairs = pairs.join(sketch.toDF("a", "x"), "a").join(sketch.toDF("b", "y"), "b")
         bits = [F.bit_count(F.col("x")[k].bitwiseXOR(F.col("y")[k])) for k in range(PARITY_WORDS)]
         total = F.col("na") + F.col("nb")
@@ -356,6 +357,8 @@ class NgramJoin:
         self.classes = (self.sets.where(F.col("cls").isNotNull() & F.col("id").isNotNull()).groupBy("cls")
                         .agg(F.min("id").alias("id"), F.first("parity").alias("parity")))
         self.classes = staged(self.classes, "classes")
+        # Joined to entries and pairs in every round: broadcast up to a counted size, shuffled beyond it.
+        self.sketch = broadcast_below(self.classes.select("cls", "parity"), SKETCH_BYTES)
         entries = self.entries()
         links, roots, rejected = None, None, None
         for turn in range(STAR_ROUNDS):
@@ -382,7 +385,7 @@ class NgramJoin:
 
     def _cell_round(self, left: DataFrame, rejected: DataFrame, quota: int) -> DataFrame:
         """Pairs of open entries that would connect different components, and the entries that have pairs."""
-        left = staged(left.join(self.classes.select("cls", "parity"), "cls"), "open")
+        left = staged(left.join(self.sketch, "cls"), "open")
         total = left.count()
         both = rejected.union(rejected.select("b", "a"))
         partners = both.groupBy(F.col("a").alias("cls")).agg(F.collect_list("b").alias("rejected"))
