@@ -39,7 +39,6 @@ PARITY_WORDS = 8
 STAR_ROUNDS = 1
 FLUSH = 400_000
 SLICE_BYTES = 1 << 18
-SKETCH_BYTES = 32 << 20
 CELL_LIMIT = 4096
 PER_BIN = 100_000
 STRIP = 128
@@ -357,10 +356,7 @@ class NgramJoin:
         self.classes = (self.sets.where(F.col("cls").isNotNull() & F.col("id").isNotNull()).groupBy("cls")
                         .agg(F.min("id").alias("id"), F.first("parity").alias("parity")))
         self.classes = staged(self.classes, "classes")
-        # Joined to entries and pairs in every round: broadcast up to a counted size, shuffled beyond it.
         self.sketch = self.classes.select("cls", "parity")
-        if self.classes.count() * (8 * PARITY_WORDS + 24) <= SKETCH_BYTES:
-            self.sketch = F.broadcast(self.sketch)
         entries = self.entries()
         links, roots, rejected = None, None, None
         for turn in range(STAR_ROUNDS):
