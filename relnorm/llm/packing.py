@@ -34,14 +34,14 @@ _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9\xdf-\xf6\xf8-\xff]+")
 
 
-def encoder(path: str, end_id: int, cached: int = 1_000_000):
+def encoder(path: str, end_id: int, cached_bytes: int = 100 << 20):
     """``text -> bytes`` of little-endian 32-bit ids, the end id last.
 
     The tokenizer never joins what its first split separates.  Plain texts are
     split the same way here and every distinct piece is encoded once: unknown
     pieces in one call, cut where the vocabulary marks the end of a word.
     Other texts are encoded by their runs between ASCII white space.  What is
-    remembered is forgotten when ``cached`` pieces are held.
+    remembered is forgotten when it takes about ``cached_bytes``.
     """
     import json
     from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -60,6 +60,7 @@ def encoder(path: str, end_id: int, cached: int = 1_000_000):
     last[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
     pieces_known: dict[str, bytes] = {}
     runs_known: dict[str, bytes] = {}
+    held = {id(pieces_known): 0, id(runs_known): 0}
     end = int(end_id).to_bytes(4, "little")
     spaces = str.maketrans("\t\n\r", "   ")
 
@@ -87,9 +88,12 @@ def encoder(path: str, end_id: int, cached: int = 1_000_000):
             parts, known, learn = text.translate(spaces).split(" "), runs_known, lambda new: learn_runs(new, runs_known)
         new = list(set(parts).difference(known))
         if new:
-            if len(known) + len(new) > cached:
+            cost = 200 * len(new) + 4 * sum(map(len, new))
+            if held[id(known)] + cost > cached_bytes:
                 known.clear()
                 new = list(set(parts))
+                held[id(known)], cost = 0, 200 * len(new) + 4 * sum(map(len, new))
+            held[id(known)] += cost
             learn(new)
         return b"".join(map(known.__getitem__, parts)) + end
     return encode

@@ -242,7 +242,7 @@ def test_packing(spark, rows):
 def test_encoder_agrees_with_the_tokenizer():
     from tokenizers import Tokenizer
     tokenizer, rng = Tokenizer.from_file(tokenizer_path()), random.Random(5)
-    encode = encoder(tokenizer_path(), 1, cached=50)
+    encode = encoder(tokenizer_path(), 1, cached_bytes=12_000)
     for _ in range(400):
         text = "".join(rng.choice(" \n\t'sdtmrelv.,!1290aAbéÉßñ\x00\x7f|<> ́中") for _ in range(rng.randint(0, 40)))
         assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1]
