@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relnorm.functions._util import as_col
@@ -174,6 +174,35 @@ def interval_lookup(df: DataFrame, authority: DataFrame, on, point: str,
     return df.join(agg, lkeys, "left")
 
 
+def sole_interval(points: DataFrame, authority: DataFrame, keys, point: str, start: str, end: str,
+                  values) -> DataFrame:
+    """``(keys…, point, values…)`` of the distinct dates that exactly one interval of their keys holds (inclusive).
+
+    A sweep instead of a join: an interval adds its row number where it starts
+    and takes it out the day after its end, so a running count and a running
+    xor over the dates of a key tell how many intervals hold a date and, if it
+    is one, which.  However many hold it, a date is one row, and a key has no
+    more rows than there are dates.
+    """
+    keys = list(keys)
+    # staged, so that row numbers stay what they are
+    rows = stage(authority.filter(F.col(start) <= F.col(end)).dropna(subset=keys).select(
+        *keys, F.col(start).alias("_si_start"), F.col(end).alias("_si_end"), *values,
+        F.monotonically_increasing_id().alias("_si_row")))
+    edge = lambda at, n: F.struct(at.alias("_si_at"), F.lit(n).alias("_si_n"), F.col("_si_row").alias("_si_in"))
+    edges = rows.select(*keys, F.inline(F.array(edge(F.col("_si_start"), 1), edge(F.date_add("_si_end", 1), -1))),
+                        F.lit(False).alias("_si_asked"))
+    asked = points.filter(F.col(point).isNotNull()).select(
+        *keys, F.col(point).alias("_si_at"), F.lit(0), F.lit(0).cast("bigint"), F.lit(True))
+    days = edges.union(asked).groupBy(*keys, "_si_at").agg(
+        F.sum("_si_n").alias("_si_n"), F.bit_xor("_si_in").alias("_si_in"), F.bool_or("_si_asked").alias("_si_asked"))
+    so_far = Window.partitionBy(*keys).orderBy("_si_at").rowsBetween(Window.unboundedPreceding, 0)
+    held = days.select(*keys, F.col("_si_at").alias(point), "_si_asked", F.sum("_si_n").over(so_far).alias("_si_n"),
+                       F.bit_xor("_si_in").over(so_far).alias("_si_row"))
+    held = held.filter(F.col("_si_asked") & (F.col("_si_n") == 1))
+    return held.join(rows.select("_si_row", *values), "_si_row").select(*keys, point, *values)
+
+
 def lookup_first(df: DataFrame, dim: DataFrame, on, order_by, values, prefix: str = "") -> DataFrame:
     """Left lookup keeping the first dimension row (in ``order_by``) per key."""
     pairs = _pairs(on)

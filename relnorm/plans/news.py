@@ -21,7 +21,7 @@ from relnorm.operators.checks import Checks
 from relnorm.operators.dedupe import keep_first
 from relnorm.operators.keys import dense_key
 from relnorm.operators.records import stamp
-from relnorm.operators.resolve import resolve_fk
+from relnorm.operators.resolve import resolve_fk, sole_interval
 from relnorm.session import stage, staging
 from relnorm.sources.archives import SPLIT_BYTES, archive_entries, archive_manifest, file_name, parent_name
 from relnorm.sources.providers import provider_records
@@ -77,30 +77,21 @@ def read_title_authority(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compile_authority(authority: DataFrame) -> DataFrame:
-    """One row per key ``(kind, key)``: for an abbreviation its validity
-    intervals by start, its only title (if all its rows agree) and its titles
-    by publication code (where unique); for a publication code its title if it
-    has exactly one row."""
-    by_abbr = authority.filter(F.col("abbr").isNotNull()).groupBy("abbr", "publication_code").agg(
-        F.collect_list(F.struct("start_date", "end_date", "title")).alias("rows"),
-        F.min("title").alias("least"), F.max("title").alias("most"))
-    code_title = F.when((F.col("least") == F.col("most")) & F.col("publication_code").isNotNull(),
-                        F.struct("publication_code", F.col("least").alias("title")))
-    by_abbr = by_abbr.withColumn("code_title", code_title).groupBy("abbr").agg(
-        F.array_sort(F.flatten(F.collect_list("rows"))).alias("intervals"),
-        F.min("least").alias("least"), F.max("most").alias("most"),
-        F.map_from_entries(F.collect_list("code_title")).alias("titles_by_code"))
-    by_abbr = by_abbr.select(
-        F.lit("abbr").alias("kind"), F.col("abbr").alias("key"), "intervals",
-        F.when(F.col("least") == F.col("most"), F.col("least")).alias("sole_title"), "titles_by_code")
-    by_code = authority.filter(F.col("publication_code").isNotNull()).groupBy("publication_code").agg(
-        F.count(F.lit(1)).alias("n"), F.min("title").alias("title"))
-    by_code = by_code.select(
-        F.lit("code").alias("kind"), F.col("publication_code").alias("key"),
-        F.lit(None).cast(by_abbr.schema["intervals"].dataType).alias("intervals"),
-        F.when(F.col("n") == 1, F.col("title")).alias("sole_title"),
-        F.lit(None).cast("map<string,string>").alias("titles_by_code"))
-    return by_abbr.unionByName(by_code)
+    """``(_abbr, _code, code_title)``: the title of a publication code that has
+    exactly one row (with NULL for ``_abbr``), and the only title of an
+    abbreviation and publication code."""
+    coded = authority.filter(F.col("publication_code").isNotNull())
+    by_code = coded.groupBy("publication_code").agg(F.count(F.lit(1)).alias("n"), F.min("title").alias("title"))
+    by_code = by_code.filter(F.col("n") == 1).select(
+        F.lit(None).cast("string").alias("_abbr"), F.col("publication_code").alias("_code"), F.col("title").alias("code_title"))
+    by_both = _only_title(coded.filter(F.col("abbr").isNotNull()), ["abbr", "publication_code"])
+    return by_code.union(by_both.select("abbr", "publication_code", "title"))
+
+
+def _only_title(authority: DataFrame, keys) -> DataFrame:
+    """The title of each key whose titles all agree."""
+    titles = authority.groupBy(*keys).agg(F.min("title").alias("title"), F.max("title").alias("_most"))
+    return titles.filter(F.col("title") == F.col("_most")).drop("_most")
 
 
 def match_titles(papers: DataFrame, authority: DataFrame) -> DataFrame:
@@ -113,32 +104,40 @@ def match_titles(papers: DataFrame, authority: DataFrame) -> DataFrame:
     of abbreviation + publication code; (5) a fixed exception title; (6) the
     abbreviation itself.
 
-    A paper needs one key of the compiled authority, its path code or its
-    abbreviation, so there is one join, and the tiers are expressions on the
-    row it finds."""
+    Two joins with rows of fixed width: by code (the path's, or abbreviation
+    and publication code) and by abbreviation and date, for which intervals are
+    looked up once per distinct pair, whatever their number."""
     path_code = sole_match(F.col("input_sub_path"))
     p = papers.withColumns({
-        "_kind": F.when(path_code.isNotNull(), F.lit("code")).otherwise(F.lit("abbr")),
-        "_key": F.coalesce(path_code, F.col("abbr"))})
-    known = compile_authority(authority).withColumnsRenamed({"kind": "_kind", "key": "_key"})
-    p = p.join(known, ["_kind", "_key"], "left")
-    date = F.try_to_date(F.col("issue_date"), "yyyy-MM-dd")
-    valid = F.filter("intervals", lambda i: (i["start_date"] <= date) & (date <= i["end_date"]))
+        "_path_code": path_code, "_code": F.coalesce(path_code, F.col("publication_code")),
+        "_code_abbr": F.when(path_code.isNull(), F.col("abbr")),
+        "_date": F.try_to_date(F.col("issue_date"), "yyyy-MM-dd")})
+    known = compile_authority(authority)
+    in_path = F.col("_path_code").isNotNull()
+    # a code without an abbreviation is known by itself only as a path's
+    p = p.join(known, (p["_code"] == known["_code"]) & p["_code_abbr"].eqNullSafe(known["_abbr"])
+               & (p["_path_code"].isNotNull() | p["_code_abbr"].isNotNull()), "left").drop(known["_abbr"], known["_code"])
+    dated = papers.select("abbr", F.try_to_date(F.col("issue_date"), "yyyy-MM-dd").alias("_date")).filter(
+        F.col("abbr").isNotNull()).distinct()
+    valid = sole_interval(dated, authority, ["abbr"], "_date", "start_date", "end_date", ["title"])
+    sole = _only_title(authority.filter(F.col("abbr").isNotNull()), ["abbr"])
+    found = dated.join(valid.withColumnRenamed("title", "interval"), ["abbr", "_date"], "left").join(
+        sole.withColumnRenamed("title", "sole_title"), "abbr", "left").select(
+        F.col("abbr").alias("_found_abbr"), F.col("_date").alias("_found_date"), "interval", "sole_title")
+    p = p.join(found, (p["abbr"] == found["_found_abbr"]) & p["_date"].eqNullSafe(found["_found_date"]), "left")
     exceptions = F.create_map(*[x for k, v in TITLE_EXCEPTIONS.items() for x in (F.lit(k), F.lit(v))])
     blank = F.col("title").isNull() | (F.col("title") == "")
     by_abbr = [
-        ("interval", F.when(F.size(valid) == 1, valid[0]["title"])), ("sole_title", F.col("sole_title")),
-        ("abbreviation_code", F.try_element_at("titles_by_code", F.col("publication_code"))),
+        ("interval", F.col("interval")), ("sole_title", F.col("sole_title")), ("abbreviation_code", F.col("code_title")),
         ("exception", F.try_element_at(exceptions, F.col("abbr"))),
         ("abbreviation", F.nullif(F.col("abbr"), F.lit("")))]
-    in_path = F.col("_kind") == "code"
-    title = F.when(~blank, F.col("title")).when(in_path, F.coalesce("sole_title", "title")).otherwise(
+    title = F.when(~blank, F.col("title")).when(in_path, F.coalesce("code_title", "title")).otherwise(
         F.coalesce(*[t for _, t in by_abbr]))
     tier = F.when(~blank, F.lit("document")).when(in_path, F.lit("path_code"))
-    for name, found in by_abbr:
-        tier = tier.when(found.isNotNull(), F.lit(name))
+    for name, value in by_abbr:
+        tier = tier.when(value.isNotNull(), F.lit(name))
     return p.withColumns({"match_tier": tier, "title": title}).drop(
-        "_kind", "_key", "intervals", "sole_title", "titles_by_code")
+        "_path_code", "_code", "_code_abbr", "_date", "code_title", "_found_abbr", "_found_date", "interval", "sole_title")
 
 
 def archive_report(records: DataFrame, manifest: DataFrame | None = None, run_id: str | None = None) -> DataFrame:
@@ -206,11 +205,13 @@ def build_tables(spark: SparkSession, docs: DataFrame, authority: DataFrame | No
     papers = keep_first(kind("newspaper", "collection", "archive_name", *order),
                         ["collection", "publication_code"], order)
     papers = papers.withColumn("abbr", name_prefix(F.col("archive_name")))
+    # keys first: titles are matched once, on a staged table
+    papers = dense_key(papers, ["collection", "shard", "publication_code"])
     if authority is not None:
-        papers = match_titles(papers, authority)
+        papers = stage(match_titles(papers, authority))
     else:
         papers = papers.withColumn("match_tier", F.when(F.col("title") != "", F.lit("document")))
-    newspaper = dense_key(papers, ["collection", "shard", "publication_code"]).select(
+    newspaper = papers.select(
         "pk", "publication_code", "title", "location", "collection", "shard", "match_tier")
     titled = checks.part("newspaper").watch(newspaper, "newspaper without title", F.coalesce("title", F.lit("")) == "",
                                             ["collection", "publication_code"])
