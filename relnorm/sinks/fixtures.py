@@ -14,13 +14,21 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from relnorm.operators.keys import chunk_number
 from relnorm.operators.records import wrap_records
-from relnorm.sinks.numbered import write_numbered
+from relnorm.sinks.numbered import PART_ROWS, write_numbered
 
 
 def _prefix(path: str, prefix: str | None) -> str:
     return prefix if prefix is not None else os.path.basename(path.rstrip("/")).split(".")[0]
 
 
+def _parts(pk, chunk_size: int, initial_pk: int, plain: bool) -> dict:
+    """Parts of long files of plain lines (see ``write_numbered``)."""
+    if not plain or chunk_size <= PART_ROWS:
+        return {}
+    within = F.pmod(F.col(pk) - F.lit(initial_pk), F.lit(chunk_size))
+    return {"part": F.floor(within / F.lit(PART_ROWS)), "parts": -(-chunk_size // PART_ROWS)}
+
+
 def write_fixture_json(df: DataFrame, path: str, model: str, pk: str = "pk",
                        chunk_size: int = 2_000_000, initial_pk: int = 1, array: bool = False,
                        compression: str | None = None, mode: str = "overwrite", prefix: str | None = None,
@@ -34,7 +42,8 @@ def write_fixture_json(df: DataFrame, path: str, model: str, pk: str = "pk",
     ends = {"head": "[", "between": ",\n", "tail": "]\n"} if array else {}
     write_numbered(rec, path, chunk_number(F.col("pk"), chunk_size, initial_pk),
                    F.to_json(F.struct("pk", "model", "fields")), ["pk"], _prefix(path, prefix),
-                   ".json" if array else ".jsonl", compression=compression, mode=mode, gate=gate, **ends)
+                   ".json" if array else ".jsonl", compression=compression, mode=mode, gate=gate, **ends,
+                   **_parts("pk", chunk_size, initial_pk, not array and not compression))
 
 
 def _flat_for_csv(df: DataFrame) -> DataFrame:
@@ -56,7 +65,8 @@ def write_fixture_csv(df: DataFrame, path: str, pk: str = "pk", chunk_size: int
     head = ",".join('"' + c.replace('"', '""') + '"' if set(c) & set(',"\n\r') else c for c in flat.columns)
     line = F.to_csv(F.struct(*flat.columns), {"quote": '"', "escape": '"'})
     write_numbered(flat, path, chunk_number(F.col(pk), chunk_size, initial_pk), line, [pk], _prefix(path, prefix),
-                   ".csv", head=head + "\n", compression=compression, mode=mode, gate=gate)
+                   ".csv", head=head + "\n", compression=compression, mode=mode, gate=gate,
+                   **_parts(pk, chunk_size, initial_pk, not compression))
 
 
 def export_tables(tables: dict, base: str, formats=("json", "csv"), chunk_size: int = 2_000_000,

@@ -10,6 +10,7 @@ see the old files or the new ones, and nothing of a failed job.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -22,6 +23,9 @@ from relnorm.sources import files
 
 PAD = 6
 BUFFER_BYTES = 1 << 20
+#: Longer files of lines are sorted and written in parts of so many records, then put together.
+PART_ROWS = 100_000
+PART = ".part-"
 #: File name ending and the name pyarrow has for each codec.
 CODECS = {None: ("", None), "none": ("", None), "gzip": (".gz", "gzip"), "bzip2": (".bz2", "bz2"),
           "zstd": (".zst", "zstd"), "lz4": (".lz4", "lz4")}
@@ -53,6 +57,13 @@ class _Out:
         if self.size >= BUFFER_BYTES:
             self.flush()
 
+    def append(self, uri: str) -> None:
+        """The bytes of a file."""
+        self.flush()
+        with files.open_input(uri) as fh:
+            while piece := fh.read(BUFFER_BYTES):
+                self.stream.write(piece)
+
     def flush(self) -> None:
         self.stream.write(b"".join(self.held))
         self.held, self.size = [], 0
@@ -91,6 +102,7 @@ class NumberedFilesWriter(DataSourceArrowWriter):
         o = self.options
         codec = CODECS[o.get("codec", "none")][1]
         head, between, tail = (o.get(k, "").encode() for k in ("head", "between", "tail"))
+        joining, parts = o.get("join", "false") == "true", int(o.get("parts", 1))
         names, out, number = [], None, None
         try:
             for batch in iterator:
@@ -101,8 +113,15 @@ class NumberedFilesWriter(DataSourceArrowWriter):
                             out = None
                         if number is not None and n < number:
                             raise ValueError(f"rows are not sorted by number: {n} after {number}")
-                        number, out = n, _Out(self.staging, self._name(n), codec, head, between, tail)
-                    out.write(line.encode())
+                        number = n
+                        # the parts of a file are numbered one after the other; only its first has the head
+                        name, part = self._name(n // parts), n % parts
+                        out = _Out(self.staging, f"{name}{PART}{part:0{PAD}}" if part else name, codec,
+                                   b"" if part else head, between, tail)
+                    if joining:
+                        out.append(line)
+                    else:
+                        out.write(line.encode())
             if out is not None:
                 names.append(out.finish())
         except BaseException:
@@ -134,7 +153,8 @@ class NumberedFilesWriter(DataSourceArrowWriter):
 
 class NumberedFiles(DataSource):
     """``format("numbered_files")``; options ``path``, ``prefix``, ``ending``,
-    ``pad``, ``head``, ``between``, ``tail``, ``codec``."""
+    ``pad``, ``head``, ``between``, ``tail``, ``codec``, ``parts`` (numbers a
+    file is written under, 1), ``join`` (a line is the URI of a file to copy)."""
 
     @classmethod
     def name(cls):
@@ -149,38 +169,72 @@ class NumberedFiles(DataSource):
 
 def write_numbered(df: DataFrame, path: str, number: Column, line: Column, order, prefix: str, ending: str,
                    head: str = "", between: str = "\n", tail: str = "\n", compression: str | None = None,
-                   mode: str = "overwrite", pad: int = PAD, gate=None) -> None:
+                   mode: str = "overwrite", pad: int = PAD, gate=None, part: Column | None = None,
+                   parts: int = 1) -> None:
     """Write ``line`` of each row into the file ``<prefix>-<number><ending>``, in ``order`` within a file.
 
-    A number's rows are streamed by one task, whatever their number; numbers
-    are dealt over tasks by one shuffle.  ``mode`` is ``overwrite`` (the whole
-    folder is replaced at commit) or ``error`` (the folder must not exist).
-    ``gate`` is called between writing and publishing; if it raises, nothing
-    is published.
+    Numbers are dealt over tasks by one shuffle, and one task streams a number's
+    rows.  Where a number may have many rows, ``part`` (0 to ``parts`` - 1, in
+    ``order``) cuts them: parts are sorted and written by tasks of their own,
+    and a second job copies the parts of each file one after the other, so no
+    task sorts more than a part.  That needs plain lines (``between`` and
+    ``tail`` a line break, no compression).
+
+    ``mode`` is ``overwrite`` (the whole folder is replaced at commit) or
+    ``error`` (the folder must not exist).  ``gate`` is called between writing
+    and publishing; if it raises, nothing is published.
     """
     if mode not in ("overwrite", "error"):
         raise ValueError(f"unknown mode {mode}")
     if compression not in CODECS:
         raise ValueError(f"unknown compression {compression}")
+    if parts > 1 and (part is None or between != "\n" or tail != "\n" or CODECS[compression][1]):
+        raise ValueError("only plain lines can be written in parts")
     spark = df.sparkSession
     spark.dataSource.register(NumberedFiles)
     target = files.qualified(spark, path).rstrip("/")
     if mode == "error" and files.exists(target):
         raise FileExistsError(f"{target} exists")
     parent, _, name = target.rpartition("/")
-    pending = f"{parent}/.{name}-{uuid.uuid4().hex}" if gate else target
+    pending = f"{parent}/.{name}-{uuid.uuid4().hex}" if gate or parts > 1 else target
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    rows = df.select(number.cast("bigint").alias("number"), line.alias("line"),
-                     *[c.alias(f"_o{i}") for i, c in enumerate(order)])
+    number = number.cast("bigint")
+    if parts > 1:
+        number = number * F.lit(parts) + part.cast("bigint")
+    rows = df.select(number.alias("number"), line.alias("line"), *[c.alias(f"_o{i}") for i, c in enumerate(order)])
     rows = (rows.repartition("number").sortWithinPartitions("number", *[f"_o{i}" for i in range(len(order))])
             .select("number", "line"))
-    (rows.write.format("numbered_files").mode("overwrite" if mode == "overwrite" else "append")
-     .options(path=pending, prefix=prefix, ending=ending + CODECS[compression][0], pad=pad,
-              head=head, between=between, tail=tail, codec=compression or "none").save())
-    if gate:
-        try:
+
+    def save(rows, folder, **options):
+        (rows.write.format("numbered_files").mode("overwrite" if mode == "overwrite" else "append")
+         .options(path=folder, prefix=prefix, ending=ending + CODECS[compression][0], pad=pad,
+                  codec=compression or "none", **options).save())
+
+    save(rows, pending, head=head, between=between, tail=tail, parts=parts)
+    if pending == target:
+        return
+    try:
+        if parts > 1:
+            pending = _joined(spark, pending, save)
+        if gate:
             gate()
-        except BaseException:
-            files.remove_folder(pending)
-            raise
-        files.publish(pending, target, mode == "overwrite")
+    except BaseException:
+        files.remove_folder(pending)
+        raise
+    files.publish(pending, target, mode == "overwrite")
+
+
+def _joined(spark, folder: str, save) -> str:
+    """The folder with the files of ``folder`` whose parts are put together; ``folder`` itself if there are none."""
+    found = files.list_files(folder, "*")
+    if not any(PART in uri.rpartition("/")[2] for uri, _ in found):
+        return folder
+    # by name: a file comes before its parts, and these by number
+    whole = [(int(re.search(r"-(\d+)[^-/]*$", uri.rpartition(PART)[0] or uri).group(1)), uri) for uri, _ in found]
+    out = f"{folder}-whole"
+    rows = spark.createDataFrame(whole, "number bigint, line string")
+    try:
+        save(rows.repartition("number").sortWithinPartitions("number", "line"), out, join="true")
+    finally:
+        files.remove_folder(folder)
+    return out
