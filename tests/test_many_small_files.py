@@ -39,7 +39,7 @@ def test_small_blocks_share_tasks(spark, scratch):
     files = blocks.listed(spark, scratch, "*.json", False)
     records, refused = blocks.split_records(files, "json", block_bytes=100)
     assert not refused and records.count() == 5000
-    assert len(records.select(F.spark_partition_id()).distinct().collect()) <= 2 * spark.sparkContext.defaultParallelism
+    assert len(records.select(F.spark_partition_id()).distinct().collect()) <= blocks.MIN_TASKS
 
 
 def test_long_files_are_sorted_in_parts(spark, scratch, monkeypatch):
