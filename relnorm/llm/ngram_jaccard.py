@@ -31,7 +31,7 @@ from pyspark.sql.types import StructType
 from relnorm.llm.arrays import NON_SPACE, batches, bin_of, byte_columns, chain_hashes, mix64, slices, word_hashes
 from relnorm.llm.components import components
 from relnorm.llm.dealing import broadcast_below, cells
-from relnorm.llm.shared import bins_for, staged
+from relnorm.llm.shared import bins_for, release, staged
 from relnorm.llm.simhash import Forest
 
 SKETCH_BITS = 19
@@ -42,12 +42,12 @@ SLICE_BYTES = 1 << 18
 CELL_LIMIT = 4096
 PER_BIN = 100_000
 STRIP = 128
+PIECE = 20_000
 
 _SKETCH = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
-_SETS = (("cls", pa.int64()), ("n", pa.int64()), ("parity", pa.list_(pa.int64())))
+_SETS = (("cls", pa.int64()), ("n", pa.int64()), ("parity", pa.list_(pa.int64())), ("long", pa.binary()))
 _BLOBS = pa.schema([("bin", pa.int64()), ("payload", pa.binary())])
 _ENTRIES = pa.schema([("h", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("i", pa.int64())])
-_DEALT = pa.schema([("bin", pa.int64()), ("payload", pa.binary()), *_ENTRIES])
 _WHOLE = pa.schema([("cls", pa.int64()), ("grams", pa.binary())])
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("na", pa.int64()), ("nb", pa.int64()), ("h", pa.int64())])
 _ENTRY_SQL = "h long, cls long, n long, i long"
@@ -93,14 +93,42 @@ def parity_sketch(grams: np.ndarray) -> list[int]:
     return np.packbits(odd).view("<i8").tolist()
 
 
+def long_sketch(grams: np.ndarray) -> bytes | None:
+    """The parity sketch of a set too large for the short one, of a power of two of bits, at least its size."""
+    if len(grams) <= 64 * PARITY_WORDS:
+        return None
+    bits = 1 << (len(grams) - 1).bit_length()
+    odd = np.bincount(((grams >> np.uint64(20)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def sketch_difference(x: bytes, y: bytes) -> int:
+    """In how many bits two long sketches differ, the longer one folded to the shorter one's buckets."""
+    x, y = sorted((np.frombuffer(v, np.uint8) for v in (x, y)), key=len)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
+def _unlike(percent: int):
+    """Of pairs (a, b, na, nb, long_a, long_b) those whose sketches differ in more bits than sets that link can."""
+    def run(parts):
+        for part in parts:
+            na, nb = part.column("na").to_numpy(), part.column("nb").to_numpy()
+            most = na + nb - 2 * -(-percent * (na + nb) // (100 + percent))
+            differ = [sketch_difference(x, y) for x, y in
+                      zip(part.column("long_a").to_pylist(), part.column("long_b").to_pylist())]
+            yield part.select(["a", "b"]).filter(pa.array(np.array(differ, np.int64) > most))
+    return run
+
+
 def _set_rows(width: int):
     def run(parts):
         for part in (p.slice(k, 1000) for p in parts for k in range(0, p.num_rows, 1000)):
-            rows = {"cls": [], "n": [], "parity": []}
+            rows = {"cls": [], "n": [], "parity": [], "long": []}
             for grams in gram_sets(part.column(1), width):
                 rows["cls"].append(set_class(grams) if len(grams) else None)
                 rows["n"].append(len(grams))
                 rows["parity"].append(parity_sketch(grams))
+                rows["long"].append(long_sketch(grams))
             made = [pa.array(rows[name], kind) for name, kind in _SETS]
             yield pa.RecordBatch.from_arrays([part.column(0), *made], names=["id", *rows])
     return run
@@ -141,37 +169,56 @@ def _prefix_entries(parts, width: int, levels: np.ndarray, needed) -> Iterator[t
         yield flush()
 
 
+def _packed(entries: np.ndarray) -> bytes:
+    """Entries by column and, within a column, by byte, so that equal high bytes compress."""
+    return b"".join(np.ascontiguousarray(entries[k]).view(np.uint8).reshape(len(entries), -1).T.tobytes()
+                    for k in _ENTRY.names)
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    entries, at = np.empty(len(blob) // _ENTRY.itemsize, _ENTRY), 0
+    for k in _ENTRY.names:
+        size = _ENTRY[k].itemsize * len(entries)
+        planes = np.frombuffer(blob, np.uint8, size, at).reshape(-1, len(entries))
+        entries[k], at = np.ascontiguousarray(planes.T).view(_ENTRY[k]).ravel(), at + size
+    return entries
+
+
 def _dealt_entries(width, levels, needed, bins):
-    """Of each chunk of documents, in one pass: its leads as packed rows by hash range, and its other entries."""
+    """Packed rows of each chunk of documents: its leads by hash range, its other entries in pieces under negative bins."""
     def run(parts):
         for entries, leads in _prefix_entries(parts, width, levels, needed):
             others, entries = entries[~leads], entries[leads]
             at = bin_of(entries["h"], bins)
             cuts = np.flatnonzero(np.diff(at)) + 1
-            for some in np.split(np.arange(len(at)), cuts):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(at[some[0]])], pa.int64()),
-                     pa.array([entries[some[0]:some[-1] + 1].tobytes()], pa.binary()),
-                     *(pa.nulls(1, pa.int64()) for _ in _ENTRIES.names)], schema=_DEALT)
-            rows = {k: others[k].view(np.int64) if k == "h" else others[k] for k in _ENTRIES.names}
-            for batch in batches(rows, _ENTRIES):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.binary()), *batch.columns], schema=_DEALT)
+            pieces = [(int(at[some[0]]), entries[some[0]:some[-1] + 1]) for some in np.split(np.arange(len(at)), cuts)]
+            for k in range(0, len(others), PIECE):
+                piece = others[k:k + PIECE]
+                place = int(mix64(piece["h"][:1] ^ piece["cls"][:1].view(np.uint64))[0] % np.uint64(bins))
+                pieces.append((-1 - place, piece))
+            for place, piece in pieces:
+                yield pa.RecordBatch.from_arrays([pa.array([place], pa.int64()), pa.array([_packed(piece)], pa.binary())],
+                                                 schema=_BLOBS)
     return run
 
 
+def _entry_table(entries: np.ndarray) -> pa.Table:
+    return pa.Table.from_arrays(
+        [pa.array(entries["h"].view(np.int64)), pa.array(entries["cls"]), pa.array(entries["n"].astype(np.int64)),
+         pa.array(entries["i"].astype(np.int64))], schema=_ENTRIES)
+
+
 def _shared(table: pa.Table) -> pa.Table:
-    """Entries of one hash range whose n-gram another set has too."""
-    entries = np.concatenate([np.frombuffer(b, _ENTRY) for b in table.column("payload").to_pylist()])
+    """Entries of one hash range whose n-gram another set has too; a chunk's other entries all have one."""
+    entries = np.concatenate([_unpacked(b) for b in table.column("payload").to_pylist()])
+    if table.column("bin")[0].as_py() < 0:
+        return _entry_table(entries)
     entries = entries[np.lexsort((entries["cls"], entries["h"]))]
     fresh = np.concatenate([[True], entries["h"][1:] != entries["h"][:-1]])
     group = np.cumsum(fresh) - 1
     new = fresh | np.concatenate([[True], entries["cls"][1:] != entries["cls"][:-1]])
     shared = (np.bincount(group, weights=new) > 1) | (np.bincount(group, weights=entries["more"]) > 0)
-    entries = entries[new & shared[group]]
-    return pa.Table.from_arrays(
-        [pa.array(entries["h"].view(np.int64)), pa.array(entries["cls"]), pa.array(entries["n"].astype(np.int64)),
-         pa.array(entries["i"].astype(np.int64))], schema=_ENTRIES)
+    return _entry_table(entries[new & shared[group]])
 
 
 def _cell_pairs(percent: int, quota: int):
@@ -303,13 +350,11 @@ class NgramJoin:
     def entries(self) -> DataFrame:
         """Prefix entries (h, cls, n, i) whose n-gram is in the prefix of another class too."""
         levels, bins = self.levels(), bins_for(self.spark, self.docs)
-        # Leads and others of a chunk belong together: both come from one written pass, for a second scan may be cut elsewhere.
-        dealt = staged(self.docs.select("text").mapInArrow(
-            _dealt_entries(self.width, levels, self.needed(), bins), f"bin long, payload binary, {_ENTRY_SQL}"), "dealt")
-        met = (dealt.where(F.col("bin").isNotNull()).select("bin", "payload")
-               .groupBy("bin").applyInArrow(_shared, _ENTRY_SQL))
-        others = dealt.where(F.col("bin").isNull()).select(*_ENTRIES.names)
-        return staged(met.unionByName(others).dropDuplicates(["h", "cls"]), "entries")
+        # Leads and others of a chunk belong together: both go through one exchange, for a second scan may be cut elsewhere.
+        dealt = self.docs.select("text").mapInArrow(
+            _dealt_entries(self.width, levels, self.needed(), bins), "bin long, payload binary")
+        met = dealt.groupBy("bin").applyInArrow(_shared, _ENTRY_SQL)
+        return staged(met.dropDuplicates(["h", "cls"]), "entries")
 
     def _need(self):
         """The overlap that sets of these sizes need."""
@@ -339,59 +384,74 @@ class NgramJoin:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Those of the candidate pairs (a, b, ...; a written table) that link, each checked once on whole sets."""
+        large = self.classes.where(F.col("long").isNotNull()).select("cls", "n", "long")
+        unlike = staged(pairs.select("a", "b").join(large.toDF("a", "na", "long_a"), "a")
+                        .join(large.toDF("b", "nb", "long_b"), "b")
+                        .mapInArrow(_unlike(self.percent), "a long, b long"), "unlike")
+        pairs = staged(pairs.select("a", "b").join(unlike, ["a", "b"], "left_anti"), "alike")
         wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         wanted = staged(wanted.join(self.classes.select("cls", "id"), "cls"), "wanted")
         sets = staged(self.docs.join(broadcast_below(wanted), "id").select("cls", "text")
                       .mapInArrow(_whole_sets(self.width), "cls long, grams binary"), "sets")
         if sets.select("cls").distinct().count() < sets.count():  # repeated rows in several tasks
-            sets = staged(sets.dropDuplicates(["cls"]), "sets")
-        return staged(pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
-                      .mapInArrow(_verify(self.percent), "a long, b long").distinct(), "links")
+            repeated, sets = sets, staged(sets.dropDuplicates(["cls"]), "sets")
+            release(repeated)
+        links = staged(pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
+                       .mapInArrow(_verify(self.percent), "a long, b long").distinct(), "links")
+        release(unlike, pairs, wanted, sets)
+        return links
 
     def run(self) -> NgramJoin:
         kind = self.docs.schema["id"].dataType.simpleString()
         self.sets = staged(self.docs.mapInArrow(_set_rows(self.width), f"id {kind}, cls long, n long, "
-                                                "parity array<long>"),
+                                                "parity array<long>, long binary"),
                            "classes")
         self.classes = (self.sets.where(F.col("cls").isNotNull() & F.col("id").isNotNull()).groupBy("cls")
-                        .agg(F.min("id").alias("id"), F.first("parity").alias("parity")))
+                        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("parity").alias("parity"),
+                             F.first("long").alias("long")))
         self.classes = staged(self.classes, "classes")
         self.sketch = self.classes.select("cls", "parity")
         entries = self.entries()
         links, roots, rejected = None, None, None
         for turn in range(STAR_ROUNDS):
             left = self._open(entries, roots)
-            order = F.struct(F.xxhash64(F.lit(turn), "cls").alias("turn"), "n", "cls", "i", "root")
-            hubs = left.groupBy("h").agg(F.min(order).alias("y")).select("h", "y.*")
+            # A class is a hash: some of its bits turned give another order, and the class back.
+            mask = F.lit(int(mix64(np.array([turn]))[0].view(np.int64)))
+            order = F.struct(F.col("cls").bitwiseXOR(mask).alias("turn"), "n", "i", "root")
+            hubs = left.groupBy("h").agg(F.min(order).alias("y")).select("h", "y.*").withColumn(
+                "cls", F.col("turn").bitwiseXOR(mask))
             pairs = self._pairs(left.alias("x").join(hubs.alias("y"), "h").where("x.root <> y.root"))
             if rejected is not None:
                 pairs = pairs.join(rejected, ["a", "b"], "left_anti")
             pairs = staged(self._near(pairs).select("a", "b"), "candidates")
             roots, links, rejected = self._grow(pairs, roots, links, rejected)
+            release(pairs)
         quota = 4
         while True:
             met = self._cell_round(self._open(entries, roots), rejected, quota)
             pairs = staged(met.where("b is not null").drop("h").distinct(), "candidates")
             if pairs.isEmpty():
+                release(entries, met, pairs)
                 break
             roots, links, rejected = self._grow(pairs, roots, links, rejected)
             alive = met.where("b is null").select("h", F.col("a").alias("cls")).distinct()
-            entries = staged(entries.join(alive, ["h", "cls"], "left_semi"), "entries")
+            before, entries = entries, staged(entries.join(alive, ["h", "cls"], "left_semi"), "entries")
+            release(before, met, pairs)
             quota *= 4
         self.roots, self.links = roots, links
         return self
 
     def _cell_round(self, left: DataFrame, rejected: DataFrame, quota: int) -> DataFrame:
         """Pairs of open entries that would connect different components, and the entries that have pairs."""
-        left = staged(left.join(self.sketch, "cls"), "open")
-        total = left.count()
         both = rejected.union(rejected.select("b", "a"))
         partners = both.groupBy(F.col("a").alias("cls")).agg(F.collect_list("b").alias("rejected"))
-        left = left.join(partners, "cls", "left").withColumn(
-            "rejected", F.coalesce("rejected", F.array().cast("array<long>")))
-        met = cells(left.withColumn("key", F.col("h")), total, "cls", self.cell_limit, self.per_bin)
-        return staged(met.groupBy("bin").applyInArrow(
+        left = staged(left.join(self.sketch, "cls").join(partners, "cls", "left").withColumn(
+            "rejected", F.coalesce("rejected", F.array().cast("array<long>"))), "open")
+        met = cells(left.withColumn("key", F.col("h")), left.count(), "cls", self.cell_limit, self.per_bin)
+        met = staged(met.groupBy("bin").applyInArrow(
             _cell_pairs(self.percent, quota), "a long, b long, na long, nb long, h long"), "met")
+        release(left)
+        return met
 
     def _open(self, entries: DataFrame, roots: DataFrame | None) -> DataFrame:
         """Entries with their component's root, of n-grams that several components share."""

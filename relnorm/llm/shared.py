@@ -2,12 +2,14 @@
 
 Jobs cut lineage by writing a table there and reading it again, so that a lost
 executor costs only its running tasks.  ``clear`` removes what a session wrote,
-once its results are stored.
+once its results are stored; ``release`` removes a table that is no longer needed
+before that.
 """
 
 from __future__ import annotations
 
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from relnorm.session import checkpoint_dir
 
 _written: list[str] = []
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 #: A planned size from here on is no estimate but the absence of one.
 UNKNOWN_BYTES = 1 << 50
@@ -36,7 +39,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove staged tables once all that is read from them is written; none may be read again."""
+    for table in tables:
+        path = _paths.pop(table)
+        where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+        _written.remove(path)
 
 
 def clear(spark: SparkSession) -> None:
