@@ -178,6 +178,22 @@ def _places(patterns: list[tuple[int, tuple[int, ...]]]) -> dict[str, np.ndarray
     return {"length": cols[:, 0], "rank": cols[:, 1], "base": cols[:, 2], "at": cols[:, 3], "packs": base}
 
 
+def _histogram(groups: pa.Table) -> dict[int, int]:
+    """Documents of each length but 0, of sorted groups (tail, part, rows, full)."""
+    lengths, at = np.unique(groups.column("tail").to_numpy(), return_inverse=True)
+    counts = np.bincount(at, groups.column("rows").to_numpy(), len(lengths)).astype(np.int64)
+    return {k: n for k, n in zip(lengths.tolist(), counts.tolist()) if k}
+
+
+def _offsets(groups: pa.Table) -> pa.Table:
+    """Of sorted groups (tail, part, rows, full): the rows before in the same tail, the whole sequences before in all."""
+    tail, rows, full = (groups.column(k).to_numpy() for k in ("tail", "rows", "full"))
+    before = np.cumsum(rows) - rows
+    rank0 = before - before[np.searchsorted(tail, tail)]
+    return pa.table({"tail": groups.column("tail"), "part": groups.column("part"), "rank0": pa.array(rank0, pa.int64()),
+                     "full0": pa.array(np.cumsum(full) - full, pa.int64())})
+
+
 def _emit(places: dict, size: int):
     lengths, ranks, bases, ats, packs = (places[k] for k in ("length", "rank", "base", "at", "packs"))
     bounds = np.searchsorted(lengths, np.arange(size + 1))
@@ -221,18 +237,10 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
     lens = (ids.select("row_id", (F.col("n") % size).alias("tail"),
                        F.floor(F.col("n") / size).cast("long").alias("full"),
                        F.pmod(F.xxhash64("row_id"), F.lit(RANK_GROUPS)).cast("int").alias("part")))
-    groups = sorted(lens.groupBy("tail", "part").agg(F.count(F.lit(1)).alias("rows"), F.sum("full").alias("full"))
-                    .collect())
-    histogram: dict[int, int] = {}
-    offsets, fulls = [], 0
-    for tail, part, count, full in groups:
-        offsets.append((tail, part, histogram.get(tail, 0), fulls))
-        histogram[tail] = histogram.get(tail, 0) + count
-        fulls += full
-    histogram.pop(0, None)
-    places = _places(pack_histogram(histogram, size))
-    spark = docs.sparkSession
-    first = spark.createDataFrame(offsets, "tail long, part int, rank0 long, full0 long")
+    groups = (lens.groupBy("tail", "part").agg(F.count(F.lit(1)).alias("rows"), F.sum("full").alias("full"))
+              .toArrow().sort_by([("tail", "ascending"), ("part", "ascending")]))
+    places = _places(pack_histogram(_histogram(groups), size))
+    first = docs.sparkSession.createDataFrame(_offsets(groups), "tail long, part int, rank0 long, full0 long")
     order = Window.partitionBy("tail", "part").orderBy("row_id")
     ranked = (lens.withColumn("rank", F.row_number().over(order) - 1)
               .withColumn("before", F.sum("full").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("full"))

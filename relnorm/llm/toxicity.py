@@ -14,8 +14,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relnorm.llm.grams import BITS, SCORED, keep_rows, sample_features, score_rows
+from relnorm.llm.grams import (BITS, SCORED, chosen_places, feature_counts, feature_rows, keep_rows, sample_features,
+                               score_rows)
 from relnorm.llm.samples import fold, labelled_sample
+from relnorm.llm.shared import release, staged
 
 FEATURES = {"sizes": (5,), "lower": True, "with_words": True}
 
@@ -56,38 +58,58 @@ class Rows:
         return np.bincount(self.at, per_row[self.row], minlength=self.columns)
 
 
+def clearest(total: np.ndarray, hits: np.ndarray, n: int, n1: int, most: int, least: int = 4,
+             clear: float = 20.0) -> np.ndarray:
+    """At most ``most`` features: the largest chi-square statistics over ``clear``, where ``least`` rows have it.
+
+    ``total`` and ``hits``: how many of ``n`` rows, and of the ``n1`` positive ones, have each feature.
+    """
+    expected = total * n1 / n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        chi = (hits - expected) ** 2 / (expected * (1 - total / n) * (1 - n1 / n))
+    chi[(total < least) | ~np.isfinite(chi)] = 0
+    best = np.argsort(-chi, kind="stable")[:most]
+    return np.sort(best[chi[best] > clear])
+
+
 def informative(rows: list[np.ndarray], positive: np.ndarray, most: int, least: int = 4,
                 clear: float = 20.0) -> np.ndarray:
-    """At most ``most`` features: the largest chi-square statistics over ``clear``, where ``least`` rows have it."""
+    """``clearest`` of rows that are at hand."""
     total, hits = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for row, p in zip(rows, positive):
         total[row] += 1
         if p:
             hits[row] += 1
-    n, n1 = len(rows), positive.sum()
-    expected = total * n1 / n
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi = (hits - expected) ** 2 / (expected * (1 - total / n) * (1 - n1 / n))
-    chi[(total < least) | ~np.isfinite(chi)] = 0
-    best = np.argsort(-chi, kind="stable")[:most]
-    return np.sort(best[chi[best] > clear])
+    return clearest(total, hits, len(rows), positive.sum(), most, least, clear)
+
+
+def one_class(n: int, n1: int) -> tuple[np.ndarray, float]:
+    """The model of ``n`` rows that are all positive or all negative, or of none."""
+    return np.zeros(1 << BITS), 4.0 if n1 else -4.0 if n else 0.0
 
 
 def fit(labels: np.ndarray, rows: list[np.ndarray], pairs: list[tuple[np.ndarray, np.ndarray]],
         features: int = 4096, ridge: float = 1e-4, fairness: float = 1.0, steps: int = 400):
-    """Weights (2 ** BITS) and bias that minimise log loss + ridge + fairness * mean squared change of a swap.
-
-    Full-batch Adam; deterministic.
-    """
+    """Weights (2 ** BITS) and bias that minimise log loss + ridge + fairness * mean squared change of a swap."""
     positive = labels == "1"
-    weights = np.zeros(1 << BITS)
     if positive.all() or not positive.any():
-        return weights, 4.0 if positive.any() else -4.0 if len(labels) else 0.0
+        return one_class(len(labels), int(positive.sum()))
     chosen = informative(rows, positive, features)
     place = np.full(1 << BITS, -1, np.int64)
     place[chosen] = np.arange(len(chosen))
-    pick = lambda some: Rows([(p := place[r])[p >= 0] for r in some], len(chosen))
-    x, a, b = pick(rows), pick([p[0] for p in pairs]), pick([p[1] for p in pairs])
+    pick = lambda r: (p := place[r])[p >= 0]
+    return descend(positive, [pick(r) for r in rows], [(pick(a), pick(b)) for a, b in pairs], chosen, ridge, fairness,
+                   steps)
+
+
+def descend(positive: np.ndarray, rows: list[np.ndarray], pairs: list[tuple[np.ndarray, np.ndarray]],
+            chosen: np.ndarray, ridge: float = 1e-4, fairness: float = 1.0, steps: int = 400):
+    """What ``fit`` returns, from rows and pairs of places in ``chosen``.
+
+    Full-batch Adam; deterministic.
+    """
+    weights = np.zeros(1 << BITS)
+    x, a, b = (Rows(some, len(chosen)) for some in (rows, [p[0] for p in pairs], [p[1] for p in pairs]))
     target, n = positive.astype(float), len(rows)
     w, bias = np.zeros(len(chosen)), float(np.log(target.mean() / (1 - target.mean())))
     first, second = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
@@ -105,20 +127,38 @@ def fit(labels: np.ndarray, rows: list[np.ndarray], pairs: list[tuple[np.ndarray
     return weights, float(bias)
 
 
+def mentions(sample: DataFrame) -> DataFrame:
+    """The sampled texts that mention an identity term, labelled by a number of their own."""
+    terms = "|".join(t for ring in IDENTITY_TERMS for t in ring)
+    found = sample.where(F.col("text").rlike(rf"(?i)\b({terms})\b"))
+    return found.select(F.format_string("%020d", F.monotonically_increasing_id()).alias("label"), "text")
+
+
 def counterfactual_pairs(sample: DataFrame, options: dict) -> list[tuple[np.ndarray, np.ndarray]]:
     """Features of the sampled texts that mention an identity term, before and after the swap."""
-    terms = "|".join(t for ring in IDENTITY_TERMS for t in ring)
-    mentions = sample.where(F.col("text").rlike(rf"(?i)\b({terms})\b"))
-    rows = mentions.select(F.format_string("%020d", F.monotonically_increasing_id()).alias("label"), "text")
-    _, found = sample_features(rows, options, swap_terms)
+    _, found = sample_features(mentions(sample), options, swap_terms)
     return [(found[k], found[k + 1]) for k in range(0, len(found), 2)]
 
 
 def fit_model(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most_rows: int,
-              id_col: str, text_col: str) -> tuple[np.ndarray, float]:
-    """Weights and bias learned from the bounded sample and its swapped texts."""
+              id_col: str, text_col: str, features: int = 4096) -> tuple[np.ndarray, float]:
+    """``fit`` on the bounded sample and its swapped texts.
+
+    The features are counted by Spark; only counts, and the places of the chosen ones, reach the driver.
+    """
     sample = labelled_sample(docs, labels, label, folds, held_out, most_rows, id_col, text_col)
-    return fit(*sample_features(sample, FEATURES), counterfactual_pairs(sample, FEATURES))
+    rows = staged(feature_rows(sample, FEATURES), "features")
+    n, n1 = rows.agg(F.count(F.lit(1)), F.count_if(F.col("label") == "1")).first()
+    if n1 in (0, n):
+        release(rows)
+        return one_class(n, n1)
+    chosen = clearest(*feature_counts(rows, "1"), n, n1, features)
+    names, found = chosen_places(rows.orderBy("label", "features"), chosen)  # a fixed order of the sample
+    release(rows)
+    sides, swapped = chosen_places(feature_rows(mentions(sample), FEATURES, swap_terms), chosen)
+    order = np.argsort(sides)
+    pairs = [(swapped[j], swapped[k]) for j, k in zip(order[::2], order[1::2])]
+    return descend(names == "1", found, pairs, chosen)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held_out: int = 1,

@@ -74,6 +74,38 @@ def test_neutral_mentions_are_not_called_toxic(spark):
     assert sum(got[k] for k, t in labels if t) >= 270 and sum(got[k] for k, t in labels if not t) == 0
 
 
+def test_only_counts_and_chosen_features_of_the_sample_reach_the_driver(spark, monkeypatch):
+    """The model is that of the whole sample at the driver, made from a part of its bytes."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    rng = np.random.default_rng(8)
+    group = T.IDENTITY_TERMS[0][0]
+    texts = [" ".join(f"w{j}" for j in rng.integers(0, 40, 400)) + (f" {group}" if k % 5 == 0 else "")
+             + (" awful scum" if k % 3 == 0 else "") for k in range(300)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(len(texts))], "doc_id long, toxic int")
+    sample = T.labelled_sample(docs, labels, "toxic", 3, 1, 6000)
+    names, rows = T.sample_features(sample, T.FEATURES)
+    want, bias = T.fit(names, rows, T.counterfactual_pairs(sample, T.FEATURES))
+    received = []
+
+    def to_arrow(self, plain=DataFrame.toArrow):
+        table = plain(self)
+        received.append(table.nbytes)
+        return table
+    monkeypatch.setattr(DataFrame, "toArrow", to_arrow)
+    got = T.fit_model(docs, labels, "toxic", 3, 1, 6000, "doc_id", "text")
+    assert want.any() and np.allclose(got[0], want, atol=1e-9) and abs(got[1] - bias) < 1e-9
+    assert sum(received) < 0.5 * sum(r.nbytes for r in rows)
+
+
+def test_toxicity_model_of_one_class_or_none(spark):
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(9)], "doc_id long, text string")
+    for value, bias in ((1, 4.0), (0, -4.0), (None, 0.0)):
+        labels = spark.createDataFrame([(k, value) for k in range(9)], "doc_id long, toxic int")
+        weights, got = T.fit_model(docs, labels, "toxic", 3, 1, 6000, "doc_id", "text")
+        assert not weights.any() and got == bias
+
+
 # ---------------------------------------------------------------- op4
 
 def test_quality_model_meets_the_optimality_conditions():
@@ -207,3 +239,33 @@ def test_other_tokenizers_are_refused():
     encoder(tokenizer_path(), 1)
     with pytest.raises(ValueError, match="byte_bpe_50k"):
         encoder(tokenizer_path("byte_bpe_50k.json"), 1)
+
+
+# ---------------------------------------------------------------- op10
+
+def test_rank_groups_stay_in_arrays_at_the_driver(spark, monkeypatch):
+    """Up to size x RANK_GROUPS groups are never a list of rows; their offsets are those of a plain loop."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from relnorm.llm import packing
+    rng = np.random.default_rng(4)
+    groups = [(int(t), int(p), int(rng.integers(1, 9)), int(rng.integers(0, 3)))
+              for t in (0, 1, 5, 9) for p in sorted(rng.choice(64, 7, replace=False))]
+    table = pa.table({k: pa.array(v, pa.int64()) for k, v in zip(("tail", "part", "rows", "full"), zip(*groups))})
+    histogram, offsets, fulls = {}, [], 0
+    for tail, part, count, full in groups:
+        offsets.append((tail, part, histogram.get(tail, 0), fulls))
+        histogram[tail] = histogram.get(tail, 0) + count
+        fulls += full
+    histogram.pop(0)
+    assert packing._histogram(table) == histogram
+    assert [tuple(r.values()) for r in packing._offsets(table).to_pylist()] == offsets
+
+    docs = spark.createDataFrame([(k, "word " * (k % 50)) for k in range(200)], "doc_id long, text string")
+    none = docs.limit(0)
+
+    def collect(self):
+        raise AssertionError("rows are collected as objects")
+    with monkeypatch.context() as m:
+        m.setattr(DataFrame, "collect", collect)
+        pieces, empty = packing.pack(docs, tokenizer_path(), 64), packing.pack(none, tokenizer_path(), 64)
+    assert pieces.groupBy("doc_id").count().count() == 200 and empty.count() == 0
