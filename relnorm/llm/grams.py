@@ -61,34 +61,55 @@ def gram_features(column, sizes: tuple[int, ...], lower: bool, with_words: bool,
             yield _distinct(np.concatenate(parts))
 
 
-def feature_rows(sample, options: dict, changed=None):
-    """(label, features) of a (label, text) table; features are little-endian 32-bit numbers, ascending.
+def _labelled_texts(parts, changed=None):
+    """Labels and texts of (label, text) batches, 500 at a time.
 
-    ``changed``: also those of ``changed(text)``, each after its text's own, labelled ``label-0`` and ``label-1``.
+    ``changed``: also ``changed(text)`` of each text, after it, labelled ``label-0`` and ``label-1``.
     """
-    schema = pa.schema([("label", pa.string()), ("features", pa.binary())])
+    for part in parts:
+        for k in range(0, part.num_rows, 500):
+            labels, texts = part.column(0).slice(k, 500), part.column(1).slice(k, 500)
+            if changed:
+                labels = pa.array([f"{x}-{side}" for x in labels.to_pylist() for side in (0, 1)], pa.string())
+                texts = pa.array([t for x in texts.to_pylist() for t in (x, changed(x))], pa.string())
+            yield labels, texts
 
+
+def _collected(sample, features, kind) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Labels and arrays of numbers, ``features(texts)``, of a bounded (label, text) sample, in a fixed order."""
     def run(parts):
-        for part in parts:
-            for k in range(0, part.num_rows, 500):
-                labels, texts = part.column(0).slice(k, 500), part.column(1).slice(k, 500)
-                if changed:
-                    labels = pa.array([f"{x}-{side}" for x in labels.to_pylist() for side in (0, 1)], pa.string())
-                    texts = pa.array([t for x in texts.to_pylist() for t in (x, changed(x))], pa.string())
-                rows = [f.tobytes() for f in gram_features(texts, **options)]
-                yield pa.RecordBatch.from_arrays([labels, pa.array(rows, pa.binary())], schema=schema)
-    return sample.select("label", "text").mapInArrow(run, "label string, features binary")
+        for labels, arrays in features(parts):
+            yield pa.RecordBatch.from_arrays([labels, pa.array([f.tobytes() for f in arrays], pa.binary())],
+                                             names=["label", "features"])
+
+    got = sample.select("label", "text").mapInArrow(run, "label string, features binary").toArrow()
+    rows = sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
+    return np.array([r[0] for r in rows], "U64"), [np.frombuffer(r[1], kind) for r in rows]
 
 
 def sample_features(sample, options: dict, changed=None) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Labels and feature arrays of a bounded (label, text) sample, collected; ``changed`` as in ``feature_rows``."""
-    got = feature_rows(sample, options, changed).toArrow()
-    rows = sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))  # a fixed order of the sample
-    return np.array([r[0] for r in rows], "U64"), [np.frombuffer(r[1], np.uint32) for r in rows]
+    """Labels and feature arrays of a bounded (label, text) sample, collected; ``changed`` as above."""
+    def features(parts):
+        return ((labels, gram_features(texts, **options)) for labels, texts in _labelled_texts(parts, changed))
+    return _collected(sample, features, np.uint32)
 
 
-def feature_counts(rows, label: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """For each feature how many of ``feature_rows`` have it, and how many of those labelled ``label``.
+def chosen_places(sample, options: dict, chosen: np.ndarray, changed=None,
+                  bits: int = BITS) -> tuple[np.ndarray, list[np.ndarray]]:
+    """As ``sample_features``, but with the places in ``chosen`` of the features that are there; all others stay in the tasks."""
+    kind = np.min_scalar_type(len(chosen))
+
+    def places(parts):
+        place = np.full(1 << bits, -1, np.int64)
+        place[chosen] = np.arange(len(chosen))
+        for labels, texts in _labelled_texts(parts, changed):
+            found = (place[f] for f in gram_features(texts, **options))
+            yield labels, (p[p >= 0].astype(kind) for p in found)
+    return _collected(sample, places, kind)
+
+
+def feature_counts(sample, options: dict, label: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """For each feature how many texts of a (label, text) sample have it, and how many of those labelled ``label``.
 
     Tasks add up their rows; one row per feature, ``2 ** bits`` at most, reaches the driver.
     """
@@ -96,9 +117,8 @@ def feature_counts(rows, label: str, bits: int = BITS) -> tuple[np.ndarray, np.n
 
     def run(parts):
         total, hits = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
-        for part in parts:
-            for name, blob in zip(part.column(0).to_pylist(), part.column(1)):
-                found = np.frombuffer(blob.as_buffer(), np.uint32)
+        for labels, texts in _labelled_texts(parts):
+            for name, found in zip(labels.to_pylist(), gram_features(texts, **options)):
                 total[found] += 1
                 if name == label:
                     hits[found] += 1
@@ -106,7 +126,7 @@ def feature_counts(rows, label: str, bits: int = BITS) -> tuple[np.ndarray, np.n
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used]), pa.array(hits[used])],
                                          schema=schema)
 
-    got = (rows.mapInArrow(run, "feature int, n long, hits long").groupBy("feature")
+    got = (sample.select("label", "text").mapInArrow(run, "feature int, n long, hits long").groupBy("feature")
            .agg(F.sum("n").cast("int").alias("n"), F.sum("hits").cast("int").alias("hits")).toArrow())
     out = np.zeros((2, 1 << bits))
     at = got.column("feature").to_numpy()
@@ -114,27 +134,6 @@ def feature_counts(rows, label: str, bits: int = BITS) -> tuple[np.ndarray, np.n
     return out[0], out[1]
 
 
-def chosen_places(rows, chosen: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Labels of ``feature_rows`` and, for each, where its features are in ``chosen``; collected in the rows' order.
-
-    All other features stay in the tasks.
-    """
-    kind = np.min_scalar_type(len(chosen))
-    schema = pa.schema([("label", pa.string()), ("places", pa.binary())])
-
-    def run(parts):
-        place = np.full(1 << bits, -1, np.int64)
-        place[chosen] = np.arange(len(chosen))
-        for part in parts:
-            found = (place[np.frombuffer(blob.as_buffer(), np.uint32)] for blob in part.column(1))
-            places = pa.array([p[p >= 0].astype(kind).tobytes() for p in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column(0), places], schema=schema)
-
-    got = rows.mapInArrow(run, "label string, places binary").toArrow()
-    return (np.array(got.column(0).to_pylist(), "U64"),
-            [np.frombuffer(b.as_buffer(), kind).astype(np.int32) for b in got.column(1)])
-
-
 def score_rows(weights: np.ndarray, bias: float, slope: float, options: dict, threshold: float):
     """A task that scores (id, held_out, text) rows: logistic of ``slope * (sum of weights + bias)``."""
     weights = weights.astype(np.float32)

@@ -14,8 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relnorm.llm.grams import (BITS, SCORED, chosen_places, feature_counts, feature_rows, keep_rows, sample_features,
-                               score_rows)
+from relnorm.llm.grams import BITS, SCORED, chosen_places, feature_counts, keep_rows, sample_features, score_rows
 from relnorm.llm.samples import fold, labelled_sample
 from relnorm.llm.shared import release, staged
 
@@ -146,19 +145,17 @@ def fit_model(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_o
 
     The features are counted by Spark; only counts, and the places of the chosen ones, reach the driver.
     """
-    sample = labelled_sample(docs, labels, label, folds, held_out, most_rows, id_col, text_col)
-    rows = staged(feature_rows(sample, FEATURES), "features")
-    n, n1 = rows.agg(F.count(F.lit(1)), F.count_if(F.col("label") == "1")).first()
+    sample = staged(labelled_sample(docs, labels, label, folds, held_out, most_rows, id_col, text_col), "sample")
+    n, n1 = sample.agg(F.count(F.lit(1)), F.count_if(F.col("label") == "1")).first()
     if n1 in (0, n):
-        release(rows)
-        return one_class(n, n1)
-    chosen = clearest(*feature_counts(rows, "1"), n, n1, features)
-    names, found = chosen_places(rows.orderBy("label", "features"), chosen)  # a fixed order of the sample
-    release(rows)
-    sides, swapped = chosen_places(feature_rows(mentions(sample), FEATURES, swap_terms), chosen)
-    order = np.argsort(sides)
-    pairs = [(swapped[j], swapped[k]) for j, k in zip(order[::2], order[1::2])]
-    return descend(names == "1", found, pairs, chosen)
+        model = one_class(n, n1)
+    else:
+        chosen = clearest(*feature_counts(sample, FEATURES, "1"), n, n1, features)
+        names, rows = chosen_places(sample, FEATURES, chosen)
+        _, swapped = chosen_places(mentions(sample), FEATURES, chosen, swap_terms)
+        model = descend(names == "1", rows, list(zip(swapped[::2], swapped[1::2])), chosen)
+    release(sample)
+    return model
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held_out: int = 1,

@@ -77,6 +77,9 @@ def test_neutral_mentions_are_not_called_toxic(spark):
 def test_only_counts_and_chosen_features_of_the_sample_reach_the_driver(spark, monkeypatch):
     """The model is that of the whole sample at the driver, made from a part of its bytes."""
     from pyspark.sql.classic.dataframe import DataFrame
+
+    def sort(self, *by, **how):
+        raise AssertionError("a sort by features samples them to the driver")
     rng = np.random.default_rng(8)
     group = T.IDENTITY_TERMS[0][0]
     texts = [" ".join(f"w{j}" for j in rng.integers(0, 40, 400)) + (f" {group}" if k % 5 == 0 else "")
@@ -93,6 +96,9 @@ def test_only_counts_and_chosen_features_of_the_sample_reach_the_driver(spark, m
         received.append(table.nbytes)
         return table
     monkeypatch.setattr(DataFrame, "toArrow", to_arrow)
+    monkeypatch.setattr(T, "labelled_sample", lambda *a: sample)  # it sorts labels alone
+    monkeypatch.setattr(DataFrame, "sort", sort)
+    monkeypatch.setattr(DataFrame, "orderBy", sort)
     got = T.fit_model(docs, labels, "toxic", 3, 1, 6000, "doc_id", "text")
     assert want.any() and np.allclose(got[0], want, atol=1e-9) and abs(got[1] - bias) < 1e-9
     assert sum(received) < 0.5 * sum(r.nbytes for r in rows)
