@@ -7,6 +7,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from relnorm import session
+from relnorm.operators.keys import dense_key
 from relnorm.plans import news
 from relnorm.plans.archive_files import write_archives
 from relnorm.sinks import fixtures
@@ -73,6 +74,24 @@ def test_single_staged_tables_are_removed(spark):
         files = [f.removeprefix("file://") for f in a.inputFiles()]
         session.unstage(a, spark.range(1))
         assert files and not any(map(os.path.exists, files)) and b.count() == 4
+        keyed = dense_key(spark.range(5).withColumn("v", F.lit("x")), ["id"])
+        files = [f.removeprefix("file://") for f in keyed.inputFiles()]
+        assert any(map(os.path.exists, files)) and keyed.count() == 5
+        session.unstage(keyed)
+        assert not any(map(os.path.exists, files))
+
+
+def test_items_are_linked_before_they_are_written(spark, scratch):
+    _fixture(scratch)
+    with session.staging(spark):
+        first = len(session._staged)
+        item = news.build_tables(spark, news.read_documents(spark, scratch))["item"]
+        assert "Join" not in item._jdf.queryExecution().optimizedPlan().toString()
+        # of the staged tables with items only one is left
+        kept = [t for t in session._staged[first:] if "item_code" in spark.read.parquet(t).columns]
+        assert len(kept) == 1 and all(f"file://{kept[0]}/" in f for f in item.inputFiles())
+        rows = sorted(item.collect(), key=lambda r: r.pk)
+        assert [r.pk for r in rows] == [1, 2, 3, 4, 5, 6] and all(r.issue_id and r.ingest_id and r.data_provider_id for r in rows)
 
 
 def test_bodies_made_after_the_deal_cross_no_shuffle(spark, scratch, monkeypatch):
